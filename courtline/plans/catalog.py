@@ -44,3 +44,178 @@ ranked AS (SELECT player_id, dfs_points_dk,
 def q_flagship(spark, sf_dir):
     from courtline.plans.flagship import top_recent_scorers
     return top_recent_scorers(Domain(spark, sf_dir).player_game_logs)
+
+
+# ---------------------------------------------------------------------------------------------
+# ETL steps
+
+from courtline.operators import etl as E  # noqa: E402
+from courtline.operators import quality as Q  # noqa: E402
+from courtline.plans.cleaned import etl_domain  # noqa: E402
+from courtline.plans.oracle_sql import LOG_COLS  # noqa: E402
+
+_SHOT_COLS = ("minutes, points, field_goals_made, field_goals_attempted, three_pointers_made, "
+              "three_pointers_attempted, free_throws_made, free_throws_attempted, rebounds_total, assists, "
+              "steals, blocks, turnovers")
+
+
+@register("etl_validate", with_ctes(f"""
+SELECT player_id, game_id, game_date, {_SHOT_COLS} FROM logs_flagged WHERE bad"""))
+def q_etl_validate(spark, sf_dir):
+    logs = E.flag_invalid(Domain(spark, sf_dir).player_game_logs)
+    return logs.where("is_invalid").select("player_id", "game_id", "game_date", *_SHOT_COLS.split(", "))
+
+
+@register("etl_fix", with_ctes(f"""
+SELECT f.player_id, f.game_id, f.game_date, {', '.join('f.' + c for c in _SHOT_COLS.split(', '))}
+FROM logs_fixed f JOIN logs_flagged b ON f.player_id = b.player_id AND f.game_id = b.game_id WHERE b.bad"""))
+def q_etl_fix(spark, sf_dir):
+    logs = Domain(spark, sf_dir).player_game_logs
+    fixed = E.fix_invalid(E.flag_invalid(logs)).where("is_invalid")
+    return fixed.select("player_id", "game_id", "game_date", *_SHOT_COLS.split(", "))
+
+
+@register("etl_advanced", with_ctes("""
+SELECT player_id, game_id, round(true_shooting_percentage, 6) AS true_shooting_percentage,
+       round(effective_field_goal_percentage, 6) AS effective_field_goal_percentage,
+       round(usage_rate, 6) AS usage_rate
+FROM logs_adv""", start="1996-01-01", end="2000-12-31"))
+def q_etl_advanced(spark, sf_dir):
+    logs = E.advanced_stats(E.fix_invalid(Domain(spark, sf_dir).player_game_logs), "1996-01-01", "2000-12-31")
+    return logs.select("player_id", "game_id", r6("true_shooting_percentage").alias("true_shooting_percentage"),
+                       r6("effective_field_goal_percentage").alias("effective_field_goal_percentage"),
+                       r6("usage_rate").alias("usage_rate"))
+
+
+@register("etl_scores", with_ctes("""
+SELECT player_id, game_id, dfs_points_dk, dfs_points_fd FROM logs_scored"""))
+def q_etl_scores(spark, sf_dir):
+    logs = E.score_platform(E.score_platform(E.fix_invalid(Domain(spark, sf_dir).player_game_logs), "DraftKings"),
+                            "FanDuel")
+    return logs.select("player_id", "game_id", "dfs_points_dk", "dfs_points_fd")
+
+
+_N10 = ("((CASE WHEN coalesce(points,0) >= 10 THEN 1 ELSE 0 END) + (CASE WHEN coalesce(rebounds_total,0) >= 10 THEN 1 ELSE 0 END)"
+        " + (CASE WHEN coalesce(assists,0) >= 10 THEN 1 ELSE 0 END) + (CASE WHEN coalesce(steals,0) >= 10 THEN 1 ELSE 0 END)"
+        " + (CASE WHEN coalesce(blocks,0) >= 10 THEN 1 ELSE 0 END))")
+
+
+@register("etl_double_triple", with_ctes(f"""
+SELECT player_id, game_id, {_N10} >= 2 AS is_double_double, {_N10} >= 3 AS is_triple_double
+FROM logs_fixed"""))
+def q_etl_double_triple(spark, sf_dir):
+    from courtline.functions.exprs import double_double, triple_double
+    logs = E.fix_invalid(Domain(spark, sf_dir).player_game_logs)
+    return logs.select("player_id", "game_id", double_double().alias("is_double_double"),
+                       triple_double().alias("is_triple_double"))
+
+
+def _box_sql():
+    from courtline.plans.oracle_sql import _score_sql
+    w = {"points": 1.0, "rebounds_total": 1.2, "assists": 1.5, "steals": 2.0, "blocks": 2.0, "turnovers": -0.5,
+         "minutes": 0.1, "double_double": 1.5, "triple_double": 3.0, "quad_double": 5.0}
+    return _score_sql(w)
+
+
+@register("etl_box_score_weights", with_ctes(f"""
+SELECT player_id, game_id, {_box_sql()} AS fantasy_points, {_N10} AS categories_ge_10 FROM logs_fixed"""))
+def q_etl_box_score(spark, sf_dir):
+    logs = E.fix_invalid(Domain(spark, sf_dir).player_game_logs)
+    out = E.box_score_points(logs, pts=1.0, reb=1.2, ast=1.5, stl=2.0, blk=2.0, tov=-0.5, mins=0.1,
+                             doubleDouble=1.5, tripleDouble=3.0, quadDouble=5.0)
+    return out.select("player_id", "game_id", "fantasy_points", "categories_ge_10")
+
+
+@register("etl_rest_days", with_ctes("SELECT player_id, game_id, game_date, rest_days FROM logs_etl"))
+def q_etl_rest(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    return logs.select("player_id", "game_id", "game_date", "rest_days")
+
+
+def _team_lookup_sql():
+    vals = ", ".join(f"('{a}', '{c}', '{d}')" for a, (c, d) in E.TEAM_DIVISIONS.items())
+    return f"team_lookup AS (SELECT * FROM (VALUES {vals}) t(abbr, conf, div))"
+
+
+@register("etl_teams", with_ctes("""
+SELECT t.team_id, upper(t.abbreviation) AS abbreviation, t.name,
+       CASE WHEN t.conference IS NULL OR t.conference = '' THEN coalesce(k.conf, 'Unknown') ELSE t.conference END AS conference,
+       CASE WHEN t.conference IS NULL OR t.conference = '' THEN coalesce(k.div, 'Unknown') ELSE t.division END AS division
+FROM teams t LEFT JOIN team_lookup k ON upper(t.abbreviation) = k.abbr""", etl=False, extra=_team_lookup_sql()))
+def q_etl_teams(spark, sf_dir):
+    return E.normalize_teams(Domain(spark, sf_dir).teams)
+
+
+@register("etl_dedup_players", with_ctes("SELECT * FROM players_etl"))
+def q_etl_dedup(spark, sf_dir):
+    return E.dedup_players(Domain(spark, sf_dir).players)
+
+
+@register("etl_duplicate_names", with_ctes("""
+SELECT name, count(*) AS count FROM players WHERE name IS NOT NULL GROUP BY name HAVING count(*) > 1""", etl=False))
+def q_etl_dups(spark, sf_dir):
+    return E.duplicate_names(Domain(spark, sf_dir).players)
+
+
+_ETL_OUT = LOG_COLS.split(", ")
+_ETL_DOUBLES = ("true_shooting_percentage", "effective_field_goal_percentage", "usage_rate")
+
+
+@register("etl_full_run", with_ctes("SELECT " + ", ".join(
+    f"round({c}, 6) AS {c}" if c in _ETL_DOUBLES else c for c in _ETL_OUT) + " FROM logs_etl"))
+def q_etl_full(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    return logs.select(*[r6(c).alias(c) if c in _ETL_DOUBLES else F.col(c) for c in _ETL_OUT])
+
+
+# ---------------------------------------------------------------------------------------------
+# quality reports
+
+@register("qual_key_injuries", with_ctes("""
+SELECT player_id, injury_date, count(*) AS n_rows FROM injuries GROUP BY player_id, injury_date HAVING count(*) > 1""",
+                                         etl=False))
+def q_qual_key(spark, sf_dir):
+    return Q.key_report(Domain(spark, sf_dir).injuries, ["player_id", "injury_date"])
+
+
+@register("qual_fk_logs_players", with_ctes("""
+SELECT l.player_id, l.game_id FROM player_game_logs l WHERE NOT EXISTS (
+  SELECT 1 FROM players p WHERE p.player_id = l.player_id AND p.is_active)""", etl=False))
+def q_qual_fk(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    return Q.fk_report(d.player_game_logs.select("player_id", "game_id"), d.players.where("is_active"), "player_id")
+
+
+_RANGE_COLS = [c for c in Q.LOG_STORAGE_TYPES if c in _ETL_OUT]
+
+
+@register("qual_range_logs", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE NOT ({c} BETWEEN {Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][0]} "
+    f"AND {Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][1]})) AS BIGINT) AS n_out_of_range, "
+    f"CAST({Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][0]} AS BIGINT) AS lo, CAST({Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][1]} AS BIGINT) AS hi "
+    f"FROM logs_etl" for c in _RANGE_COLS)))
+def q_qual_range(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    return Q.range_report(logs, {c: Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]] for c in _RANGE_COLS})
+
+
+@register("qual_null_counts", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count FROM logs_etl"
+    for c in _ETL_OUT)))
+def q_qual_nulls(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    return Q.null_counts(logs, _ETL_OUT)
+
+
+@register("qual_validate_export", with_ctes("""
+SELECT 'non_empty' AS "check", 'error' AS severity, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_bad FROM logs_etl
+UNION ALL SELECT 'required_column:player_id', 'error', CAST(0 AS BIGINT)
+UNION ALL SELECT 'required_column:game_id', 'error', CAST(0 AS BIGINT)
+UNION ALL SELECT 'required_column:game_date', 'error', CAST(0 AS BIGINT)
+UNION ALL SELECT 'required_column:points', 'error', CAST(0 AS BIGINT)
+UNION ALL SELECT 'nulls:player_id', 'warning', CAST(count(*) FILTER (WHERE player_id IS NULL) AS BIGINT) FROM logs_etl
+UNION ALL SELECT 'nulls:game_id', 'warning', CAST(count(*) FILTER (WHERE game_id IS NULL) AS BIGINT) FROM logs_etl
+UNION ALL SELECT 'nulls:game_date', 'warning', CAST(count(*) FILTER (WHERE game_date IS NULL) AS BIGINT) FROM logs_etl"""))
+def q_qual_validate(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    return Q.validate_logs(logs)
