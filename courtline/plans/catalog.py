@@ -219,3 +219,49 @@ UNION ALL SELECT 'nulls:game_date', 'warning', CAST(count(*) FILTER (WHERE game_
 def q_qual_validate(spark, sf_dir):
     _, _, logs = etl_domain(Domain(spark, sf_dir))
     return Q.validate_logs(logs)
+
+
+# ---------------------------------------------------------------------------------------------
+# point-in-time features
+
+from courtline.plans import features as FT  # noqa: E402
+from courtline.plans.oracle_features import (DOUBLE_FEATURES, INT_FEATURES, features_oracle_ctes,  # noqa: E402
+                                             features_select_sql)
+
+
+def normalized_features(df: DataFrame) -> DataFrame:
+    """Integers as BIGINT and doubles rounded to 6 digits, the form the oracle returns."""
+    out = []
+    for c in df.columns:
+        if c in INT_FEATURES:
+            out.append(F.col(c).cast("long").alias(c))
+        elif c in DOUBLE_FEATURES:
+            out.append(F.round(F.col(c).cast("double"), 6).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
+
+
+def data_date_range(dom: Domain):
+    """First and last game day of the data (two scalars; the batch covers the whole span)."""
+    r = dom.games.agg(F.min("game_date").alias("a"), F.max("game_date").alias("b")).first()
+    return r["a"], r["b"]
+
+
+def features_for(spark, sf_dir, **switches):
+    dom = Domain(spark, sf_dir)
+    players, _, logs = etl_domain(dom)
+    a, b = data_date_range(dom)
+    return FT.generate_features(logs, players, dom.games, dom.injuries, dom.dfs_salaries, a, b, **switches)
+
+
+@register("ft_batch_all_days", with_ctes(features_select_sql(), extra=features_oracle_ctes()))
+def q_ft_batch(spark, sf_dir):
+    return normalized_features(features_for(spark, sf_dir))
+
+
+@register("ft_summary", with_ctes("""
+SELECT count(*) AS records, CAST(108 AS BIGINT) AS feature_columns, min(target_date) AS first_date,
+       max(target_date) AS last_date, count(DISTINCT player_id) AS players FROM feat""", extra=features_oracle_ctes()))
+def q_ft_summary(spark, sf_dir):
+    return FT.feature_summary(features_for(spark, sf_dir))
