@@ -123,3 +123,18 @@ def explode_intervals(df: DataFrame, lo_exclusive: Column, hi_inclusive: Column,
     last = F.least(F.coalesce(hi_inclusive, e), e)
     return (df.where(first <= last)
             .withColumn(alias, F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY")))))
+
+
+def positions_from_end(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
+                       alias: str = "pos_from_end") -> DataFrame:
+    """Number of rows of the same key that come after each row in ``order`` (0 = newest), without a
+    window over a whole key: rows after inside the row's chunk (a per-(key, chunk) window) plus the
+    rows of all later chunks (a suffix sum over the small per-chunk count table)."""
+    base = df.withColumn("_src", chunk)
+    ws = Window.partitionBy(*keys, "_src").orderBy(*[F.col(c).desc() for c in order])
+    base = base.withColumn("_after", F.row_number().over(ws) - 1)
+    counts = base.groupBy(*keys, "_src").agg(F.count(F.lit(1)).alias("_n"))
+    wk = Window.partitionBy(*keys).orderBy(F.col("_src").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_later", F.coalesce(F.sum("_n").over(wk), F.lit(0))).drop("_n")
+    return (base.join(counts, [*keys, "_src"])
+            .withColumn(alias, F.col("_after") + F.col("_later")).drop("_after", "_later", "_src"))

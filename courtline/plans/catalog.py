@@ -265,3 +265,226 @@ SELECT count(*) AS records, CAST(108 AS BIGINT) AS feature_columns, min(target_d
        max(target_date) AS last_date, count(DISTINCT player_id) AS players FROM feat""", extra=features_oracle_ctes()))
 def q_ft_summary(spark, sf_dir):
     return FT.feature_summary(features_for(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------------------------
+# analytical reads
+
+from courtline.plans import reads as RD  # noqa: E402
+
+_LOGVIEW_SQL = ", ".join(
+    (f"round({src}, 6) AS {dst}" if src in ("true_shooting_percentage", "usage_rate") else
+     ("CAST(NULL AS BOOLEAN) AS is_starter" if dst == "is_starter" else f"{src} AS {dst}"))
+    for dst, src in RD.LOG_VIEW)
+
+
+@register("an_logs_newest10", with_ctes(f"""
+SELECT {_LOGVIEW_SQL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) AS rn FROM logs_etl)
+WHERE rn <= 10"""))
+def q_an_logs(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    v = RD.player_game_logs(logs, limit=10)
+    return v.withColumns({"true_shooting_percentage": r6("true_shooting_percentage"), "usage_rate": r6("usage_rate")})
+
+
+@register("an_games_all_days", with_ctes("""
+SELECT g.game_id, g.game_date, g.home_team_id, g.away_team_id, h.abbreviation AS home_team_abbr,
+       a.abbreviation AS away_team_abbr, CAST(NULL AS INTEGER) AS home_score, CAST(NULL AS INTEGER) AS away_score,
+       CAST(NULL AS VARCHAR) AS game_status, g.total_line, g.home_spread, g.away_spread
+FROM games g LEFT JOIN teams_etl h ON g.home_team_id = h.team_id LEFT JOIN teams_etl a ON g.away_team_id = a.team_id"""))
+def q_an_games(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    _, teams, _ = etl_domain(d)
+    return RD.games_for_date(d.games, teams)
+
+
+_SLATE_SQL = """slate AS (
+  SELECT s.game_date, s.player_id, p.name AS player_name, p.team_id, t.abbreviation AS team_abbr, s.position,
+         s.salary, g.game_id, g.total_line,
+         CASE WHEN p.team_id = g.home_team_id THEN g.home_spread ELSE g.away_spread END AS spread,
+         p.team_id = g.home_team_id AS is_home
+  FROM dfs_salaries s JOIN players_etl p ON s.player_id = p.player_id JOIN teams_etl t ON p.team_id = t.team_id
+  JOIN games g ON (g.home_team_id = p.team_id OR g.away_team_id = p.team_id) AND g.game_date = s.game_date
+  WHERE s.platform = 'DraftKings' AND s.is_available)"""
+
+
+def _slate(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    players, teams, _ = etl_domain(d)
+    return RD.dfs_slate(d.dfs_salaries, players, teams, d.games)
+
+
+@register("an_slate_all_days", with_ctes("SELECT * FROM slate", extra=_SLATE_SQL))
+def q_an_slate(spark, sf_dir):
+    return _slate(spark, sf_dir)
+
+
+@register("an_ownership_all_days", with_ctes("""
+SELECT sl.game_date, sl.player_id, sl.player_name, sl.salary,
+       round(CASE WHEN mm.hi > mm.lo THEN 5 + (sl.salary - mm.lo) / (mm.hi - mm.lo) * 20
+                  WHEN mm.hi IS NOT NULL THEN 15.0 END, 6) AS ownership_projection
+FROM slate sl LEFT JOIN mm ON sl.game_date = mm.game_date AND sl.position = mm.position""",
+                                             extra=_SLATE_SQL + """,
+mm AS (SELECT game_date, position, min(salary) AS lo, max(salary) AS hi FROM slate
+       WHERE position IS NOT NULL GROUP BY game_date, position)"""))
+def q_an_ownership(spark, sf_dir):
+    o = RD.ownership_projections(_slate(spark, sf_dir))
+    return o.withColumn("ownership_projection", r6("ownership_projection"))
+
+
+@register("an_player_info", with_ctes("""
+SELECT p.player_id, p.name, p.position, p.team_id, t.abbreviation AS team_abbr, p.is_active
+FROM players_etl p LEFT JOIN teams_etl t ON p.team_id = t.team_id"""))
+def q_an_player(spark, sf_dir):
+    players, teams, _ = etl_domain(Domain(spark, sf_dir))
+    return RD.player_info(players, teams)
+
+
+@register("an_team_vs_position", with_ctes("""
+SELECT l.opponent_team_id AS team_id, p.position,
+       round(coalesce(avg(l.points), 0.0), 6) AS avg_points_allowed,
+       round(coalesce(avg(l.rebounds_total), 0.0), 6) AS avg_rebounds_allowed,
+       round(coalesce(avg(l.assists), 0.0), 6) AS avg_assists_allowed,
+       round(coalesce(avg(l.dfs_points_dk), 0.0), 6) AS avg_dfs_allowed, count(*) AS games_sample_size
+FROM logs_etl l JOIN players_etl p ON l.player_id = p.player_id GROUP BY l.opponent_team_id, p.position"""))
+def q_an_vspos(spark, sf_dir):
+    players, _, logs = etl_domain(Domain(spark, sf_dir))
+    o = RD.team_vs_position(logs, players)
+    return o.select("team_id", "position", *[r6(c).alias(c) for c in
+                                             ("avg_points_allowed", "avg_rebounds_allowed", "avg_assists_allowed",
+                                              "avg_dfs_allowed")], "games_sample_size")
+
+
+TREND_AS_OF, TREND_DAYS = "2001-08-02", 3650
+
+
+@register("an_trends_all_history", with_ctes(f"""
+SELECT player_id, count(*) AS games_played, round(avg(y_dfs), 6) AS avg_dfs_points, round(avg(y_min), 6) AS avg_minutes,
+       round(avg(y_pts), 6) AS avg_points,
+       round(CASE WHEN count(*) >= 3 THEN regr_slope(y_dfs, x) ELSE 0.0 END, 6) AS dfs_trend,
+       round(CASE WHEN count(*) >= 3 THEN regr_slope(y_min, x) ELSE 0.0 END, 6) AS minutes_trend,
+       round(CASE WHEN count(*) >= 3 THEN regr_slope(y_pts, x) ELSE 0.0 END, 6) AS points_trend,
+       round(CASE WHEN count(*) > 1 THEN 1.0 / (1.0 + stddev_pop(y_dfs)) ELSE 1.0 END, 6) AS consistency
+FROM tl GROUP BY player_id""", extra=f"""
+tl AS (SELECT player_id, CAST(coalesce(dfs_points_dk, 0) AS DOUBLE) AS y_dfs, CAST(coalesce(minutes, 0) AS DOUBLE) AS y_min,
+              CAST(coalesce(points, 0) AS DOUBLE) AS y_pts,
+              CAST(row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) - 1 AS DOUBLE) AS x
+       FROM logs_etl WHERE game_date >= DATE '{TREND_AS_OF}' - {TREND_DAYS})"""))
+def q_an_trends(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    o = RD.recent_trends(logs, TREND_AS_OF, TREND_DAYS)
+    return o.select("player_id", "games_played", *[r6(c).alias(c) for c in o.columns[2:]])
+
+
+@register("an_injury_report_all_days", with_ctes("""
+SELECT i.injury_date + CAST(t.k AS INTEGER) AS report_date, i.player_id, p.name AS player_name, i.injury_date, i.status,
+       i.description, i.body_part, i.games_missed
+FROM injuries i CROSS JOIN range(0, 8) t(k) LEFT JOIN players_etl p ON i.player_id = p.player_id"""))
+def q_an_injury(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    players, _, _ = etl_domain(d)
+    return RD.injury_report(d.injuries, players)
+
+
+@register("an_correlation_top10", with_ctes("""
+SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN corr(x, y) END, 6)
+       AS correlation
+FROM pr GROUP BY player_a, player_b
+UNION ALL
+SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND stddev_pop(v) > 0 THEN 1.0 END FROM cl GROUP BY player_id""",
+                                            extra="""
+tp AS (SELECT player_id FROM logs_etl GROUP BY player_id
+       ORDER BY sum(coalesce(dfs_points_dk, 0)) DESC, player_id LIMIT 10),
+cl AS (SELECT player_id, game_date, CAST(dfs_points_dk AS DOUBLE) AS v FROM logs_etl
+       WHERE dfs_points_dk IS NOT NULL AND player_id IN (SELECT player_id FROM tp)),
+pr AS (SELECT a.player_id AS player_a, b.player_id AS player_b, a.v AS x, b.v AS y
+       FROM cl a JOIN cl b ON a.game_date = b.game_date AND a.player_id <> b.player_id)"""))
+def q_an_corr(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    o = RD.correlation_matrix(logs, RD.top_players_by(logs, 10))
+    return o.withColumn("correlation", r6("correlation"))
+
+
+CHUNK_START, CHUNK_END, CHUNK_SIZE = "1990-01-01", "2009-12-31", 30
+
+
+@register("an_injury_period_chunks", with_ctes(f"""
+SELECT chunk_id, DATE '{CHUNK_START}' + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) AS chunk_start,
+       least(DATE '{CHUNK_START}' + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) + {CHUNK_SIZE}, DATE '{CHUNK_END}') AS chunk_end,
+       count(*) AS n_injuries
+FROM (SELECT CAST(floor(date_diff('day', DATE '{CHUNK_START}', injury_date) / {CHUNK_SIZE + 1}) AS BIGINT) AS chunk_id
+      FROM injuries WHERE injury_date BETWEEN DATE '{CHUNK_START}' AND DATE '{CHUNK_END}')
+GROUP BY chunk_id""", etl=False))
+def q_an_chunks(spark, sf_dir):
+    inj = Domain(spark, sf_dir).injuries
+    c = RD.period_chunks(inj, "injury_date", CHUNK_START, CHUNK_END, CHUNK_SIZE)
+    return c.groupBy("chunk_id", "chunk_start", "chunk_end").agg(F.count(F.lit(1)).alias("n_injuries"))
+
+
+@register("an_dataset_facts", with_ctes("""
+SELECT 'teams' AS dataset, count(*) AS n_rows, CAST(5 AS BIGINT) AS n_columns FROM teams
+UNION ALL SELECT 'players', count(*), 6 FROM players
+UNION ALL SELECT 'games', count(*), 7 FROM games
+UNION ALL SELECT 'player_game_logs', count(*), 27 FROM player_game_logs
+UNION ALL SELECT 'dfs_salaries', count(*), 6 FROM dfs_salaries
+UNION ALL SELECT 'injuries', count(*), 7 FROM injuries""", etl=False))
+def q_an_facts(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    frames = {"teams": d.teams, "players": d.players, "games": d.games, "player_game_logs": d.player_game_logs,
+              "dfs_salaries": d.dfs_salaries, "injuries": d.injuries}
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows",
+                                                               F.lit(len(df.columns)).cast("long").alias("n_columns"))
+             for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _training(spark, sf_dir, min_salary=3000):
+    dom = Domain(spark, sf_dir)
+    players, _, logs = etl_domain(dom)
+    a, b = data_date_range(dom)
+    feats = FT.generate_features(logs, players, dom.games, dom.injuries, dom.dfs_salaries, a, b)
+    return RD.training_data(feats, logs, dom.dfs_salaries, min_salary=min_salary)
+
+
+_TRAIN_EXTRA = ["actual_dfs_points", "actual_minutes", "actual_points", "actual_rebounds", "actual_assists",
+                "salary", "value"]
+_TRAIN_SQL = """train AS (
+  SELECT f.* EXCLUDE (position), l.dfs_points_dk AS actual_dfs_points, l.minutes AS actual_minutes,
+         l.points AS actual_points, l.rebounds_total AS actual_rebounds, l.assists AS actual_assists,
+         s.salary, s.position,
+         CASE WHEN s.salary > 0 THEN l.dfs_points_dk / (s.salary / 1000) ELSE 0.0 END AS value
+  FROM feat f JOIN logs_etl l ON f.player_id = l.player_id AND f.target_date = l.game_date
+  JOIN dfs_salaries s ON f.player_id = s.player_id AND f.target_date = s.game_date
+  WHERE s.platform = 'DraftKings' AND s.salary >= 3000)"""
+
+
+def _train_sql_select():
+    from courtline.plans.oracle_features import features_select_sql
+    base = features_select_sql(source="train").split("\nFROM train")[0]
+    extra = ", ".join(["round(actual_dfs_points, 6) AS actual_dfs_points", "actual_minutes", "actual_points",
+                       "actual_rebounds", "actual_assists", "salary", "round(value, 6) AS value"])
+    return base + ",\n  " + extra + "\nFROM train"
+
+
+@register("an_training_set", with_ctes(_train_sql_select(), extra=features_oracle_ctes() + ",\n" + _TRAIN_SQL))
+def q_an_training(spark, sf_dir):
+    t = _training(spark, sf_dir)
+    t = normalized_features(t.select(*FT.FEATURE_COLS, *_TRAIN_EXTRA))
+    return t.withColumns({"actual_dfs_points": r6("actual_dfs_points"), "value": r6("value")})
+
+
+@register("an_export_summary", with_ctes("""
+SELECT count(*) FILTER (WHERE k) AS records, count(*) FILTER (WHERE NOT k) AS filtered_out,
+       min(target_date) FILTER (WHERE k) AS first_date, max(target_date) FILTER (WHERE k) AS last_date,
+       count(DISTINCT player_id) FILTER (WHERE k) AS unique_players,
+       round(avg(actual_dfs_points) FILTER (WHERE k), 6) AS target_mean,
+       round(stddev_samp(actual_dfs_points) FILTER (WHERE k), 6) AS target_std
+FROM (SELECT *, coalesce(salary >= 5000 AND actual_minutes >= 20, FALSE) AS k FROM train)""",
+                                         extra=features_oracle_ctes() + ",\n" + _TRAIN_SQL))
+def q_an_export(spark, sf_dir):
+    s = RD.export_summary(_training(spark, sf_dir), min_salary=5000, min_minutes=20)
+    return s.withColumns({"target_mean": r6("target_mean"), "target_std": r6("target_std")})

@@ -116,11 +116,12 @@ class Domain:
         # two platforms as an explode of a literal array (a generator, not a join)
         plat = F.explode(F.array(F.struct(F.lit("DraftKings").alias("platform"), F.lit(1).alias("f")),
                                  F.struct(F.lit("FanDuel").alias("platform"), F.lit(3).alias("f"))))
-        return (sk.select("*", plat.alias("p"))
+        # the listed position is the player's position (the driver data has no separate one)
+        pos = self.players.select("player_id", "position")
+        return (sk.select("*", plat.alias("p")).join(pos, "player_id", "left")
                 .select("player_id", "game_date", F.col("p.platform").alias("platform"),
                         (3000 + (F.col("sk") * F.col("p.f")) % 8500).cast("int").alias("salary"),
-                        F.lit(None).cast("string").alias("position"),
-                        (F.col("sk") % 20 != 0).alias("is_available")))
+                        "position", (F.col("sk") % 20 != 0).alias("is_available")))
 
     @cached_property
     def injuries(self) -> DataFrame:
@@ -176,11 +177,12 @@ player_game_logs AS (
         FROM lineitem GROUP BY l_suppkey, l_orderkey) li
   JOIN games g ON li.game_id = g.game_id),
 dfs_salaries AS (
-  SELECT player_id, game_date, p.platform, CAST(3000 + (sk * p.f) % 8500 AS INTEGER) AS salary,
-         CAST(NULL AS VARCHAR) AS position, (sk % 20) <> 0 AS is_available
+  SELECT x.player_id, game_date, p.platform, CAST(3000 + (sk * p.f) % 8500 AS INTEGER) AS salary,
+         pl.position, (sk % 20) <> 0 AS is_available
   FROM (SELECT player_id, game_date, CAST(sum(CAST(points AS BIGINT) * 31 + game_id) AS BIGINT) AS sk
         FROM player_game_logs GROUP BY player_id, game_date) x
   CROSS JOIN (SELECT 'DraftKings' AS platform, 1 AS f UNION ALL SELECT 'FanDuel', 3) p
+  LEFT JOIN players pl ON x.player_id = pl.player_id
   WHERE sk IS NOT NULL AND sk % 7 <> 0),
 injuries AS (
   SELECT l_suppkey AS player_id, CAST(l_shipdate AS DATE) AS injury_date,
