@@ -488,3 +488,320 @@ FROM (SELECT *, coalesce(salary >= 5000 AND actual_minutes >= 20, FALSE) AS k FR
 def q_an_export(spark, sf_dir):
     s = RD.export_summary(_training(spark, sf_dir), min_salary=5000, min_minutes=20)
     return s.withColumns({"target_mean": r6("target_mean"), "target_std": r6("target_std")})
+
+
+# ---------------------------------------------------------------------------------------------
+# sources, sinks, upserts, exports
+
+import uuid  # noqa: E402
+
+from courtline.operators import sinks as SK  # noqa: E402
+from courtline.plans import exports as EX  # noqa: E402
+from courtline.session import scratch_path  # noqa: E402
+from courtline.sources import files as FS  # noqa: E402
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_EXPORT_DOUBLES = ("usage_rate", "true_shooting_percentage", "player_efficiency_rating",
+                   "effective_field_goal_percentage")
+
+
+def _export_sql_cols():
+    out = []
+    for c in EX.LOG_EXPORT_COLS:
+        if c == "team_id":
+            out.append("p.team_id")
+        elif c == "month":
+            out.append("month(l.game_date) AS month")
+        elif c == "season":
+            out.append("CAST(CASE WHEN month(l.game_date) >= 10 THEN year(l.game_date) ELSE year(l.game_date) - 1 END AS VARCHAR)"
+                       " || '-' || lpad(CAST((CASE WHEN month(l.game_date) >= 10 THEN year(l.game_date) ELSE year(l.game_date) - 1 END + 1) % 100 AS VARCHAR), 2, '0') AS season")
+        elif c in EX.LOG_EXPORT_DEFAULTS:
+            v = EX.LOG_EXPORT_DEFAULTS[c]
+            lit = "FALSE" if v is False else (f"{v!r}::DOUBLE" if isinstance(v, float) else repr(v))
+            src = f"l.{c}" if c in _ETL_OUT else "NULL"
+            e = f"coalesce({src}, {lit})"
+            out.append(f"round({e}, 6) AS {c}" if c in _EXPORT_DOUBLES else f"{e} AS {c}")
+        else:
+            out.append(f"l.{c}")
+    return ", ".join(out)
+
+
+_EXPORT_SQL = f"""logs_export AS (
+  SELECT {_export_sql_cols()}
+  FROM logs_etl l LEFT JOIN games g ON l.game_id = g.game_id LEFT JOIN players_etl p ON l.player_id = p.player_id)"""
+
+
+def _exported_logs(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    players, _, logs = etl_domain(d)
+    path = _scratch(spark, "export-logs")
+    EX.export_logs(logs, d.games, players, path)
+    return spark, path
+
+
+@register("io_export_logs_roundtrip", with_ctes("SELECT * FROM logs_export", extra=_EXPORT_SQL))
+def q_io_export(spark, sf_dir):
+    _, path = _exported_logs(spark, sf_dir)
+    back = FS.read_parquet(spark, path).select(*EX.LOG_EXPORT_COLS)
+    return back.withColumns({c: r6(c) for c in _EXPORT_DOUBLES})
+
+
+@register("io_dataset_summary_by_season", with_ctes(
+    "SELECT season, count(*) AS records FROM logs_export GROUP BY season", extra=_EXPORT_SQL))
+def q_io_summary(spark, sf_dir):
+    _, path = _exported_logs(spark, sf_dir)
+    return FS.records_by(spark, path, ["season"])
+
+
+@register("io_feature_store_json_read", with_ctes(features_select_sql(), extra=features_oracle_ctes()))
+def q_io_feature_store(spark, sf_dir):
+    feats = features_for(spark, sf_dir)
+    path = _scratch(spark, "feature-store")
+    EX.store_features(feats, path, version="v1", as_json=True)
+    stored = EX.read_features(spark, path, version="v1")
+    schema = feats.drop("player_id", "target_date").schema
+    return normalized_features(EX.expand_features(stored, schema).select(*FT.FEATURE_COLS))
+
+
+UPSERT_SPLIT, UPSERT_OVERLAP = "1999-01-01", "1998-12-01"
+
+
+@register("io_upsert_replay", with_ctes(f"""
+SELECT player_id, game_id, game_date,
+       CASE WHEN game_date >= DATE '{UPSERT_OVERLAP}' THEN points + 1 ELSE points END AS points, dfs_points_dk
+FROM logs_etl"""))
+def q_io_upsert(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    base = logs.select("player_id", "game_id", "game_date", "points", "dfs_points_dk",
+                       F.year("game_date").alias("year"))
+    path = _scratch(spark, "upsert")
+    SK.write_partitioned(base.where(F.col("game_date") < F.lit(UPSERT_SPLIT).cast("date")), path, ["year"])
+    upd = base.where(F.col("game_date") >= F.lit(UPSERT_OVERLAP).cast("date")).withColumn("points", F.col("points") + 1)
+    for _ in range(2):  # the replay of the same batch must not change the table
+        SK.upsert_partitioned(spark, path, upd, ["player_id", "game_id"], ["year"])
+    return spark.read.parquet(path).select("player_id", "game_id", "game_date", "points", "dfs_points_dk")
+
+
+_BOX_MAP = dict(SK._BOX_INT)
+_BOX_SRC = {"pts": "points", "fgm": "field_goals_made", "fga": "field_goals_attempted", "tpm": "three_pointers_made",
+            "tpa": "three_pointers_attempted", "ftm": "free_throws_made", "fta": "free_throws_attempted",
+            "oreb": "rebounds_offensive", "dreb": "rebounds_defensive", "reb": "rebounds_total", "ast": "assists",
+            "stl": "steals", "blk": "blocks", "tov": "turnovers", "pf": "personal_fouls", "min": "minutes"}
+
+
+def _box_rows(logs, players):
+    """Box-score rows as the API sends them (all strings), built from the adapter logs."""
+    p = players.select("player_id", F.col("name").alias("longName"), "team_id", F.col("position").alias("pos"))
+    j = logs.join(p, "player_id", "left")
+    cols = [F.col("player_id").cast("string").alias("playerID"), "longName", F.lit(None).cast("string").alias("playerName"),
+            F.col("team_id").cast("string").alias("teamID"), "pos", F.col("game_id").cast("string").alias("gameID")]
+    cols += [F.col(src).cast("string").alias(api) for api, src in _BOX_SRC.items()]
+    cols += [F.lit(None).cast("string").alias(c) for c in ("fg_pct", "tp_pct", "ft_pct", "plusMinus", "fantasyPoints")]
+    cols += [F.when(F.col("game_id") % 3 == 0, "True").otherwise("false").alias("starter")]
+    return j.select(*cols)
+
+
+_BOX_SQL = """box AS (
+  SELECT CAST(l.player_id AS BIGINT) AS player_id, l.game_id, l.game_date, l.minutes,
+         """ + ", ".join(f"l.{c}" for c in ("points", "field_goals_made", "field_goals_attempted", "three_pointers_made",
+                                            "three_pointers_attempted", "free_throws_made", "free_throws_attempted",
+                                            "rebounds_offensive", "rebounds_defensive", "rebounds_total", "assists",
+                                            "steals", "blocks", "turnovers", "personal_fouls")) + """,
+         coalesce(coalesce(p.team_id, 0) = g.home_team_id, FALSE) AS is_home,
+         CASE WHEN coalesce(coalesce(p.team_id, 0) = g.home_team_id, FALSE) THEN g.away_team_id ELSE g.home_team_id END AS opponent_team_id,
+         l.game_id % 3 = 0 AS is_starter, p.name, p.team_id, p.position
+  FROM player_game_logs l LEFT JOIN players p ON l.player_id = p.player_id JOIN games g ON l.game_id = g.game_id)"""
+
+
+@register("io_box_score_ingest", with_ctes("SELECT * FROM box WHERE player_id > 0", etl=False, extra=_BOX_SQL))
+def q_io_box(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    rows = _box_rows(d.player_game_logs, d.players)
+    path = _scratch(spark, "box-landing")
+    rows.write.mode("overwrite").json(path)
+    raw = spark.read.schema(", ".join(f"`{c}` string" for c in rows.columns)).json(path)
+    good, _bad = SK.box_scores_to_logs(raw, d.games)
+    return good.select("player_id", "game_id", "game_date", "minutes", *[c for c, _ in SK._BOX_INT
+                                                                        if c != "plus_minus"],
+                       "is_home", "opponent_team_id", "is_starter", "name", "team_id", "position")
+
+
+@register("io_stub_players", with_ctes("""
+SELECT DISTINCT l.player_id AS id, l.player_id, p.name, p.team_id, p.position, TRUE AS is_active
+FROM player_game_logs l JOIN players p ON l.player_id = p.player_id WHERE NOT p.is_active""", etl=False))
+def q_io_stub(spark, sf_dir):
+    """Players seen in box scores but missing from the player table (here: the table without the
+    inactive players) get minimal rows."""
+    d = Domain(spark, sf_dir)
+    good, _ = SK.box_scores_to_logs(_box_rows(d.player_game_logs, d.players), d.games)
+    return SK.stub_players(good, d.players.where("is_active"))
+
+
+def _odds_docs(games):
+    """Odds documents built from the games: game_id % 3 sportsbooks per game (0 books -> no rows)."""
+    books = F.filter(F.array(*[F.struct(F.lit(name).alias("sportsBook"), F.lit(k).alias("k")) for k, name in
+                               enumerate(("fanduel", "draftkings"))]), lambda b: b["k"] < F.col("game_id") % 3)
+    g = games.select("*", books.alias("_books"))
+    odds = F.transform("_books", lambda b: F.struct(
+        b["sportsBook"].alias("sportsBook"),
+        F.struct(F.col("total_line").cast("string").alias("totalOver"), F.col("total_line").cast("string").alias("totalUnder"),
+                 (F.lit(-110) - b["k"] * 5).cast("string").alias("totalOverOdds"),
+                 (F.lit(-110) + b["k"] * 5).cast("string").alias("totalUnderOdds"),
+                 F.col("home_spread").cast("string").alias("homeTeamSpread"),
+                 F.col("away_spread").cast("string").alias("awayTeamSpread"),
+                 F.lit("-110").alias("homeTeamSpreadOdds"), F.lit("-110").alias("awayTeamSpreadOdds"),
+                 (F.col("home_spread") * 10).cast("int").cast("string").alias("homeTeamMLOdds"),
+                 (F.col("away_spread") * 10).cast("int").cast("string").alias("awayTeamMLOdds")).alias("odds")))
+    game = F.struct(F.col("game_id").cast("string").alias("gameID"), F.date_format("game_date", "yyyyMMdd").alias("gameDate"),
+                    F.col("home_team_id").cast("string").alias("homeTeam"), F.col("away_team_id").cast("string").alias("awayTeam"),
+                    F.col("home_team_id").cast("string").alias("teamIDHome"),
+                    F.col("away_team_id").cast("string").alias("teamIDAway"),
+                    F.lit(None).cast("string").alias("last_updated_e_time"), odds.alias("sportsBooks"))
+    # one document per day and bucket of games (documents stay small however many games a day has)
+    return (g.groupBy("game_date", (F.col("game_id") % 8).alias("_b"))
+            .agg(F.collect_list(game).alias("body")).select("body"))
+
+
+@register("io_odds_flatten", with_ctes("""
+SELECT CAST(g.game_id AS VARCHAR) AS game_id, CASE k WHEN 0 THEN 'fanduel' ELSE 'draftkings' END AS sportsbook,
+       g.home_spread, g.away_spread, -110 AS home_spread_odds, -110 AS away_spread_odds,
+       CAST(g.home_spread * 10 AS INTEGER) AS home_moneyline, CAST(g.away_spread * 10 AS INTEGER) AS away_moneyline,
+       g.total_line AS total_points, -110 - k * 5 AS over_odds, -110 + k * 5 AS under_odds
+FROM games g JOIN range(0, 2) t(k) ON t.k < g.game_id % 3""", etl=False))
+def q_io_odds(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    path = _scratch(spark, "odds-docs")
+    _odds_docs(d.games).write.mode("overwrite").json(path)
+    flat = FS.flatten_odds(FS.read_documents(spark, path, FS.ODDS_DOC))
+    return SK.raw_odds(flat, "2024-01-01 00:00:00").drop("timestamp")
+
+
+def _salary_docs(sal):
+    row = F.struct(F.col("player_id").cast("string").alias("playerID"), F.lit(None).cast("string").alias("longName"),
+                   F.col("position").alias("pos"), F.lit(None).cast("string").alias("team"),
+                   F.lit(None).cast("string").alias("teamID"), F.col("salary").cast("string").alias("salary"))
+    arrays = {k: F.collect_list(F.when(F.col("platform") == name, row)) for k, name in FS.PLATFORM_ARRAYS}
+    return (sal.groupBy(F.date_format("game_date", "yyyyMMdd").alias("date_str"), (F.col("player_id") % 8).alias("_b"))
+            .agg(*[v.alias(k) for k, v in arrays.items()])
+            .select("date_str", F.struct(*[F.col(k) for k, _ in FS.PLATFORM_ARRAYS]).alias("body")))
+
+
+@register("io_salary_flatten", with_ctes("""
+SELECT player_id, game_date, platform, salary, position, TRUE AS is_available FROM dfs_salaries""", etl=False))
+def q_io_salary(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    path = _scratch(spark, "salary-docs")
+    _salary_docs(d.dfs_salaries).write.mode("overwrite").json(path)
+    schema = FS.SALARY_DOC.add("date_str", "string")
+    docs = FS.read_documents(spark, path, schema)
+    parts = []
+    for key, platform in FS.PLATFORM_ARRAYS:
+        parts.append(docs.select("date_str", F.explode(F.col(f"body.{key}")).alias("r"))
+                     .select("date_str", "r.*").withColumns({"platform": F.lit(platform), "dfs_salary": F.col("salary")}))
+    flat = SK.union_all(parts)
+    return SK.raw_salaries(flat).select("player_id", "game_date", "platform", "salary",
+                                        F.when(F.col("position") == "", None).otherwise(F.col("position")).alias("position"),
+                                        "is_available")
+
+
+@register("io_gap_dates", with_ctes("""
+SELECT CAST(d AS DATE) AS missing_date
+FROM generate_series(CAST((SELECT min(game_date) FROM games) AS TIMESTAMP),
+                     CAST((SELECT max(game_date) FROM games) AS TIMESTAMP), INTERVAL 1 DAY) s(d)
+WHERE CAST(d AS DATE) NOT IN (SELECT game_date FROM games)""", etl=False))
+def q_io_gaps(spark, sf_dir):
+    g = Domain(spark, sf_dir).games
+    spine = FS.date_spine_between(g, "game_date", "game_date", "game_date")
+    return SK.missing(spine, g, ["game_date"]).select(F.col("game_date").alias("missing_date"))
+
+
+@register("io_csv_folder_union", with_ctes("""
+SELECT player_id, injury_date, status, CASE WHEN status = 'Out' THEN body_part END AS body_part FROM injuries""",
+                                           etl=False))
+def q_io_csv(spark, sf_dir):
+    inj = Domain(spark, sf_dir).injuries
+    root = _scratch(spark, "csv-landing")
+    SK.write_csv(inj.where("status = 'Out'").select("player_id", "injury_date", "status", "body_part"), f"{root}/out")
+    SK.write_csv(inj.where("status <> 'Out'").select("player_id", "status", "injury_date"), f"{root}/questionable")
+    df = FS.read_csv_dir(spark, [f"{root}/out", f"{root}/questionable"])
+    return df.select(F.col("player_id").cast("long").alias("player_id"),
+                     F.to_date("injury_date").alias("injury_date"), "status", "body_part")
+
+
+@register("io_newest_snapshot", with_ctes("SELECT * FROM players", etl=False))
+def q_io_newest(spark, sf_dir):
+    players = Domain(spark, sf_dir).players
+    root = _scratch(spark, "snapshots")
+    players.withColumn("is_active", F.lit(True)).write.parquet(f"{root}/players_current_20240101_000000")
+    players.write.parquet(f"{root}/players_current_20240102_000000")
+    snap = spark.read.parquet(f"{root}/players_current_20240101_000000", f"{root}/players_current_20240102_000000")
+    return FS.newest_per_key(snap).drop("_file_key").select(*players.columns)
+
+
+# ---------------------------------------------------------------------------------------------
+# streaming
+
+from courtline.streaming import ingest as SS  # noqa: E402
+
+_STREAM_COLS = ["player_id", "game_id", "game_date", "points", "dfs_points_dk", "dfs_points_fd",
+                "true_shooting_percentage", "effective_field_goal_percentage", "usage_rate"]
+
+
+def _landing(spark, logs, name, batches):
+    """Write landing files in arrival order (one folder write per batch)."""
+    root = _scratch(spark, name)
+    for i, b in enumerate(batches):
+        b.write.mode("append").parquet(f"{root}/landing")
+    return root
+
+
+@register("ss_landing_score_upsert", with_ctes("SELECT " + ", ".join(
+    f"round({c}, 6) AS {c}" if c in _ETL_DOUBLES else c for c in _STREAM_COLS) + " FROM logs_scored"))
+def q_ss_landing(spark, sf_dir):
+    logs = Domain(spark, sf_dir).player_game_logs
+    batch = logs.withColumn("year", F.year("game_date"))
+    root = _landing(spark, logs, "stream-logs", [batch.where("year < 1998"), batch.where("year >= 1997")])
+    src = SS.stream_landing(spark, f"{root}/landing", batch.schema, max_files_per_trigger=4)
+    ev = src.withColumn("_ts", F.col("game_date").cast("timestamp"))
+    scored = SS.stream_score(SS.stream_dedup(ev, ["player_id", "game_id"], "_ts", "3650 days")).drop("_ts")
+    SS.run_available_now(scored, SS.upsert_sink(f"{root}/table", ["player_id", "game_id"], ["year"]),
+                         f"{root}/checkpoint")
+    out = spark.read.parquet(f"{root}/table")
+    return out.select(*[r6(c).alias(c) if c in _ETL_DOUBLES else F.col(c) for c in _STREAM_COLS])
+
+
+@register("ss_rest_days_late_logs", with_ctes("SELECT player_id, game_id, game_date, rest_days FROM logs_etl"))
+def q_ss_rest(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    players, _, _ = etl_domain(d)
+    logs = d.player_game_logs.withColumn("year", F.year("game_date"))
+    late = F.col("game_id") % 5 == 0
+    root = _landing(spark, logs, "stream-rest", [logs.where(~late), logs.where(late)])
+    src = SS.stream_landing(spark, f"{root}/landing", logs.schema, max_files_per_trigger=64)
+    sink = SS.rest_days_sink(f"{root}/table", players, ["player_id", "game_id"], ["year"])
+    SS.run_available_now(src, sink, f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/table").select("player_id", "game_id", "game_date", "rest_days")
+
+
+# ---------------------------------------------------------------------------------------------
+# as-of join on a second time series (JN-ASOF on events)
+
+from courtline.operators.frames import asof_join  # noqa: E402
+
+
+@register("jn_asof_events_previous", """
+SELECT e.event_id, e.user_id, e.ts, p.event_type AS prev_event_type, round(p.value, 6) AS prev_value
+FROM events e ASOF LEFT JOIN events p ON e.user_id = p.user_id AND e.ts > p.ts""")
+def q_jn_asof(spark, sf_dir):
+    from courtline.sources.adapter import read_table
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    right = ev.select("user_id", F.col("ts").alias("pts"), F.col("event_type").alias("prev_event_type"),
+                      F.col("value").alias("prev_value"))
+    out = asof_join(ev.select("event_id", "user_id", "ts"), right, ["user_id"], "ts", "pts",
+                    ["prev_event_type", "prev_value"], strict=True,
+                    bucket=lambda c: F.year(c) * 100 + F.weekofyear(c))
+    return out.withColumn("prev_value", r6("prev_value"))
