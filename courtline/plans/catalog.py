@@ -28,7 +28,8 @@ def register(name: str, oracle: str | None = None):
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 digits; adding 0.0 turns a negative zero into 0.0 (both sides do the same)."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -236,7 +237,7 @@ def normalized_features(df: DataFrame) -> DataFrame:
         if c in INT_FEATURES:
             out.append(F.col(c).cast("long").alias(c))
         elif c in DOUBLE_FEATURES:
-            out.append(F.round(F.col(c).cast("double"), 6).alias(c))
+            out.append((F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)
@@ -805,3 +806,91 @@ def q_jn_asof(spark, sf_dir):
                     ["prev_event_type", "prev_value"], strict=True,
                     bucket=lambda c: F.year(c) * 100 + F.weekofyear(c))
     return out.withColumn("prev_value", r6("prev_value"))
+
+
+# ---------------------------------------------------------------------------------------------
+# FT-METRIC and FT-EMA
+
+from courtline.plans import metrics as MT  # noqa: E402
+
+
+def _metric_sql(t: dict) -> dict:
+    """The seven metrics as SQL over totals named in ``t`` (text expressions)."""
+    tp = f"({t['pts']} * {t['games']})"
+    mins = t["mins"]
+    tsa = f"(2 * ({t['fga']} + 0.44 * {t['fta']}))"
+    raw = (f"({tp} / {mins} + ({t['orb']} + {t['drb']}) / {mins} + {t['ast']} / {mins} + {t['stl']} / {mins}"
+           f" + {t['blk']} / {mins} - {t['tov']} / {mins} - {t['pf']} / {mins} - ({t['fga']} / {mins} - {t['fgm']} / {mins})"
+           f" - ({t['fta']} / {mins} - {t['ftm']} / {mins}))")
+    return {
+        "true_shooting_pct": f"CASE WHEN {tsa} > 0 THEN {tp} / {tsa} ELSE 0.0 END",
+        "usage_rate": f"CASE WHEN {mins} > 0 THEN 100 * ({t['fga']} + 0.44 * {t['fta']} + {t['tov']}) / {mins} ELSE 0.0 END",
+        "per": f"CASE WHEN {mins} > 0 THEN greatest(0.0, {raw} * 15) ELSE 0.0 END",
+        "efg_pct": f"CASE WHEN {t['fga']} > 0 THEN ({t['fgm']} + 0.5 * {t['fg3m']}) / {t['fga']} ELSE 0.0 END",
+        "ast_tov_ratio": f"CASE WHEN {t['tov']} > 0 THEN {t['ast']} / {t['tov']} WHEN {t['ast']} > 0 THEN {t['ast']} ELSE 0.0 END",
+        "steal_pct": f"CASE WHEN {mins} > 0 THEN {t['stl']} / {mins} * 48 ELSE 0.0 END",
+        "block_pct": f"CASE WHEN {mins} > 0 THEN {t['blk']} / {mins} * 48 ELSE 0.0 END",
+    }
+
+
+_SEASON_SQL = ("CAST(CASE WHEN month(game_date) >= 10 THEN year(game_date) ELSE year(game_date) - 1 END AS VARCHAR) || '-' || "
+               "lpad(CAST((CASE WHEN month(game_date) >= 10 THEN year(game_date) ELSE year(game_date) - 1 END + 1) % 100 AS VARCHAR), 2, '0')")
+_MT_TOT = {k: k for k in ["pts", "games"] + [k for k, _ in MT.METRIC_SUMS]}
+
+
+@register("ft_metrics_player_season", with_ctes(
+    "SELECT player_id, season, " + ", ".join(f"round(CAST({e} AS DOUBLE), 6) AS {n}" for n, e in _metric_sql(_MT_TOT).items())
+    + " FROM mt", extra="mt AS (SELECT player_id, " + _SEASON_SQL + " AS season, avg(points) AS pts, CAST(count(*) AS DOUBLE) AS games, "
+    + ", ".join(f"CAST(coalesce(sum({src}), 0) AS DOUBLE) AS {k}" for k, src in MT.METRIC_SUMS)
+    + " FROM logs_etl GROUP BY ALL)"))
+def q_ft_metrics(spark, sf_dir):
+    from courtline.functions.exprs import season_label
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    m = MT.advanced_metrics(logs.withColumn("season", season_label("game_date")), keys=("player_id", "season"))
+    return m.select("player_id", "season", *[r6(c).alias(c) for c in MT.METRIC_NAMES])
+
+
+def _ema_oracle():
+    stat_ctes, stat_cols = [], []
+    for name, src in MT.EMA_STATS:
+        stat_ctes.append(f"""e_{name} AS (
+  SELECT player_id, sum(v * w) / sum(w) AS {name}_ema, avg(v) AS {name}_sma,
+         CASE WHEN count(*) >= 3 THEN regr_slope(v, cpos) ELSE 0.0 END AS {name}_trend
+  FROM (SELECT player_id, CAST({src} AS DOUBLE) AS v, 0.2 * pow(0.8, pos) AS w,
+               row_number() OVER (PARTITION BY player_id ORDER BY pos) - 1 AS cpos
+        FROM rw WHERE {src} IS NOT NULL) GROUP BY player_id)""")
+        stat_cols += [f"{name}_ema", f"{name}_sma", f"{name}_trend"]
+    tot = {"pts": "pts", "games": "games", **{k: k for k, _ in MT.METRIC_SUMS}}
+    rec = _metric_sql(tot)
+    ctes = f"""
+eb AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) - 1 AS pos FROM logs_etl),
+es AS (SELECT player_id, count(dfs_points_dk) AS n_fp, avg(dfs_points_dk) AS m_fp, stddev_pop(dfs_points_dk) AS sd_fp,
+              count(*) AS n_logs FROM eb GROUP BY player_id),
+ew AS (SELECT *, CASE WHEN m_fp > 0 THEN sd_fp / m_fp ELSE 1.0 END AS cv FROM es WHERE n_fp >= 5),
+ew2 AS (SELECT *, CASE WHEN cv < 0.25 THEN least(15, n_logs) ELSE least(25, n_logs) END AS ws FROM ew),
+rw AS (SELECT eb.* FROM eb JOIN ew2 ON eb.player_id = ew2.player_id WHERE eb.pos < ew2.ws),
+{",".join(stat_ctes)},
+rm AS (SELECT player_id, avg(points) AS pts, CAST(count(*) AS DOUBLE) AS games,
+              {", ".join(f"CAST(coalesce(sum({src}), 0) AS DOUBLE) AS {k}" for k, src in MT.METRIC_SUMS)}
+       FROM rw GROUP BY player_id),
+rmm AS (SELECT player_id, {", ".join(f"CASE WHEN games >= 3 THEN {e} END AS {n}_recent" for n, e in rec.items())} FROM rm),
+mo AS (SELECT player_id, avg(dfs_points_dk) FILTER (WHERE cpos < 3) AS r3, avg(dfs_points_dk) FILTER (WHERE cpos >= 3) AS p3,
+              count(*) AS n6
+       FROM (SELECT player_id, dfs_points_dk,
+                    row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) - 1 AS cpos
+             FROM logs_etl WHERE dfs_points_dk IS NOT NULL) WHERE cpos < 6 GROUP BY player_id)"""
+    joins = " ".join(f"LEFT JOIN e_{n} USING (player_id)" for n, _ in MT.EMA_STATS)
+    sel = ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in
+                    stat_cols + [f"{m}_recent" for m in MT.METRIC_NAMES])
+    body = f"""SELECT player_id, {sel}, round(sd_fp, 6) AS fantasy_points_volatility, round(cv, 6) AS fantasy_points_cv,
+       round(1 / (1 + cv), 6) AS consistency_rating,
+       round(CASE WHEN n6 >= 6 THEN (CASE WHEN p3 > 0 THEN r3 / p3 ELSE 1.0 END) END, 6) AS momentum_ratio
+FROM ew2 JOIN rmm USING (player_id) {joins} LEFT JOIN mo USING (player_id)"""
+    return with_ctes(body, extra=ctes)
+
+
+@register("ft_ema_decay_players", _ema_oracle())
+def q_ft_ema(spark, sf_dir):
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    m = MT.moving_averages_with_decay(logs)
+    return m.select("player_id", *[r6(c).alias(c) for c in MT.EMA_COLUMNS])

@@ -174,7 +174,7 @@ def features_select_sql(cols=FEATURE_COLS, source: str = "feat") -> str:
         if c in INT_FEATURES:
             parts.append(f"CAST({e} AS BIGINT) AS {c}")
         elif c in DOUBLE_FEATURES:
-            parts.append(f"round(CAST({e} AS DOUBLE), 6) AS {c}")
+            parts.append(f"round(CAST({e} AS DOUBLE), 6) + 0.0 AS {c}")
         else:
             parts.append(f"{e} AS {c}")
     return "SELECT " + ",\n  ".join(parts) + f"\nFROM {source}"
