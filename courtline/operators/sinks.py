@@ -61,18 +61,24 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 # upsert
 
 
+def dedup_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One update per key: the last by ``_seq`` when present, else any one (replays of one row)."""
+    if "_seq" in updates.columns:
+        w = Window.partitionBy(*keys).orderBy(F.col("_seq").desc())
+        return updates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_seq")
+    return updates.dropDuplicates(list(keys))
+
+
 def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
                update_cols: Sequence[str] | None = None) -> DataFrame:
     """UP-MERGE as a frame operation: rows of ``updates`` replace the listed columns of the existing
     row with the same key (other columns keep their stored value); new keys are inserted; existing
-    keys without an update stay. Duplicate update keys: the last one in ``_seq`` order (or any
-    one) wins. One full outer join on the key."""
+    keys without an update stay. Duplicate update keys: the last one in ``_seq`` order wins
+    (without ``_seq`` they are taken as replays of one row and kept once). One full outer join on
+    the key."""
     cols = existing.columns
     update_cols = [c for c in (update_cols or [c for c in updates.columns if c not in keys]) if c in cols]
-    u = updates
-    if "_seq" in u.columns:
-        w = Window.partitionBy(*keys).orderBy(F.col("_seq").desc())
-        u = u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_seq")
+    u = dedup_updates(updates, keys)
     u = u.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in update_cols], F.lit(True).alias("_hit"))
     j = existing.withColumn("_old", F.lit(True)).join(u, list(keys), "full_outer")
     out = []
@@ -95,7 +101,8 @@ def upsert_partitioned(spark: SparkSession, target: str, updates: DataFrame, key
     except Exception:  # noqa: BLE001 - first write creates the table
         current = None
     if current is None:
-        write_partitioned(updates.select(*[c for c in updates.columns if c != "_seq"]), target, partition_cols)
+        first = dedup_updates(updates, keys)
+        write_partitioned(first, target, partition_cols)
         return
     touched = updates.select(*partition_cols).distinct()
     existing = current.join(F.broadcast(touched) if len(partition_cols) else touched, list(partition_cols), "left_semi")
