@@ -90,26 +90,59 @@ def _prep(logs: DataFrame) -> DataFrame:
 
 def log_states(logs: DataFrame) -> DataFrame:
     """One row per game log: the state of the player's history ending with that game (inclusive),
-    plus ``next_date`` (date of the player's next game, NULL for the last one)."""
+    plus ``next_date`` (date of the player's next game, NULL for the last one).
+
+    Sums and means over the last n games are running sums minus the running sum n rows back
+    (``lag``): running frames are evaluated incrementally, where each sliding frame would rescan its
+    n rows for every row. Inputs of those sums are integers or two-decimal scores, so the differences
+    are exact (or far from any 6-digit rounding boundary). Standard deviations and means of arbitrary
+    doubles (usage, true shooting) stay sliding-frame aggregates.
+    """
     base = _prep(logs)
+    c = F.col
     framed = chunk_with_halo(base, ["player_id"], list(ORDER), season_chunk("game_date"),
                              lookback=HISTORY - 1, next_of="game_date")
+    # extra per-row inputs of the running sums
+    framed = framed.withColumns({
+        "one": F.lit(1.0),
+        "rest0": F.coalesce(c("rest_days").cast("double"), F.lit(0.0)),
+        "rest_n": F.when(c("rest_days").isNotNull(), 1.0).otherwise(0.0),
+        "h_n": F.when(c("home"), 1.0).otherwise(0.0), "a_n": F.when(~c("home"), 1.0).otherwise(0.0),
+        "h_p": F.when(c("home"), c("points0")).otherwise(0.0), "a_p": F.when(~c("home"), c("points0")).otherwise(0.0),
+        "h_d": F.when(c("home"), c("dfs_points_dk0")).otherwise(0.0),
+        "a_d": F.when(~c("home"), c("dfs_points_dk0")).otherwise(0.0),
+        "o_n": F.when(c("_own"), 1.0).otherwise(0.0), "o_p": F.when(c("_own"), c("points0")).otherwise(0.0),
+        "o_d": F.when(c("_own"), c("dfs_points_dk0")).otherwise(0.0),
+    })
     w = Window.partitionBy("player_id", "_chunk").orderBy(*ORDER)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    summed = (["points0", "rebounds_total0", "assists0", "steals0", "blocks0", "turnovers0", "minutes0",
+               "dfs_points_dk0", "per_pos", "per_neg", "rest0", "rest_n", "h_n", "a_n", "h_p", "a_p", "h_d", "a_d",
+               "o_n", "o_p", "o_d"]
+              + [f"{m}0" for _, m, _ in ROLL_PCT] + [f"{a}0" for _, _, a in ROLL_PCT])
+    step1 = framed.select("*", F.row_number().over(w).alias("_rn"),
+                          *[F.sum(x).over(running).alias(f"_c_{x}") for x in summed])
+
+    def wsum(x, n, skip=0):
+        """Sum of x over the n rows ending ``skip`` rows before the current one."""
+        hi = F.col(f"_c_{x}") if skip == 0 else F.lag(f"_c_{x}", skip).over(w)
+        return hi - F.coalesce(F.lag(f"_c_{x}", n + skip).over(w), F.lit(0.0))
 
     def fr(n):
         return w.rowsBetween(-(n - 1), 0)
 
-    def rows(lo, hi):
-        return w.rowsBetween(lo, hi)
-
-    out = {"n_hist": F.count(F.lit(1)).over(fr(HISTORY))}
+    rn = F.col("_rn")
+    out = {"n_hist": F.least(rn, F.lit(HISTORY))}
     for n in ROLL_WINDOWS:
+        ok = rn >= n
         f = fr(n)
-        ok = F.count(F.lit(1)).over(f) == n
         for name, src in ROLL_AVG:
-            out[f"avg_{name}_L{n}"] = F.when(ok, F.avg(f"{src}0").over(f))
+            if src in ("usage_rate", "true_shooting_percentage"):
+                out[f"avg_{name}_L{n}"] = F.when(ok, F.avg(f"{src}0").over(f))
+            else:
+                out[f"avg_{name}_L{n}"] = F.when(ok, wsum(f"{src}0", n) / n)
         for name, m, a in ROLL_PCT:
-            out[f"avg_{name}_pct_L{n}"] = F.when(ok, safe_div(F.sum(f"{m}0").over(f), F.sum(f"{a}0").over(f)))
+            out[f"avg_{name}_pct_L{n}"] = F.when(ok, safe_div(wsum(f"{m}0", n), wsum(f"{a}0", n)))
         for name, src in ROLL_STD:
             out[f"std_{name}_L{n}"] = F.when(ok, F.stddev_samp(f"{src}0").over(f))
         out[f"games_played_L{n}"] = F.when(ok, F.lit(n))
@@ -117,38 +150,35 @@ def log_states(logs: DataFrame) -> DataFrame:
     out["last_game_points"] = F.col("points0")
     out["last_game_dfs_points"] = F.col("dfs_points_dk0")
     out["last_game_minutes"] = F.col("minutes0")
-    six = F.count(F.lit(1)).over(fr(6)) == 6
     for name, src in (("points_trend_recent", "points0"), ("dfs_trend_recent", "dfs_points_dk0")):
-        out[name] = F.when(six, F.avg(src).over(rows(-2, 0)) - F.avg(src).over(rows(-5, -3)))
-    ten = F.count(F.lit(1)).over(fr(10)) == 10
-    out["recent_consistency"] = F.when(ten, 1.0 / (1.0 + F.stddev_pop("dfs_points_dk0").over(fr(10))))
+        out[name] = F.when(rn >= 6, wsum(src, 3) / 3 - wsum(src, 3, skip=3) / 3)
+    out["recent_consistency"] = F.when(rn >= 10, 1.0 / (1.0 + F.stddev_pop("dfs_points_dk0").over(fr(10))))
     # advanced (last 15 totals; last 10 truthy usage / true shooting, newest first)
-    tm = F.sum("minutes0").over(fr(15))
-    out["per_estimate"] = F.when(tm > 0, (F.sum("per_pos").over(fr(15)) - F.sum("per_neg").over(fr(15))) / (tm / 48))
+    tm = wsum("minutes0", 15)
+    out["per_estimate"] = F.when(tm > 0, (wsum("per_pos", 15) - wsum("per_neg", 15)) / (tm / 48))
     out["_usage_arr"] = F.reverse(F.collect_list("usage_t").over(fr(10)))
     out["_ts_arr"] = F.reverse(F.collect_list("ts_t").over(fr(10)))
     # rest pattern over the last 10 (NULLs skipped)
-    out["avg_rest_days"] = F.avg("rest_days").over(fr(10))
+    rn10 = wsum("rest_n", 10)
+    out["avg_rest_days"] = F.when(rn10 > 0, wsum("rest0", 10) / rn10)
     out["std_rest_days"] = F.stddev_pop("rest_days").over(fr(10))
     # home / away over the last 20 (NULL is_home counts as away)
-    f20 = fr(20)
-    hc = F.count_if(F.col("home")).over(f20)
-    ac = F.count_if(~F.col("home")).over(f20)
-    out["avg_points_home"] = F.avg(F.when(F.col("home"), F.col("points0"))).over(f20)
-    out["avg_dfs_home"] = F.avg(F.when(F.col("home"), F.col("dfs_points_dk0"))).over(f20)
-    out["home_games_count"] = F.when(hc > 0, hc)
-    out["avg_points_away"] = F.avg(F.when(~F.col("home"), F.col("points0"))).over(f20)
-    out["avg_dfs_away"] = F.avg(F.when(~F.col("home"), F.col("dfs_points_dk0"))).over(f20)
-    out["away_games_count"] = F.when(ac > 0, ac)
+    hc, ac = wsum("h_n", 20), wsum("a_n", 20)
+    out["avg_points_home"] = F.when(hc > 0, wsum("h_p", 20) / hc)
+    out["avg_dfs_home"] = F.when(hc > 0, wsum("h_d", 20) / hc)
+    out["home_games_count"] = F.when(hc > 0, hc.cast("long"))
+    out["avg_points_away"] = F.when(ac > 0, wsum("a_p", 20) / ac)
+    out["avg_dfs_away"] = F.when(ac > 0, wsum("a_d", 20) / ac)
+    out["away_games_count"] = F.when(ac > 0, ac.cast("long"))
     # season-to-date inside the last 50: the chunk is the season, so own rows are the season's rows
-    f50 = fr(HISTORY)
-    out["season_games_played"] = F.count_if(F.col("_own")).over(f50)
-    out["season_avg_points"] = F.avg(F.when(F.col("_own"), F.col("points0"))).over(f50)
-    out["season_avg_dfs"] = F.avg(F.when(F.col("_own"), F.col("dfs_points_dk0"))).over(f50)
-    out["_season_dfs"] = F.collect_list(F.when(F.col("_own"), F.col("dfs_points_dk0"))).over(f50)
+    sc = wsum("o_n", HISTORY)
+    out["season_games_played"] = sc.cast("long")
+    out["season_avg_points"] = F.when(sc > 0, wsum("o_p", HISTORY) / sc)
+    out["season_avg_dfs"] = F.when(sc > 0, wsum("o_d", HISTORY) / sc)
+    out["_season_dfs"] = F.collect_list(F.when(F.col("_own"), F.col("dfs_points_dk0"))).over(fr(HISTORY))
     out["next_date"] = F.coalesce(F.lead("game_date").over(w), F.col("_next_chunk_first"))
 
-    st = framed.select("player_id", "game_id", "game_date", "_own", *[v.alias(k) for k, v in out.items()])
+    st = step1.select("player_id", "game_id", "game_date", "_own", *[v.alias(k) for k, v in out.items()])
     st = st.where("_own").drop("_own")
     # array features are finished per state (arrays hold at most 10 / 50 values)
     m = F.size("_season_dfs")
@@ -239,13 +269,32 @@ def salary_features(salaries: DataFrame, logs: DataFrame, start, end) -> DataFra
 
 def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, injuries: DataFrame,
                       salaries: DataFrame, start, end, *, opponent: bool = True, injury: bool = True,
-                      rest: bool = True, home_away: bool = True, salary: bool = True) -> DataFrame:
+                      rest: bool = True, home_away: bool = True, salary: bool = True,
+                      materialize: bool = True) -> DataFrame:
     """FT-BATCH: the 110 feature columns for every active player and every day in [start, end]
-    that has at least ``MIN_GAMES`` games before it. Config switches drop a group to NULLs."""
+    that has at least ``MIN_GAMES`` games before it. Config switches drop a group to NULLs.
+
+    With ``materialize`` the cleaned logs and salaries are checkpointed once (written to the shared
+    ``spark.checkpoint.dir``, lineage cut): the state, opponent and salary branches then read the same
+    files instead of recomputing the ETL each, and a lost executor recomputes nothing upstream."""
+    if materialize:
+        logs = logs.checkpoint(eager=True)
+        salaries = salaries.checkpoint(eager=True)
     st = log_states(logs).where(F.col("n_hist") >= MIN_GAMES)
     active = players.where(F.col("is_active")).select("player_id", *INFO_COLS)
     st = st.join(active, "player_id")
-    spine = explode_intervals(st, F.col("game_date"), F.col("next_date"), start, end)
+    # The side features are joined on a narrow spine (player, anchor game, day); the wide states meet
+    # them once, on the anchor key. Shuffling the exploded wide rows instead would move every state
+    # once per day it covers.
+    keys = explode_intervals(st.select("player_id", "game_id", "game_date", "next_date"), F.col("game_date"),
+                             F.col("next_date"), start, end).drop("next_date")
+    if injury:
+        keys = keys.join(injury_features(injuries, start, end), KEY_COLS, "left")
+    if opponent:
+        keys = keys.join(opponent_features(logs, games, players, start, end), KEY_COLS, "left")
+    if salary:
+        keys = keys.join(salary_features(salaries, logs, start, end), KEY_COLS, "left")
+    spine = keys.join(st.drop("game_date", "next_date"), ["player_id", "game_id"])
     t = F.col("target_date")
     same_season = season_start(t) == season_start(F.col("game_date"))
     rd = F.datediff(t, F.col("game_date")) - 1
@@ -254,12 +303,6 @@ def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, inj
         "is_back_to_back": rd == 0,
         "season_ok": (F.col("n_hist") >= 10) & same_season,
     })
-    if injury:
-        spine = spine.join(injury_features(injuries, start, end), KEY_COLS, "left")
-    if opponent:
-        spine = spine.join(opponent_features(logs, games, players, start, end), KEY_COLS, "left")
-    if salary:
-        spine = spine.join(salary_features(salaries, logs, start, end), KEY_COLS, "left")
 
     def col_or_null(c, dtype="double"):
         return F.col(c) if c in spine.columns else F.lit(None).cast(dtype)
