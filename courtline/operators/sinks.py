@@ -39,12 +39,15 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return True
 
 
-def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite") -> None:
-    """SNK-PART: hive-partitioned snappy parquet. Rows are clustered by the partition columns first
-    so each task writes few files per partition; with dynamic overwrite only the partitions present
-    in ``df`` are replaced."""
-    (df.repartition(*cols).write.mode(mode).partitionBy(*cols)
-     .option("compression", "snappy").parquet(path))
+def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite",
+                      max_records_per_file: int = 5_000_000) -> None:
+    """SNK-PART: hive-partitioned snappy parquet; with dynamic overwrite only the partitions present
+    in ``df`` are replaced. Rows are clustered by the partition columns with a ``rebalance`` hint:
+    AQE splits a partition value that holds a large share of the rows over several tasks (a plain
+    ``repartition(cols)`` would put all of it in one task) and merges small ones, so each partition
+    directory gets few, large files."""
+    (df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
+     .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -215,6 +218,17 @@ def missing(wanted: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Data
     return wanted.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def with_parent(df: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """JN-SEMI: rows that have a matching parent row (the complement is ``missing``)."""
+    return df.join(parent.select(*keys), list(keys), "left_semi")
+
+
+def days_with_odds(odds: DataFrame, games: DataFrame) -> DataFrame:
+    """JN-ODDSGAME: days that already have odds, through the odds' games (feeds ``missing``)."""
+    g = games.select(F.col("game_id").cast("string").alias("game_id"), "game_date")
+    return odds.select(F.col("game_id").cast("string").alias("game_id")).join(g, "game_id").select("game_date").distinct()
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """SO-UNION: concatenate frames by column name; a column missing in some frame is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

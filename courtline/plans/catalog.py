@@ -894,3 +894,93 @@ def q_ft_ema(spark, sf_dir):
     _, _, logs = etl_domain(Domain(spark, sf_dir))
     m = MT.moving_averages_with_decay(logs)
     return m.select("player_id", *[r6(c).alias(c) for c in MT.EMA_COLUMNS])
+
+
+# ---------------------------------------------------------------------------------------------
+# more ingestion and exports: raw game / injury rows, injury / salary / team exports, odds gaps
+
+@register("io_raw_games_ingest", with_ctes("""
+SELECT CAST(game_id AS VARCHAR) AS game_id, game_date,
+       CAST(CASE WHEN month(game_date) >= 10 THEN year(game_date) ELSE year(game_date) - 1 END AS VARCHAR) || '-' ||
+       lpad(CAST((CASE WHEN month(game_date) >= 10 THEN year(game_date) ELSE year(game_date) - 1 END + 1) % 100 AS VARCHAR), 2, '0') AS season,
+       'Regular Season' AS season_type, home_team_id, away_team_id,
+       CAST(NULL AS INTEGER) AS home_score, CAST(NULL AS INTEGER) AS away_score,
+       CASE WHEN game_id % 2 = 0 THEN 'Final' ELSE 'Scheduled' END AS game_status, '' AS game_time
+FROM games""", etl=False))
+def q_io_raw_games(spark, sf_dir):
+    g = Domain(spark, sf_dir).games
+    rows = g.select(F.col("game_id").cast("string").alias("gameID"), F.date_format("game_date", "yyyyMMdd").alias("date_str"),
+                    F.lit(None).cast("string").alias("seasonType"), F.col("home_team_id").cast("string").alias("homeTeamID"),
+                    F.col("away_team_id").cast("string").alias("awayTeamID"), F.lit(None).cast("string").alias("homeScore"),
+                    F.lit(None).cast("string").alias("awayScore"),
+                    F.when(F.col("game_id") % 2 == 0, "Final").alias("gameStatus"),
+                    F.lit(None).cast("string").alias("gameTime"))
+    return SK.raw_games(rows)
+
+
+@register("io_raw_injuries_ingest", with_ctes("""
+SELECT player_id, injury_date, status, '' AS description, body_part FROM injuries""", etl=False))
+def q_io_raw_injuries(spark, sf_dir):
+    inj = Domain(spark, sf_dir).injuries
+    raw = inj.select(F.col("player_id").cast("string").alias("playerID"),
+                     F.date_format("injury_date", "yyyyMMdd").alias("injDate"), "status",
+                     F.lit(None).cast("string").alias("description"), F.col("body_part").alias("bodyPart"))
+    # blank dates are skipped: append a copy of the rows with an empty date, which must vanish
+    raw = raw.unionByName(raw.withColumn("injDate", F.lit("")))
+    return SK.raw_injuries(raw)
+
+
+_SEASON_OF = lambda col: (f"CAST(CASE WHEN month({col}) >= 10 THEN year({col}) ELSE year({col}) - 1 END AS VARCHAR) || '-' || "
+                          f"lpad(CAST((CASE WHEN month({col}) >= 10 THEN year({col}) ELSE year({col}) - 1 END + 1) % 100 AS VARCHAR), 2, '0')")
+
+
+@register("io_export_injuries_salaries", with_ctes(f"""
+SELECT 'injuries' AS dataset, {_SEASON_OF('injury_date')} AS part, count(*) AS records,
+       min(injury_date) AS first_day, max(injury_date) AS last_day FROM injuries GROUP BY 2
+UNION ALL
+SELECT 'dfs_salaries', {_SEASON_OF('game_date')} || '/' || platform, count(*), min(game_date), max(game_date)
+FROM dfs_salaries GROUP BY 2""", etl=False))
+def q_io_export_inj_sal(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    root = _scratch(spark, "export-inj-sal")
+    EX.export_injuries(d.injuries, f"{root}/injury_reports")
+    EX.export_salaries(d.dfs_salaries, f"{root}/dfs_salaries")
+    i = (FS.read_parquet(spark, f"{root}/injury_reports").groupBy("season")
+         .agg(F.count(F.lit(1)).alias("records"), F.min("injury_date").alias("first_day"),
+              F.max("injury_date").alias("last_day"))
+         .select(F.lit("injuries").alias("dataset"), F.col("season").alias("part"), "records", "first_day", "last_day"))
+    s = (FS.read_parquet(spark, f"{root}/dfs_salaries").groupBy("season", "platform")
+         .agg(F.count(F.lit(1)).alias("records"), F.min("game_date").alias("first_day"),
+              F.max("game_date").alias("last_day"))
+         .select(F.lit("dfs_salaries").alias("dataset"), F.concat("season", F.lit("/"), "platform").alias("part"),
+                 "records", "first_day", "last_day"))
+    return i.unionByName(s)
+
+
+@register("io_team_game_logs", with_ctes("""
+SELECT CASE WHEN coalesce(l.is_home, FALSE) THEN g.home_team_id ELSE g.away_team_id END AS team_id, l.game_id, l.game_date,
+       """ + ", ".join(f"CAST(sum(coalesce(l.{c}, 0)) AS BIGINT) AS {c}" for c in EX.TEAM_LOG_SUMS) + """,
+       round(CASE WHEN sum(coalesce(l.field_goals_attempted,0)) = 0 THEN 0.0 ELSE sum(coalesce(l.field_goals_made,0)) / sum(coalesce(l.field_goals_attempted,0)) END, 6) AS field_goal_percentage,
+       round(CASE WHEN sum(coalesce(l.three_pointers_attempted,0)) = 0 THEN 0.0 ELSE sum(coalesce(l.three_pointers_made,0)) / sum(coalesce(l.three_pointers_attempted,0)) END, 6) AS three_point_percentage,
+       round(CASE WHEN sum(coalesce(l.free_throws_attempted,0)) = 0 THEN 0.0 ELSE sum(coalesce(l.free_throws_made,0)) / sum(coalesce(l.free_throws_attempted,0)) END, 6) AS free_throw_percentage,
+       coalesce(l.is_home, FALSE) AS is_home,
+       CASE WHEN coalesce(l.is_home, FALSE) THEN g.away_team_id ELSE g.home_team_id END AS opponent_team_id
+FROM logs_etl l JOIN games g ON l.game_id = g.game_id
+GROUP BY 1, l.game_id, l.game_date, coalesce(l.is_home, FALSE), g.home_team_id, g.away_team_id"""))
+def q_io_team_logs(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    _, _, logs = etl_domain(d)
+    t = EX.team_game_logs(logs, d.games)
+    return t.withColumns({c: r6(c) for c in ("field_goal_percentage", "three_point_percentage", "free_throw_percentage")})
+
+
+@register("io_days_without_odds", with_ctes("""
+SELECT DISTINCT game_date FROM games WHERE game_date NOT IN (
+  SELECT g.game_date FROM games g WHERE g.game_id % 3 <> 0)""", etl=False))
+def q_io_odds_gaps(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    path = _scratch(spark, "odds-gap-docs")
+    _odds_docs(d.games).write.mode("overwrite").json(path)
+    odds = SK.raw_odds(FS.flatten_odds(FS.read_documents(spark, path, FS.ODDS_DOC)), "2024-01-01 00:00:00")
+    wanted = d.games.select("game_date").distinct()
+    return SK.missing(wanted, SK.days_with_odds(odds, d.games), ["game_date"])

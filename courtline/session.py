@@ -37,10 +37,12 @@ def get_session(master: str | None = None, app: str = "courtline", shuffle_parti
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULTS)
-    if shuffle_partitions is not None:
+    from pyspark import SparkConf
+    preset = dict(SparkConf().getAll())  # what spark-submit / the cluster already set
+    conf = {k: v for k, v in DEFAULTS.items() if k not in preset}
+    if shuffle_partitions is not None and "spark.sql.shuffle.partitions" not in preset:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+    conf.update(extra or {})  # explicit arguments of the caller win
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
