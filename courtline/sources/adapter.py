@@ -86,7 +86,10 @@ class Domain:
         def m(mult, mod):
             return ((k * mult) % mod).cast("int")
 
-        return (li.join(g, "game_id")
+        # Sort-merge join: the logs side is already hash-partitioned on the order key, so only the
+        # games side moves. (Left to itself the planner may broadcast the *logs* and stream the games,
+        # which puts all log rows in as many tasks as the games scan has - one per file.)
+        return (li.join(g.hint("merge"), "game_id")
                 .select("player_id", "game_id", "game_date", "minutes",
                         F.when(k % 17 == 0, F.lit(None)).otherwise(k % 41).cast("int").alias("points"),
                         m(7, 19).alias("field_goals_made"), m(5, 23).alias("field_goals_attempted"),
