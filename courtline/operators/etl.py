@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions.exprs import (any_of, coalesce0, count_at_least, dfs_score, truthy,
                                        weights_for, BOX_SCORE_DEFAULTS)
-from courtline.operators.frames import chunk_with_halo, season_chunk
+from courtline.operators.frames import lag_across_chunks, season_chunk
 
 # ---------------------------------------------------------------------------------------------
 # players
@@ -173,22 +173,21 @@ def rest_days(logs: DataFrame, players: DataFrame, chunked: bool = True) -> Data
     max(0, days since the previous game - 1). Logs of inactive or unknown players keep their value.
 
     The previous game comes from a per-player lag. With ``chunked`` the window is split per
-    (player, season) and each season chunk carries the one row before it (a halo), so a player with a
-    huge history never lands in a single task.
+    (player, season) and a season's first game takes the previous season's last date from a small
+    per-season table, so a player with a huge history never lands in a single task.
     """
     active = players.where(F.col("is_active")).select("player_id").distinct()
     flagged = logs.join(active.withColumn("_act", F.lit(True)), "player_id", "left")
     order = ["game_date", "game_id"]
     if chunked:
-        framed = chunk_with_halo(flagged, ["player_id"], order, season_chunk("game_date"), lookback=1)
-        w = Window.partitionBy("player_id", "_chunk").orderBy(*order)
+        framed = lag_across_chunks(flagged, ["player_id"], order, season_chunk("game_date"), "game_date", "_prev")
     else:
-        framed = flagged.withColumn("_own", F.lit(True))
         w = Window.partitionBy("player_id").orderBy(*order)
-    prev = F.lag("game_date", 1).over(w)
+        framed = flagged.withColumn("_prev", F.lag("game_date", 1).over(w))
+    prev = F.col("_prev")
     rd = F.when(prev.isNull(), F.lit(0)).otherwise(F.greatest(F.datediff("game_date", prev) - 1, F.lit(0)))
     out = framed.withColumn("rest_days", F.when(F.col("_act"), rd.cast("int")).otherwise(F.col("rest_days")))
-    return out.where("_own").select(*logs.columns)
+    return out.select(*logs.columns)
 
 
 # ---------------------------------------------------------------------------------------------

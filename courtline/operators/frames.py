@@ -138,3 +138,19 @@ def positions_from_end(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     counts = counts.withColumn("_later", F.coalesce(F.sum("_n").over(wk), F.lit(0))).drop("_n")
     return (base.join(counts, [*keys, "_src"])
             .withColumn(alias, F.col("_after") + F.col("_later")).drop("_after", "_later", "_src"))
+
+
+def lag_across_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, col: str,
+                      alias: str) -> DataFrame:
+    """``lag(col, 1)`` over each key's rows in ``order``, computed per (key, chunk): the first row of a
+    chunk takes the last value of the key's previous non-empty chunk from a small per-chunk aggregate
+    (``max_by`` + ``lag`` over chunks). No row is copied and no task sees a whole key."""
+    base = df.withColumn("_src", chunk)
+    last = (base.groupBy(*keys, "_src")
+            .agg(F.max_by(F.col(col), F.struct(*[F.col(c) for c in order])).alias("_last")))
+    wk = Window.partitionBy(*keys).orderBy("_src")
+    carry = last.select(*keys, "_src", F.lag("_last").over(wk).alias("_prev_chunk_last"))
+    w = Window.partitionBy(*keys, "_src").orderBy(*order)
+    out = base.join(carry, [*keys, "_src"])
+    return out.withColumn(alias, F.coalesce(F.lag(col).over(w), F.col("_prev_chunk_last"))) \
+        .drop("_src", "_prev_chunk_last")
