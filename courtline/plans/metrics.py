@@ -93,7 +93,8 @@ def moving_averages_with_decay(logs: DataFrame, alpha: float = 0.2, key: str = "
     the window (with at least 3 logs); volatility, cv, consistency = 1 / (1 + cv); momentum = mean of
     the newest 3 scores / mean of the next 3 (1.0 if that is <= 0; needs 6)."""
     cols = sorted({src for _, src in EMA_STATS} | {src for _, src in METRIC_SUMS} | {"points"})
-    base = logs.select(key, "game_date", "game_id", *cols)
+    # four branches read the same projected logs: materialise them once (shared checkpoint folder)
+    base = logs.select(key, "game_date", "game_id", *cols).checkpoint()
     fp = F.col("dfs_points_dk")
     stats = base.groupBy(key).agg(F.count(fp).alias("n_fp"), F.avg(fp).alias("m_fp"),
                                   F.stddev_pop(fp).alias("sd_fp"), F.count(F.lit(1)).alias("n_logs"))
