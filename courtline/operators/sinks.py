@@ -99,14 +99,12 @@ def upsert_partitioned(spark: SparkSession, target: str, updates: DataFrame, key
                        partition_cols: Sequence[str], update_cols: Sequence[str] | None = None) -> None:
     """Keyed upsert into a partitioned parquet table: read only the partitions the updates touch,
     merge, stage, then replace exactly those partitions."""
-    try:
-        current = spark.read.parquet(target)
-    except Exception:  # noqa: BLE001 - first write creates the table
-        current = None
-    if current is None:
+    from courtline.sources.files import path_exists
+    if not path_exists(spark, target):  # the first write creates the table
         first = dedup_updates(updates, keys)
         write_partitioned(first, target, partition_cols)
         return
+    current = spark.read.parquet(target)
     touched = updates.select(*partition_cols).distinct()
     existing = current.join(F.broadcast(touched) if len(partition_cols) else touched, list(partition_cols), "left_semi")
     merged = merge_rows(existing.select(*current.columns), updates, keys, update_cols).select(*current.columns)

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtline.session import cut_lineage
+
 from courtline.functions.exprs import (array_mean, array_slope, array_std_pop, coalesce0, safe_div,
                                        season_start, truthy)
 from courtline.operators.frames import asof_join, chunk_with_halo, explode_intervals, season_chunk
@@ -278,8 +280,8 @@ def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, inj
     ``spark.checkpoint.dir``, lineage cut): the state, opponent and salary branches then read the same
     files instead of recomputing the ETL each, and a lost executor recomputes nothing upstream."""
     if materialize:
-        logs = logs.checkpoint(eager=True)
-        salaries = salaries.checkpoint(eager=True)
+        logs = cut_lineage(logs)
+        salaries = cut_lineage(salaries)
     st = log_states(logs).where(F.col("n_hist") >= MIN_GAMES)
     active = players.where(F.col("is_active")).select("player_id", *INFO_COLS)
     st = st.join(active, "player_id")

@@ -14,6 +14,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtline.session import cut_lineage
+
 from courtline.functions.exprs import array_slope
 from courtline.operators.frames import positions_from_end, season_chunk
 
@@ -94,7 +96,7 @@ def moving_averages_with_decay(logs: DataFrame, alpha: float = 0.2, key: str = "
     the newest 3 scores / mean of the next 3 (1.0 if that is <= 0; needs 6)."""
     cols = sorted({src for _, src in EMA_STATS} | {src for _, src in METRIC_SUMS} | {"points"})
     # four branches read the same projected logs: materialise them once (shared checkpoint folder)
-    base = logs.select(key, "game_date", "game_id", *cols).checkpoint()
+    base = cut_lineage(logs.select(key, "game_date", "game_id", *cols))
     fp = F.col("dfs_points_dk")
     stats = base.groupBy(key).agg(F.count(fp).alias("n_fp"), F.avg(fp).alias("m_fp"),
                                   F.stddev_pop(fp).alias("sd_fp"), F.count(F.lit(1)).alias("n_logs"))

@@ -19,6 +19,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtline.session import cut_lineage
+
 from courtline.functions.exprs import coalesce0
 from courtline.operators.frames import positions_from_end, season_chunk
 
@@ -198,13 +200,14 @@ def correlation_matrix(logs: DataFrame, player_ids: DataFrame, start=None, end=N
     # the id list and the listed players' series are materialised once (checkpoint in the shared
     # folder): the size check, the self join and the diagonal then read them instead of recomputing
     # the upstream plan three times
-    ids = player_ids.select("player_id").distinct().checkpoint()
+    ids = cut_lineage(player_ids.select("player_id").distinct())
     n_ids = ids.count()
     if n_ids > MAX_CORR_PLAYERS:
         raise ValueError(f"correlation over {n_ids} players; at most {MAX_CORR_PLAYERS} are allowed")
     l = (filter_optional(logs, start=start, end=end).where(F.col("dfs_points_dk").isNotNull())
          .join(F.broadcast(ids), "player_id")  # size checked above
-         .select("player_id", "game_date", F.col("dfs_points_dk").cast("double").alias("v"))).checkpoint()
+         .select("player_id", "game_date", F.col("dfs_points_dk").cast("double").alias("v")))
+    l = cut_lineage(l)
     a = l.select(F.col("player_id").alias("player_a"), "game_date", F.col("v").alias("x"))
     b = l.select(F.col("player_id").alias("player_b"), "game_date", F.col("v").alias("y"))
     pairs = a.join(b, "game_date").where(F.col("player_a") != F.col("player_b"))

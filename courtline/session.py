@@ -77,3 +77,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     when the cluster names one)."""
     root = checkpoint_root(spark)
     return os.path.join(root, "courtline-staging", name) if "://" not in root else f"{root}/courtline-staging/{name}"
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage (``checkpoint()``: a
+    reliable checkpoint that survives executor loss; never ``localCheckpoint``). Works in any session:
+    the folder is the session's ``spark.checkpoint.dir`` or, only where that is unset, a scratch one."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

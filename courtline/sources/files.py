@@ -42,6 +42,12 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the cluster's file system (metadata only)."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def list_files(spark: SparkSession, directory: str, suffix: str = "") -> list[str]:
     """File names under a directory (metadata only, through the cluster's file system)."""
     fs, p, _ = _hadoop_fs(spark, directory)
