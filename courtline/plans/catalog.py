@@ -668,8 +668,9 @@ def _odds_docs(games):
                     F.col("home_team_id").cast("string").alias("teamIDHome"),
                     F.col("away_team_id").cast("string").alias("teamIDAway"),
                     F.lit(None).cast("string").alias("last_updated_e_time"), odds.alias("sportsBooks"))
-    # one document per day and bucket of games (documents stay small however many games a day has)
-    return (g.groupBy("game_date", (F.col("game_id") % 8).alias("_b"))
+    # one document per day and block of 16 consecutive game ids: a document never holds more than 16
+    # games, however many games a day has
+    return (g.groupBy("game_date", F.floor(F.col("game_id") / 16).alias("_b"))
             .agg(F.collect_list(game).alias("body")).select("body"))
 
 
@@ -692,7 +693,9 @@ def _salary_docs(sal):
                    F.col("position").alias("pos"), F.lit(None).cast("string").alias("team"),
                    F.lit(None).cast("string").alias("teamID"), F.col("salary").cast("string").alias("salary"))
     arrays = {k: F.collect_list(F.when(F.col("platform") == name, row)) for k, name in FS.PLATFORM_ARRAYS}
-    return (sal.groupBy(F.date_format("game_date", "yyyyMMdd").alias("date_str"), (F.col("player_id") % 8).alias("_b"))
+    # one document per day and block of 16 consecutive player ids (at most 16 players x 3 platforms)
+    return (sal.groupBy(F.date_format("game_date", "yyyyMMdd").alias("date_str"),
+                        F.floor(F.col("player_id") / 16).alias("_b"))
             .agg(*[v.alias(k) for k, v in arrays.items()])
             .select("date_str", F.struct(*[F.col(k) for k, _ in FS.PLATFORM_ARRAYS]).alias("body")))
 

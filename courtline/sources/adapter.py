@@ -6,8 +6,8 @@ The same definitions exist twice: as DataFrame code (what the library runs) and
 only, so they agree row for row.
 
 Scale notes: every frame is a lazy plan. ``player_game_logs`` aggregates lineitem by
-(supplier, order) and joins games on the order key; lineitem is shuffled once on the order key so
-the aggregate's output already has the join's partitioning (no second exchange on that side).
+(supplier, order) with map-side partial aggregation and sort-merge joins games on the order key
+(AQE splits a skewed game partition).
 """
 
 from __future__ import annotations
@@ -75,7 +75,8 @@ class Domain:
     def player_game_logs(self) -> DataFrame:
         li = (self.raw("lineitem")
               .select("l_orderkey", "l_suppkey", "l_quantity", "l_partkey")
-              .repartition("l_orderkey")  # one shuffle serves the aggregate and the join below
+              # partial aggregation runs map-side before the shuffle, so an order with a huge number of
+              # lines is combined per task first (no explicit repartition on the order key)
               .groupBy("l_suppkey", "l_orderkey")
               .agg(F.sum("l_quantity").alias("minutes"), F.sum("l_partkey").cast("long").alias("k"))
               .select(F.col("l_suppkey").alias("player_id"), F.col("l_orderkey").alias("game_id"),
@@ -86,9 +87,9 @@ class Domain:
         def m(mult, mod):
             return ((k * mult) % mod).cast("int")
 
-        # Sort-merge join: the logs side is already hash-partitioned on the order key, so only the
-        # games side moves. (Left to itself the planner may broadcast the *logs* and stream the games,
-        # which puts all log rows in as many tasks as the games scan has - one per file.)
+        # Sort-merge join on the game key. Left to itself the planner may broadcast the *logs* (the
+        # larger side) and stream the games, which puts all log rows in as many tasks as the games
+        # scan has - one per input file.
         return (li.join(g.hint("merge"), "game_id")
                 .select("player_id", "game_id", "game_date", "minutes",
                         F.when(k % 17 == 0, F.lit(None)).otherwise(k % 41).cast("int").alias("points"),
