@@ -522,7 +522,7 @@ def _export_sql_cols():
         if c == "team_id":
             out.append("p.team_id")
         elif c == "month":
-            out.append("month(l.game_date) AS month")
+            out.append("CAST(month(l.game_date) AS INTEGER) AS month")
         elif c == "season":
             out.append("CAST(CASE WHEN month(l.game_date) >= 10 THEN year(l.game_date) ELSE year(l.game_date) - 1 END AS VARCHAR)"
                        " || '-' || lpad(CAST((CASE WHEN month(l.game_date) >= 10 THEN year(l.game_date) ELSE year(l.game_date) - 1 END + 1) % 100 AS VARCHAR), 2, '0') AS season")
@@ -678,7 +678,8 @@ def _odds_docs(games):
 SELECT CAST(g.game_id AS VARCHAR) AS game_id, CASE k WHEN 0 THEN 'fanduel' ELSE 'draftkings' END AS sportsbook,
        g.home_spread, g.away_spread, -110 AS home_spread_odds, -110 AS away_spread_odds,
        CAST(g.home_spread * 10 AS INTEGER) AS home_moneyline, CAST(g.away_spread * 10 AS INTEGER) AS away_moneyline,
-       g.total_line AS total_points, -110 - k * 5 AS over_odds, -110 + k * 5 AS under_odds
+       g.total_line AS total_points, CAST(-110 - k * 5 AS INTEGER) AS over_odds,
+       CAST(-110 + k * 5 AS INTEGER) AS under_odds
 FROM games g JOIN range(0, 2) t(k) ON t.k < g.game_id % 3""", etl=False))
 def q_io_odds(spark, sf_dir):
     d = Domain(spark, sf_dir)
