@@ -120,3 +120,19 @@ def test_correlation_edges(spark):
     assert got[(1, 2)] == pytest.approx(1.0) and got[(1, 1)] == 1.0
     assert got[(1, 3)] is None and got[(3, 3)] is None and got[(4, 4)] is None
     assert (1, 4) in got and got[(1, 4)] is None  # one shared date
+
+
+def test_feature_store_point_read_prunes(spark, tmp_path):
+    rows = [(1, dt.date(2020, 11, 3), 1.5), (2, dt.date(2021, 11, 3), 2.5), (1, dt.date(2021, 11, 4), 3.5)]
+    feats = spark.createDataFrame(rows, "player_id long, target_date date, avg_points_L5 double")
+    path = str(tmp_path / "store")
+    EX.store_features(feats, path, version="v1")
+    EX.store_features(feats.withColumn("avg_points_L5", F.lit(0.0)), path, version="v2")
+    one = EX.read_features(spark, path, version="v1", player_id=2, day="2021-11-03")
+    p = plan_text(one)
+    assert "PartitionFilters" in p and "feature_set_version" in p and "season" in p
+    assert [(r.player_id, r.avg_points_L5) for r in one.collect()] == [(2, 2.5)]
+    # rewriting a version replaces only its partitions (dynamic overwrite): v2 is untouched
+    EX.store_features(feats.withColumn("avg_points_L5", F.lit(9.0)), path, version="v1")
+    got = sorted((r.feature_set_version, r.avg_points_L5) for r in spark.read.parquet(path).collect())
+    assert got == [("v1", 9.0)] * 3 + [("v2", 0.0)] * 3
