@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cuckoo_dedup, flow_mix, histogram_shard
+from . import cuckoo_dedup, flow_mix, histogram_shard, suffix_repeats
 from .common import table
 
 
@@ -20,5 +20,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_shard": op1_shard, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup}
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+QUERIES = {"op1_shard": op1_shard, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
+           "op9_suffix_dedup": op9_suffix_dedup}
 ORACLE = {"op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
