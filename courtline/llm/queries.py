@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cuckoo_dedup, flow_mix, histogram_shard, suffix_repeats
+from . import cuckoo_dedup, flow_mix, histogram_shard, minmax_neardup, suffix_repeats
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shard.histogram_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow_mix.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,6 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
-QUERIES = {"op1_shard": op1_shard, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
+QUERIES = {"op1_shard": op1_shard, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
            "op9_suffix_dedup": op9_suffix_dedup}
 ORACLE = {"op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import attach, staged
+from .rolling import gram_hashes
 
 MIN_LEN = 200
 GRAM = 48
@@ -34,34 +35,6 @@ HOT_ROWS = 5_000            # occurrences of a k-gram beyond which its strings a
 SEGMENT = 1 << 20           # bytes of a long text that are scanned at a time
 SAMPLE_ROWS = 2_000_000     # anchors (at least 1 in 100) from which frequent k-grams are estimated
 _POS = np.uint64((1 << 24) - 1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers: list[np.ndarray] = []
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def _tables(n: int) -> list[np.ndarray]:
-    """Powers of the base, of its inverse (mod 2^64), and a value for each byte."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        inverse = pow(_BASE, -1, 1 << 64)
-        _powers[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64)))) for b in (_BASE, inverse)]
-        _powers.append(_mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)))
-    return _powers
-
-
-def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each k-gram of ``data`` (bytes)."""
-    up, down, value = _tables(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(value[data] * up[:len(data)], out=sums[1:])
-    return _mixed((sums[k:] - sums[:-k]) * down[:len(data) - k + 1])
 
 
 def anchors(data: np.ndarray, min_len: int = MIN_LEN, k: int = GRAM) -> tuple[np.ndarray, ...]:
