@@ -24,7 +24,7 @@ SHARE = 1.5                # of all sizes
 CAP = 2                    # times a source's (and a document's) size
 WEIGHTS = (5, 2, 1)        # repeating, sources by code point, null last
 SEED = 20
-BUCKET_ROWS = 20_000       # rows of a pattern that are put in order together
+BUCKET_ROWS = 1_000        # rows of a pattern that are put in order together
 
 
 def targets(sizes: dict[str | None, int], share: float = SHARE, cap: int = CAP, weights=WEIGHTS,
