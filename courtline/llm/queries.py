@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo_dedup, flow_mix, histogram_shard, minmax_neardup, suffix_repeats
+from . import cuckoo_dedup, flow_mix, histogram_shard, minmax_neardup, suffix_repeats, window_pack
 from .common import table
 
 
@@ -24,10 +24,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_files() -> dict[str, str]:
+    import public_tokenizers
+    return {"tokenizer_json": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+            "pattern": public_tokenizers.PATTERN}
+
+
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = window_pack.pack(table(spark, sf_dir, "documents"), **tokenizer_files())
+    return packed.withColumn("ids_crc32", F.crc32("ids").cast("long")).drop("ids")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
 QUERIES = {"op1_shard": op1_shard, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
-           "op9_suffix_dedup": op9_suffix_dedup}
+           "op6_pack": op6_pack, "op9_suffix_dedup": op9_suffix_dedup}
 ORACLE = {"op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
