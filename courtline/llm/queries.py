@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo_dedup, flow_mix, histogram_shard, minmax_neardup, suffix_repeats, window_pack
+from . import cuckoo_dedup, flow_mix, histogram_shard, imatch, minmax_neardup, secret_scan, suffix_repeats, toxicity, window_pack
 from .common import table
 
 
@@ -35,10 +35,24 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids").cast("long")).drop("ids")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_shard": op1_shard, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
-           "op6_pack": op6_pack, "op9_suffix_dedup": op9_suffix_dedup}
+           "op6_pack": op6_pack, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets,
+           "op9_suffix_dedup": op9_suffix_dedup, "op10_imatch": op10_imatch}
 ORACLE = {"op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
