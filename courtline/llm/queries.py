@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo_dedup, flow_mix, histogram_shard, imatch, minmax_neardup, secret_scan, suffix_repeats, toxicity, window_pack
+from . import cuckoo_dedup, flow_mix, histogram_shard, imatch, minmax_neardup, secret_scan, suffix_repeats, template_extract, toxicity, window_pack
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_shard.histogram_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -52,7 +56,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_shard": op1_shard, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
+QUERIES = {"op1_shard": op1_shard, "op2_extract": op2_extract, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
            "op6_pack": op6_pack, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets,
            "op9_suffix_dedup": op9_suffix_dedup, "op10_imatch": op10_imatch}
 ORACLE = {"op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
