@@ -45,3 +45,17 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how:
     hot = rows.join(F.broadcast(big), keys, "inner")
     cold = rows.join(F.broadcast(big.select(*keys)), keys, "left_anti").join(rest, keys, how)
     return hot.unionByName(cold)
+
+
+def row_hash(id_col: str, text_col: str):
+    """64-bit hash of a row's id and text; null and empty texts are equal, a null id differs from any other."""
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")), F.col(id_col).isNull(),
+                      F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as its column ``times`` (a long, dropped) says, a thousand at a time."""
+    one = F.lit(1).cast("long")
+    rows = rows.where(F.col(times) > 0).withColumn("__block", F.explode(F.sequence(one - 1, F.floor((F.col(times) - 1) / 1000).cast("long"))))
+    rows = rows.withColumn("__again", F.explode(F.sequence(one, F.least(one * 1000, F.col(times) - 1000 * F.col("__block")))))
+    return rows.drop("__block", "__again", times)

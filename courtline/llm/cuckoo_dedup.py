@@ -139,6 +139,19 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([r[2] for r in part], pa.int64())], ["digest", "keep_id", "group_size"])
 
 
+def _digest(text_col: str):
+    return F.unhex(F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256))
+
+
+def _live(marks: DataFrame, takedown: DataFrame | None = None) -> DataFrame:
+    """Index of the live digests (digest, keep_id, group_size) of marks (doc_id, digest)."""
+    folded = marks.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")).mapInArrow(_fold, FOLDED)
+    if takedown is not None:
+        folded = folded.unionByName(takedown.where("text_sha256 is not null").select(
+            F.unhex("text_sha256").alias("digest"), F.lit(None).cast("long").alias("keep_id"), F.lit(-1).cast("long").alias("group_size")))
+    return staged(folded.repartition("digest").mapInArrow(_fold, FOLDED), "live")
+
+
 def exact_dedup(docs: DataFrame, takedown: DataFrame | None = None, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256.
@@ -149,17 +162,8 @@ def exact_dedup(docs: DataFrame, takedown: DataFrame | None = None, id_col: str
     kept id are all kept. A null id is smaller than any other; a group of null ids only has a null keep_id
     and keeps none. An empty table gives no row; other columns are ignored.
     """
-    marks = staged(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.unhex(F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)).alias("digest")),
-        "digests")
-    folded = marks.select("digest", F.col("doc_id").alias("keep_id"),
-                          F.lit(1).cast("long").alias("group_size")).mapInArrow(_fold, FOLDED)
-    if takedown is not None:
-        folded = folded.unionByName(takedown.where("text_sha256 is not null").select(
-            F.unhex("text_sha256").alias("digest"), F.lit(None).cast("long").alias("keep_id"),
-            F.lit(-1).cast("long").alias("group_size")))
-    live = staged(folded.repartition("digest").mapInArrow(_fold, FOLDED), "live")
+    marks = staged(docs.select(F.col(id_col).cast("long").alias("doc_id"), _digest(text_col).alias("digest")), "digests")
+    live = _live(marks, takedown)
     return attach(marks, live, ["digest"], "group_size", "left" if takedown is not None else "inner").select(
         F.col("doc_id").alias(id_col), "keep_id",
         F.coalesce("group_size", F.lit(0).cast("long")).alias("group_size"),
@@ -167,6 +171,15 @@ def exact_dedup(docs: DataFrame, takedown: DataFrame | None = None, id_col: str
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of equal texts the row with the largest id, whole, once; a group without ids keeps one too."""
+    live = _live(docs.select(F.col(id_col).cast("long").alias("doc_id"), _digest(text_col).alias("digest")))
+    keepers = live.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id"))
+    rows = docs.withColumn("__d", _digest(text_col))
+    rows = rows.join(keepers, (F.col("__d") == F.col("__digest")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return rows.dropDuplicates(["__d"]).drop("__d")
+
+
 ORACLE = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),

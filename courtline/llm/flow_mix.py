@@ -18,7 +18,7 @@ from collections import deque
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import WORD, staged
+from .common import WORD, repeated, row_hash, staged
 
 SHARE = 1.5                # of all sizes
 CAP = 2                    # times a source's (and a document's) size
@@ -164,6 +164,18 @@ def mix_documents(docs: DataFrame, **how) -> DataFrame:
         "doc_id", "size", F.col("sources")[0]["size"].alias("source_size"), F.col("sources")[0]["target"].alias("target"), "taken")
 
 
+def keep_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The rows, whole, as often as the mix takes them; of a row that is taken in part half or more counts as once.
+
+    Rows without words are not taken. Rows equal in id and text stand for each other."""
+    marks = docs.select(row_hash(id_col, text_col).alias("doc_id"), F.array(source_col).alias("members"), count_words(text_col).alias("size"))
+    taken = mix(marks, "members", "size", **how).where("size > 0") \
+        .select("doc_id", F.floor(F.col("taken") / F.col("size") + 0.5).cast("long").alias("times"))
+    taken = taken.groupBy(F.col("doc_id").alias("__row")).agg(F.sum("times").alias("__times")).where("__times > 0")
+    rows = docs.withColumn("__row", row_hash(id_col, text_col)).join(taken, "__row").dropDuplicates(["__row"])
+    return repeated(rows, "__times").select(*docs.columns)
+
+
 ORACLE = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import staged
+from .common import repeated, row_hash, staged
 
 LEAST_SHARE, MOST_SHARE = 0.001, 0.15       # of documents that hold a term: the idf band, as shares
 LEVELS = ((16, 16), (64, 16), (256, 16), (1024, 32))    # (random parts of the lexicon, parts that are used)
@@ -87,8 +87,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     next one. An empty table gives no row; other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    base = base.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long")), F.col("doc_id").isNull(), F.xxhash64("text")))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), row_hash(id_col, text_col).alias("row"))
     marks = staged(base.select("row", "doc_id", F.length("text").alias("n_chars")), "fingerprint-marks")
     total = marks.count()
     own = marks.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
@@ -137,7 +136,4 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("doc_id").alias(id_col), "n_chars", F.col("sha").alias("edited_sha256"), as_text(F.col("a")).alias("fingerprint"),
         as_text(F.col("b")).alias("edited_fingerprint"), likeness(F.col("a"), F.col("b")).alias("near_edited"),
         likeness(F.col("a"), F.col("c")).alias("near_next"), "copies")
-    # equal rows come back as often as they were there; a thousand at a time
-    many = out.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / 1000).cast("long"))))
-    many = many.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(1000).cast("long"), F.col("copies") - 1000 * F.col("block")))))
-    return many.drop("copies", "block", "again")
+    return repeated(out, "copies")      # equal rows come back as often as they were there

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import attach, staged
+from .common import WORD, attach, row_hash, staged
 from .graph import components
 from .rolling import mixed, shingle_set
 
@@ -134,18 +134,11 @@ def _links(todo: DataFrame, texts: DataFrame, words: int, percent: int) -> DataF
         centres = CENTRES if centres == 1 else 2 * centres
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id (smallest id that links reach, its own included), kept (it is that id).
-
-    Linked are documents with ``100 * intersection >= percent * union`` of their sets of distinct ``words``-word
-    shingles (words: runs without ASCII white space, A-Z lower-cased; fewer words are one shingle). Null texts and
-    texts without words have 0 shingles and no link. Rows that share an id are documents of their own. A null id is
-    never the smallest: its row may link others, its component_id is null only if no id is reached, kept is false.
-    An empty table gives no row; other columns are ignored.
-    """
+def _components(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of the rows (doc_id, row, n_shingles, node: class of equal sets), classes (node, first_id, copies,
+    component: a node) and components (component, component_id, n: classes)."""
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body")) \
-        .withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1).cast("long")), F.xxhash64("body")))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body"), row_hash(id_col, text_col).alias("row"))
     sketch = staged(base.mapInArrow(_sketch_rows(words), "doc_id long, row long, n_shingles long, node long, bands array<long>"), "sketch")
     some = sketch.where("n_shingles > 0")
     classes = staged(some.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "classes")
@@ -162,8 +155,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     nodes = staged(classes.select("node", "first_id", "copies").join(together, "node", "left")
                    .withColumn("component", F.coalesce("component", "node")), "nodes")
     firsts = staged(nodes.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n")), "firsts")
+    return sketch.drop("bands"), nodes, firsts
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id (smallest id that links reach, its own included), kept (it is that id).
+
+    Linked are documents with ``100 * intersection >= percent * union`` of their sets of distinct ``words``-word
+    shingles (words: runs without ASCII white space, A-Z lower-cased; fewer words are one shingle). Null texts and
+    texts without words have 0 shingles and no link. Rows that share an id are documents of their own. A null id is
+    never the smallest: its row may link others, its component_id is null only if no id is reached, kept is false.
+    An empty table gives no row; other columns are ignored.
+    """
+    sketch, nodes, firsts = _components(docs, words, percent, id_col, text_col)
     nodes = staged(attach(nodes, firsts, ["component"], "n").select("node", "component_id", "copies"), "named")
-    found = attach(some.select("doc_id", "node", "n_shingles"), nodes, ["node"], "copies").select("doc_id", "n_shingles", "component_id")
+    found = attach(sketch.where("n_shingles > 0").select("doc_id", "node", "n_shingles"), nodes, ["node"], "copies") \
+        .select("doc_id", "n_shingles", "component_id")
     none = sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionByName(none).select(F.col("doc_id").alias(id_col), "n_shingles", "component_id",
                                           F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each component the row with the smallest id, whole, once (without any id: one of them). Rows without words stay."""
+    sketch, nodes, _ = _components(docs, words, percent, id_col, text_col)
+    rows = attach(sketch.where("n_shingles > 0"), nodes.select("node", "component", "copies"), ["node"], "copies")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    keepers = rows.groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.row").alias("__keeper"))
+    blank = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
+    kept = docs.where(~blank).withColumn("__row", row_hash(id_col, text_col)).join(keepers, F.col("__row") == F.col("__keeper"), "left_semi")
+    return kept.dropDuplicates(["__row"]).drop("__row").unionByName(docs.where(blank))

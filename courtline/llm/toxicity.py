@@ -219,14 +219,17 @@ def _feature_rows(model: dict):
     return run
 
 
+def _score(model: dict, matcher: Matcher, text: str) -> float:
+    base, *slope = model["curve"]
+    z = base + sum(a * b for a, b in zip(slope, matcher.features(text)))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
 def _score_rows(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, (base, *slope) = Matcher(model["lexicon"], model["exceptions"]), model["curve"]
+        matcher = Matcher(model["lexicon"], model["exceptions"])
         for batch in batches:
-            out = []
-            for text in batch.column("text"):
-                z = base + sum(a * b for a, b in zip(slope, matcher.features(text.as_py())))
-                out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+            out = [_score(model, matcher, text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.float64())], ["doc_id", "score"])
     return run
 
@@ -242,3 +245,12 @@ def toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(_score_rows(model), "doc_id long, score double").select(
         F.col("doc_id").alias(id_col), held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, whole, whose score is below ``threshold``; a null text is scored as empty."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(model["lexicon"], model["exceptions"])
+        for batch in batches:
+            yield batch.filter(pa.array([_score(model, matcher, t.as_py() or "") < threshold for t in batch.column(text_col)], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
