@@ -13,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "NUMERIC_TEXT", "safe_float", "safe_int", "text_true", "safe_div", "season_label", "season_start",
-    "ymd", "days_between", "clip", "truthy", "coalesce0", "count_at_least", "double_double",
+    "NUMERIC_TEXT", "safe_float", "safe_int", "safe_long", "text_true", "safe_div", "season_label", "season_start",
+    "ymd", "clip", "truthy", "coalesce0", "count_at_least", "double_double",
     "triple_double", "quad_double", "dfs_score", "DK_WEIGHTS", "FD_WEIGHTS", "BOX_SCORE_DEFAULTS",
     "weights_for", "array_slope", "array_mean", "array_std_pop", "any_of",
 ]
@@ -33,10 +33,20 @@ def safe_float(c: Column | str) -> Column:
     return F.when(~F.isnan(d), d)
 
 
-def safe_int(c: Column | str) -> Column:
-    """Text or number to int, truncating toward zero like ``int(float(x))``: '12.9' -> 12, '-0.5' -> 0."""
+def safe_long(c: Column | str) -> Column:
+    """Text or number to long; integer text is read digit by digit (ids keep every digit), other numeric text is
+    truncated toward zero; NULL for bad text or values outside 64 bits."""
+    c = F.col(c) if isinstance(c, str) else c
+    s = F.trim(c.cast("string"))
     d = safe_float(c)
-    return F.when(F.abs(d) < F.lit(2.0 ** 31), d.cast("long").cast("int"))
+    return F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("long")).otherwise(F.when(F.abs(d) < F.lit(2.0 ** 63), d.cast("long")))
+
+
+def safe_int(c: Column | str) -> Column:
+    """A stat as int, truncating toward zero like ``int(float(x))``: '12.9' -> 12, '-0.5' -> 0. For ids use
+    ``safe_long``: a value outside 32 bits is NULL here."""
+    n = safe_long(c)
+    return F.when(n.between(-(2 ** 31), 2 ** 31 - 1), n.cast("int"))
 
 
 def text_true(c: Column | str) -> Column:
@@ -69,10 +79,6 @@ def ymd(c: Column | str) -> Column:
     return F.try_to_date(c.cast("string"), "yyyyMMdd") if hasattr(F, "try_to_date") else F.to_date(c, "yyyyMMdd")
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)
-
-
 def clip(c: Column, lo: float | None = None, hi: float | None = None) -> Column:
     """Clip that keeps NULL as NULL (``greatest``/``least`` alone would turn NULL into the bound)."""
     out = c

@@ -14,16 +14,19 @@
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _season(d: Column) -> Column:
+    return F.when(F.month(d) >= 10, F.year(d)).otherwise(F.year(d) - 1)
+
+
 def season_chunk(day_col: str) -> Column:
     """Season start year of a date (October starts a season): the default chunk of a player's history."""
-    d = F.col(day_col)
-    return F.when(F.month(d) >= 10, F.year(d)).otherwise(F.year(d) - 1)
+    return _season(F.col(day_col))
 
 
 def chunk_with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
@@ -68,17 +71,22 @@ def chunk_with_halo(df: DataFrame, keys: Sequence[str], order: Sequence[str], ch
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str,
               right_cols: Sequence[str], right_order: Sequence[str] = (), strict: bool = True,
-              bucket: Callable[[Column], Column] | None = None, prefix: str = "") -> DataFrame:
+              granularity: str | None = None, prefix: str = "") -> DataFrame:
     """Left join each left row to the latest right row of the same ``by`` key whose time is
     strictly before (``strict``) or at/before the left time. Ties on time are broken by
     ``right_order`` (the largest wins). Right columns come back NULL when no right row qualifies.
 
-    ``bucket`` maps a time to a coarse, order-compatible chunk (e.g. season); the scan then runs per
-    (key, bucket) and a small carry table hands over the last state of earlier buckets.
+    With a ``granularity`` ('season', or one that ``date_trunc`` knows: 'week', 'month', 'year', ...) time is
+    cut into buckets of it, which ascend with time; the scan then runs per (key, bucket) and a small carry
+    table hands over the last state of earlier buckets. Without one, a key is one group.
     """
     left_cols = left.columns
     lk, rk = (0, 1) if strict else (1, 0)
-    bucket = bucket or (lambda c: F.lit(0))
+    def bucket(c: Column) -> Column:
+        if granularity is None:
+            return F.lit(0)
+        return _season(c) if granularity == "season" else F.date_trunc(granularity, c)
+
     r = (right.where(F.col(right_time).isNotNull())
          .select(*[F.col(k) for k in by], F.col(right_time).alias("_t"),
                  F.struct(*[F.col(c) for c in right_order] or [F.lit(0)]).alias("_o"),

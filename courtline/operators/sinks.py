@@ -2,8 +2,10 @@
 
 Upserts never read and overwrite the same files in one job: the merged rows of the touched
 partitions are first written to a staging folder under the shared checkpoint root, then copied
-into the target with dynamic partition overwrite (only touched partitions are replaced). A rerun of
-the same batch produces the same table (idempotent), so a lost executor or a retried job is safe.
+into the target with dynamic partition overwrite, which is set on the write itself, so it does not
+depend on the session. Touched are the partitions of the new rows and those that hold an older row of
+an updated key. A rerun of the same batch produces the same table (idempotent), so a lost executor or a
+retried job is safe.
 """
 
 from __future__ import annotations
@@ -12,12 +14,12 @@ import uuid
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtline.functions.exprs import safe_float, safe_int, season_label, text_true, ymd
-from courtline.session import scratch_path
+from courtline.functions.exprs import safe_float, safe_int, safe_long, season_label, text_true, ymd
+from courtline.session import remove_path, scratch_path
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -40,13 +42,14 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite",
-                      max_records_per_file: int = 5_000_000) -> None:
-    """SNK-PART: hive-partitioned snappy parquet; with dynamic overwrite only the partitions present
-    in ``df`` are replaced. Rows are clustered by the partition columns with a ``rebalance`` hint:
-    AQE splits a partition value that holds a large share of the rows over several tasks (a plain
-    ``repartition(cols)`` would put all of it in one task) and merges small ones, so each partition
-    directory gets few, large files."""
+                      max_records_per_file: int = 5_000_000, replace_all: bool = False) -> None:
+    """SNK-PART: hive-partitioned snappy parquet. Overwrite replaces only the partitions present in ``df``
+    (whatever the session's overwrite mode is); ``replace_all`` replaces the whole table. Rows are clustered
+    by the partition columns with a ``rebalance`` hint: AQE splits a partition value that holds a large share
+    of the rows over several tasks (a plain ``repartition(cols)`` would put all of it in one task) and merges
+    small ones, so each partition directory gets few, large files."""
     (df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols)
+     .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
      .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file).parquet(path))
 
 
@@ -64,55 +67,85 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 # upsert
 
 
-def dedup_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One update per key: the last by ``_seq`` when present, else any one (replays of one row)."""
-    if "_seq" in updates.columns:
-        w = Window.partitionBy(*keys).orderBy(F.col("_seq").desc())
-        return updates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_seq")
-    return updates.dropDuplicates(list(keys))
+def dedup_updates(updates: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """One update per key: the one with the largest ``order_col``; of equal ones a hash of the row decides, so a
+    rerun takes the same row. Combines map-side, a key of any size."""
+    rest = [c for c in updates.columns if c not in keys]
+    rank = F.struct(F.col(order_col), F.xxhash64(*[F.col(c) for c in updates.columns]))
+    best = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_u"))
+    return best.select(*keys, *[F.col("_u")[c].alias(c) for c in rest])
 
 
-def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
+def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str,
                update_cols: Sequence[str] | None = None) -> DataFrame:
     """UP-MERGE as a frame operation: rows of ``updates`` replace the listed columns of the existing
     row with the same key (other columns keep their stored value); new keys are inserted; existing
-    keys without an update stay. Duplicate update keys: the last one in ``_seq`` order wins
-    (without ``_seq`` they are taken as replays of one row and kept once). One full outer join on
-    the key."""
+    keys without an update stay. Of several updates of a key the last in ``order_col`` wins (a sequence
+    number or ingest time; it may but need not be a column of the table). One full outer join on the key."""
     cols = existing.columns
     update_cols = [c for c in (update_cols or [c for c in updates.columns if c not in keys]) if c in cols]
-    u = dedup_updates(updates, keys)
-    u = u.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in update_cols], F.lit(True).alias("_hit"))
+    u = dedup_updates(updates, keys, order_col)
+    # columns that are not updated are still those of the update where the key is new
+    u = u.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in u.columns if c in cols and c not in keys], F.lit(True).alias("_hit"))
     j = existing.withColumn("_old", F.lit(True)).join(u, list(keys), "full_outer")
     out = []
     for c in cols:
-        if c in keys:
+        if c in keys or f"_u_{c}" not in u.columns:
             out.append(F.col(c))
         elif c in update_cols:
             out.append(F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c))
         else:
-            out.append(F.col(c))
+            out.append(F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_u_{c}")).alias(c))
     return j.select(*out)
 
 
+def partition_filter(parts: Sequence, cols: Sequence[str]) -> "F.Column":
+    """Rows of the given partitions as a filter of literals, which prunes directories while the scan is planned."""
+    def one(row):
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) if row[c] is None else F.col(c) == F.lit(row[c]) for c in cols])
+    return reduce(lambda a, b: a | b, [one(r) for r in parts], F.lit(False))
+
+
 def upsert_partitioned(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str],
-                       partition_cols: Sequence[str], update_cols: Sequence[str] | None = None) -> None:
-    """Keyed upsert into a partitioned parquet table: read only the partitions the updates touch,
-    merge, stage, then replace exactly those partitions."""
+                       partition_cols: Sequence[str], order_col: str, update_cols: Sequence[str] | None = None,
+                       fixed_partitions: bool = False) -> None:
+    """Keyed upsert into a partitioned parquet table: read only the touched partitions, merge, stage, then
+    replace exactly those.
+
+    The updates are staged once. Touched partitions are those of the updates and, unless the caller knows that a
+    key never changes partition (``fixed_partitions``), those that hold an updated key now, found by a scan of the
+    key columns alone. Their list goes through the driver, as the directory list of any partitioned table does.
+    An order column whose name starts with an underscore is not stored.
+    """
     from courtline.sources.files import path_exists
     if not path_exists(spark, target):  # the first write creates the table
-        first = dedup_updates(updates, keys)
-        write_partitioned(first, target, partition_cols)
+        first = dedup_updates(updates, keys, order_col)
+        write_partitioned(first.drop(order_col) if order_col.startswith("_") else first, target, partition_cols)
         return
+    made = scratch_path(spark, f"updates-{uuid.uuid4().hex}")
+    updates.write.parquet(made)
+    updates = spark.read.schema(updates.schema).parquet(made)
     current = spark.read.parquet(target)
-    touched = updates.select(*partition_cols).distinct()
-    existing = current.join(F.broadcast(touched) if len(partition_cols) else touched, list(partition_cols), "left_semi")
-    merged = merge_rows(existing.select(*current.columns), updates, keys, update_cols).select(*current.columns)
+    touched = updates.select(*[F.col(c).cast(current.schema[c].dataType) for c in partition_cols])
+    if not fixed_partitions:
+        touched = touched.unionByName(current.select(*keys, *partition_cols).join(updates.select(*keys), list(keys), "left_semi")
+                                      .select(*partition_cols))
+    parts = touched.distinct().collect()
+    existing = current.where(partition_filter(parts, partition_cols))
+    merged = merge_rows(existing, updates, keys, order_col, update_cols).select(*current.columns)
     stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
     write_partitioned(merged, stage, partition_cols)
-    staged = spark.read.parquet(stage).select(*current.columns)
+    staged = spark.read.schema(current.schema).parquet(stage).select(*current.columns)
+    # a partition that a moved key has emptied gets no row from the merge: it is removed, not left as it was
+    emptied = {tuple(r) for r in parts} - {tuple(r) for r in staged.select(*partition_cols).distinct().collect()}
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target))
+    if emptied:
+        gone = partition_filter([dict(zip(partition_cols, r)) for r in emptied], partition_cols)
+        for row in spark.read.schema(current.schema).parquet(target).where(gone).select("_metadata.file_path").distinct().collect():
+            remove_path(spark, row.file_path)
+    for path in (made, stage):
+        remove_path(spark, path)
 
 
 def stub_players(logs_raw: DataFrame, players: DataFrame) -> DataFrame:
@@ -145,8 +178,8 @@ def box_scores_to_logs(box: DataFrame, games: DataFrame) -> tuple[DataFrame, Dat
     """UP-BOX: box-score rows (strings, with ``gameID``) to typed game logs: safe casts, ``is_home``
     = the row's team is the home team, opponent = the other side, starter flag from text. Rows with
     a player id <= 0 (or unparsable) go to the second frame (quarantine)."""
-    pid = safe_int("playerID").cast("long")
-    team = F.when(F.col("teamID").isNotNull() & (F.col("teamID") != ""), safe_int("teamID")).cast("long")
+    pid = safe_long("playerID")
+    team = F.when(F.col("teamID").isNotNull() & (F.col("teamID") != ""), safe_long("teamID"))
     g = games.select(F.col("game_id").cast("string").alias("gameID"), F.col("game_id"), "game_date",
                      "home_team_id", "away_team_id")
     j = box.join(g, "gameID")
@@ -170,31 +203,67 @@ def raw_games(rows: DataFrame, date_col: str = "date_str") -> DataFrame:
     return rows.select(F.col("gameID").cast("string").alias("game_id"), d.alias("game_date"),
                        season_label(d).alias("season"),
                        F.coalesce(F.col("seasonType"), F.lit("Regular Season")).alias("season_type"),
-                       F.coalesce(safe_int("homeTeamID"), F.lit(0)).cast("long").alias("home_team_id"),
-                       F.coalesce(safe_int("awayTeamID"), F.lit(0)).cast("long").alias("away_team_id"),
+                       F.coalesce(safe_long("homeTeamID"), F.lit(0)).alias("home_team_id"),
+                       F.coalesce(safe_long("awayTeamID"), F.lit(0)).alias("away_team_id"),
                        safe_int("homeScore").alias("home_score"), safe_int("awayScore").alias("away_score"),
                        F.coalesce(F.col("gameStatus"), F.lit("Scheduled")).alias("game_status"),
                        F.coalesce(F.col("gameTime"), F.lit("")).alias("game_time"))
 
 
 def raw_injuries(rows: DataFrame) -> DataFrame:
-    """UP-INJ: injury rows; a blank injury date is skipped."""
+    """UP-INJ: injury rows; a blank injury date is skipped, and so is a player id that does not parse
+    (``rejected`` has those rows)."""
     d = ymd("injDate")
-    return (rows.where(F.col("injDate").isNotNull() & (F.col("injDate") != "") & d.isNotNull())
-            .select(F.coalesce(safe_int("playerID"), F.lit(0)).cast("long").alias("player_id"), d.alias("injury_date"),
+    return (rows.where(F.col("injDate").isNotNull() & (F.col("injDate") != "") & d.isNotNull() & safe_long("playerID").isNotNull())
+            .select(safe_long("playerID").alias("player_id"), d.alias("injury_date"),
                     F.coalesce(F.col("status"), F.lit("")).alias("status"),
                     F.coalesce(F.col("description"), F.lit("")).alias("description"),
                     F.coalesce(F.col("bodyPart"), F.lit("")).alias("body_part")))
 
 
 def raw_salaries(rows: DataFrame, date_col: str = "date_str") -> DataFrame:
-    """UP-SAL: salary rows; salary and platform are required."""
-    return (rows.where(safe_float("salary").isNotNull() & F.col("platform").isNotNull())
-            .select(F.coalesce(safe_int("playerID"), F.lit(0)).cast("long").alias("player_id"),
+    """UP-SAL: salary rows; salary, platform and a player id that parses are required (``rejected`` has the
+    rows whose id doesn't)."""
+    return (rows.where(safe_float("salary").isNotNull() & F.col("platform").isNotNull() & safe_long("playerID").isNotNull())
+            .select(safe_long("playerID").alias("player_id"),
                     ymd(date_col).alias("game_date"), "platform", safe_int("salary").alias("salary"),
                     F.coalesce(F.col("pos"), F.lit("")).alias("position"), F.lit(True).alias("is_available")))
 
 
+def rejected(rows: DataFrame, id_col: str = "playerID") -> DataFrame:
+    """Raw rows whose id does not parse: the quarantine of the mappings that skip them."""
+    return rows.where(safe_long(id_col).isNull())
+
+
+def raw_players(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Player ingest: raw rows (strings) to player rows; an id that parses is required. ``carry`` names columns
+    that are passed on, such as the order of the ingest."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return rows.where(safe_long("playerID").isNotNull()).select(
+        safe_long("playerID").alias("id"), safe_long("playerID").alias("player_id"),
+        F.coalesce(F.col("longName"), F.col("playerName"), F.lit("")).alias("name"), safe_long("teamID").alias("team_id"),
+        text("pos").alias("position"), ymd("bDay").alias("birth_date"),
+        (F.lower(text("status")) != "inactive").alias("is_active"), *carry)
+
+
+def raw_teams(rows: DataFrame) -> DataFrame:
+    """Team ingest: raw rows (strings) to team rows; an id that parses is required."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return rows.where(safe_long("teamID").isNotNull()).select(
+        safe_long("teamID").alias("team_id"), F.upper(text("teamAbv")).alias("abbreviation"),
+        F.trim(F.concat_ws(" ", text("teamCity"), text("teamName"))).alias("name"),
+        text("conference").alias("conference"), text("division").alias("division"))
+
+
+PLAYER_UPDATES = ("name", "team_id", "position", "is_active")     # an update keeps id and birth_date
+
+
+def upsert_players(players: DataFrame, raw: DataFrame, order_col: str) -> DataFrame:
+    """The player table after an ingest of raw rows: known players take the new name, team, position and
+    activity and keep id and birth date, new ones are inserted whole."""
+    return merge_rows(players, raw_players(raw, [order_col]), ["player_id"], order_col, PLAYER_UPDATES)
+
+
 def raw_odds(rows: DataFrame, ts) -> DataFrame:
     """UP-ODDS: flattened odds rows to table rows; totals from ``totalOver``, over/under prices
     from ``totalOverOdds`` / ``totalUnderOdds``."""

@@ -10,6 +10,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtline.plans.oracle_sql import with_ctes
 from courtline.sources.adapter import Domain
@@ -145,20 +146,49 @@ def _team_lookup_sql():
 SELECT t.team_id, upper(t.abbreviation) AS abbreviation, t.name,
        CASE WHEN t.conference IS NULL OR t.conference = '' THEN coalesce(k.conf, 'Unknown') ELSE t.conference END AS conference,
        CASE WHEN t.conference IS NULL OR t.conference = '' THEN coalesce(k.div, 'Unknown') ELSE t.division END AS division
-FROM teams t LEFT JOIN team_lookup k ON upper(t.abbreviation) = k.abbr""", etl=False, extra=_team_lookup_sql()))
+FROM dirty_teams t LEFT JOIN team_lookup k ON upper(t.abbreviation) = k.abbr""", etl=False, extra=_team_lookup_sql() + """,
+codes AS (SELECT abbr, row_number() OVER (ORDER BY abbr) - 1 AS i FROM team_lookup),
+dirty_teams AS (
+  SELECT t.team_id, CASE WHEN t.team_id % 3 = 0 THEN t.abbreviation ELSE lower(c.abbr) END AS abbreviation, t.name,
+         CASE t.team_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE t.conference END AS conference, t.division
+  FROM teams t JOIN codes c ON c.i = t.team_id % 30)"""))
 def q_etl_teams(spark, sf_dir):
-    return E.normalize_teams(Domain(spark, sf_dir).teams)
+    """Teams with NULL and empty conferences, known codes in lower case and unknown ones."""
+    t = Domain(spark, sf_dir).teams
+    codes = F.array(*[F.lit(c.lower()) for c in sorted(E.TEAM_DIVISIONS)])
+    k = F.col("team_id")
+    return E.normalize_teams(t.withColumns({
+        "abbreviation": F.when(k % 3 == 0, F.col("abbreviation")).otherwise(F.get(codes, (k % 30).cast("int"))),
+        "conference": F.when(k % 4 == 1, F.lit("")).when(k % 4 != 0, F.col("conference"))}))
 
 
-@register("etl_dedup_players", with_ctes("SELECT * FROM players_etl"))
+_DIRTY_PLAYERS_SQL = """dirty_players AS (
+  SELECT id, player_id, CASE WHEN id % 7 = 3 THEN NULL ELSE name END AS name, team_id, position, is_active FROM players
+  UNION ALL SELECT id + 1000000, player_id, name, team_id, position, NOT is_active FROM players WHERE id % 3 = 0
+  UNION ALL SELECT id + 2000000, player_id, name, team_id, position, is_active FROM players WHERE id % 6 = 0)"""
+
+
+def _dirty_players(players):
+    """Players with copies under larger ids (one or two of each third) and names that are missing."""
+    base = players.withColumn("name", F.when(F.col("id") % 7 != 3, F.col("name")))
+    again = players.where("id % 3 = 0").withColumns({"id": F.col("id") + 1_000_000, "is_active": ~F.col("is_active")})
+    third = players.where("id % 6 = 0").withColumn("id", F.col("id") + 2_000_000)
+    return base.unionByName(again).unionByName(third)
+
+
+@register("etl_dedup_players", with_ctes("""
+SELECT id, player_id, name, team_id, position, is_active FROM (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY id DESC) AS rn FROM dirty_players) WHERE name IS NULL OR rn = 1""",
+                                         etl=False, extra=_DIRTY_PLAYERS_SQL))
 def q_etl_dedup(spark, sf_dir):
-    return E.dedup_players(Domain(spark, sf_dir).players)
+    return E.dedup_players(_dirty_players(Domain(spark, sf_dir).players))
 
 
 @register("etl_duplicate_names", with_ctes("""
-SELECT name, count(*) AS count FROM players WHERE name IS NOT NULL GROUP BY name HAVING count(*) > 1""", etl=False))
+SELECT name, count(*) AS count FROM dirty_players WHERE name IS NOT NULL GROUP BY name HAVING count(*) > 1""", etl=False,
+                                           extra=_DIRTY_PLAYERS_SQL))
 def q_etl_dups(spark, sf_dir):
-    return E.duplicate_names(Domain(spark, sf_dir).players)
+    return E.duplicate_names(_dirty_players(Domain(spark, sf_dir).players))
 
 
 _ETL_OUT = LOG_COLS.split(", ")
@@ -229,17 +259,19 @@ def q_qual_validate(spark, sf_dir):
 # point-in-time features
 
 from courtline.plans import features as FT  # noqa: E402
-from courtline.plans.oracle_features import (DOUBLE_FEATURES, INT_FEATURES, features_oracle_ctes,  # noqa: E402
+from courtline.plans.oracle_features import (INT_FEATURES, NON_DOUBLE, OUTCOME_DAYS, features_oracle_ctes,  # noqa: E402
                                              features_select_sql)
 
 
-def normalized_features(df: DataFrame) -> DataFrame:
-    """Integers as BIGINT and doubles rounded to 6 digits, the form the oracle returns."""
+def normalized_features(df: DataFrame, keep=()) -> DataFrame:
+    """Integers as BIGINT and doubles rounded to 6 digits, the form the oracle returns; ``keep`` as they are."""
     out = []
     for c in df.columns:
-        if c in INT_FEATURES:
+        if c in keep:
+            out.append(F.col(c))
+        elif c in INT_FEATURES:
             out.append(F.col(c).cast("long").alias(c))
-        elif c in DOUBLE_FEATURES:
+        elif c not in NON_DOUBLE:
             out.append((F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c))
         else:
             out.append(F.col(c))
@@ -267,6 +299,42 @@ def q_ft_batch(spark, sf_dir):
 BENCH["ft_batch_all_days"] = lambda spark, sf_dir: features_for(spark, sf_dir)
 
 
+_WINDOWS, _MIN_GAMES = (3, 7), 3
+
+
+@register("ft_custom_windows", with_ctes(features_select_sql(FT.feature_cols(_WINDOWS)), extra=features_oracle_ctes(
+    windows=_WINDOWS, min_games=_MIN_GAMES)))
+def q_ft_windows(spark, sf_dir):
+    """FT-ROLL with the caller's windows and least number of games."""
+    return normalized_features(features_for(spark, sf_dir, windows=_WINDOWS, min_games=_MIN_GAMES))
+
+
+@register("ft_opponent_schedule", with_ctes("""
+SELECT t.player_id, t.target_date, t.opp AS opponent_team_id, t.is_home_game,
+       round(st.p, 6) AS avg_points_vs_opponent, round(st.d, 6) AS avg_dfs_vs_opponent, st.n AS games_vs_opponent
+FROM sched t ASOF LEFT JOIN st ON t.player_id = st.player_id AND t.opp = st.opponent_team_id AND t.target_date > st.game_date""", extra="""
+side AS (SELECT game_id, game_date, home_team_id, away_team_id, home_team_id AS team_id FROM games
+         UNION ALL SELECT game_id, game_date, home_team_id, away_team_id, away_team_id FROM games),
+sched AS (SELECT p.player_id, f.game_date AS target_date,
+                 CASE WHEN p.team_id = f.home_team_id THEN f.away_team_id ELSE f.home_team_id END AS opp,
+                 coalesce(p.team_id = f.home_team_id, FALSE) AS is_home_game
+          FROM players_etl p JOIN (SELECT *, row_number() OVER (PARTITION BY team_id, game_date ORDER BY game_id) AS rn FROM side) f
+            ON p.team_id = f.team_id AND f.rn = 1),
+st AS (SELECT * FROM (
+         SELECT player_id, opponent_team_id, game_date, game_id, avg(coalesce(points, 0)) OVER w AS p,
+                avg(CAST(coalesce(dfs_points_dk, 0) AS DOUBLE)) OVER w AS d, count(*) OVER w AS n,
+                row_number() OVER (PARTITION BY player_id, opponent_team_id, game_date ORDER BY game_id DESC) AS late
+         FROM logs_etl WHERE opponent_team_id IS NOT NULL
+         WINDOW w AS (PARTITION BY player_id, opponent_team_id ORDER BY game_date, game_id ROWS 4 PRECEDING)) WHERE late = 1)"""))
+def q_ft_schedule(spark, sf_dir):
+    """FT-OPP from the schedule: every team-mate gets the opponent of the day, with or without a log."""
+    dom = Domain(spark, sf_dir)
+    players, _, logs = etl_domain(dom)
+    a, b = data_date_range(dom)
+    o = FT.opponent_features(logs, dom.games, players, a, b, source="schedule")
+    return o.withColumns({c: r6(c) for c in ("avg_points_vs_opponent", "avg_dfs_vs_opponent")})
+
+
 @register("ft_summary", with_ctes("""
 SELECT count(*) AS records, CAST(108 AS BIGINT) AS feature_columns, min(target_date) AS first_date,
        max(target_date) AS last_date, count(DISTINCT player_id) AS players FROM feat""", extra=features_oracle_ctes()))
@@ -297,13 +365,16 @@ def q_an_logs(spark, sf_dir):
 
 @register("an_games_all_days", with_ctes("""
 SELECT g.game_id, g.game_date, g.home_team_id, g.away_team_id, h.abbreviation AS home_team_abbr,
-       a.abbreviation AS away_team_abbr, CAST(NULL AS INTEGER) AS home_score, CAST(NULL AS INTEGER) AS away_score,
-       CAST(NULL AS VARCHAR) AS game_status, g.total_line, g.home_spread, g.away_spread
+       a.abbreviation AS away_team_abbr, CAST(90 + g.game_id % 40 AS INTEGER) AS home_score, CAST(90 + g.game_id % 37 AS INTEGER) AS away_score,
+       CASE WHEN g.game_id % 5 > 0 THEN 'Final' END AS game_status, g.total_line, g.home_spread, g.away_spread
 FROM games g LEFT JOIN teams_etl h ON g.home_team_id = h.team_id LEFT JOIN teams_etl a ON g.away_team_id = a.team_id"""))
 def q_an_games(spark, sf_dir):
     d = Domain(spark, sf_dir)
     _, teams, _ = etl_domain(d)
-    return RD.games_for_date(d.games, teams)
+    k = F.col("game_id")
+    games = d.games.withColumns({"home_score": (90 + k % 40).cast("int"), "away_score": (90 + k % 37).cast("int"),
+                                 "game_status": F.when(k % 5 > 0, "Final")})
+    return RD.games_for_date(games, teams)
 
 
 _SLATE_SQL = """slate AS (
@@ -363,10 +434,8 @@ def q_an_vspos(spark, sf_dir):
                                               "avg_dfs_allowed")], "games_sample_size")
 
 
-TREND_AS_OF, TREND_DAYS = "2001-08-02", 3650
-
-
-@register("an_trends_all_history", with_ctes(f"""
+def _trends_sql(as_of: str, since: str) -> str:
+    return with_ctes("""
 SELECT player_id, count(*) AS games_played, round(avg(y_dfs), 6) AS avg_dfs_points, round(avg(y_min), 6) AS avg_minutes,
        round(avg(y_pts), 6) AS avg_points,
        round(CASE WHEN count(*) >= 3 THEN regr_slope(y_dfs, x) ELSE 0.0 END, 6) AS dfs_trend,
@@ -377,13 +446,30 @@ FROM tl GROUP BY player_id""", extra=f"""
 tl AS (SELECT player_id, CAST(coalesce(dfs_points_dk, 0) AS DOUBLE) AS y_dfs, CAST(coalesce(minutes, 0) AS DOUBLE) AS y_min,
               CAST(coalesce(points, 0) AS DOUBLE) AS y_pts,
               CAST(row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) - 1 AS DOUBLE) AS x
-       FROM logs_etl WHERE game_date >= DATE '{TREND_AS_OF}' - {TREND_DAYS})"""))
-def q_an_trends(spark, sf_dir):
+       FROM logs_etl WHERE game_date BETWEEN {since} AND {as_of})""")
+_FIRST_DAY, _LAST_DAY = "(SELECT min(game_date) FROM games)", "(SELECT max(game_date) FROM games)"
+_MID_DAY = f"({_FIRST_DAY} + CAST(date_diff('day', {_FIRST_DAY}, {_LAST_DAY}) // 2 AS INTEGER))"
+
+
+def _trends(spark, sf_dir, as_of, days):
     _, _, logs = etl_domain(Domain(spark, sf_dir))
-    o = RD.recent_trends(logs, TREND_AS_OF, TREND_DAYS)
+    o = RD.recent_trends(logs, as_of, days)
     return o.select("player_id", "games_played", *[r6(c).alias(c) for c in o.columns[2:]])
 
 
+@register("an_trends_all_history", _trends_sql(_LAST_DAY, _FIRST_DAY))
+def q_an_trends(spark, sf_dir):
+    a, b = data_date_range(Domain(spark, sf_dir))
+    return _trends(spark, sf_dir, b, (b - a).days)
+
+
+@register("an_trends_mid_history", _trends_sql(_MID_DAY, f"{_MID_DAY} - 365"))
+def q_an_trends_mid(spark, sf_dir):
+    """The year before a day in the middle of the data: later games must not count."""
+    a, b = data_date_range(Domain(spark, sf_dir))
+    return _trends(spark, sf_dir, a + (b - a) // 2, 365)
+
+
 @register("an_injury_report_all_days", with_ctes("""
 SELECT i.injury_date + CAST(t.k AS INTEGER) AS report_date, i.player_id, p.name AS player_name, i.injury_date, i.status,
        i.description, i.body_part, i.games_missed
@@ -413,19 +499,37 @@ def q_an_corr(spark, sf_dir):
     return o.withColumn("correlation", r6("correlation"))
 
 
-CHUNK_START, CHUNK_END, CHUNK_SIZE = "1990-01-01", "2009-12-31", 30
+@register("an_correlation_all_players", with_ctes("""
+SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN corr(x, y) END, 6)
+       AS correlation
+FROM pr GROUP BY player_a, player_b
+UNION ALL
+SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND stddev_pop(v) > 0 THEN 1.0 END FROM cl GROUP BY player_id""",
+                                                  extra="""
+cl AS (SELECT player_id, game_date, CAST(dfs_points_dk AS DOUBLE) AS v FROM logs_etl WHERE dfs_points_dk IS NOT NULL),
+pr AS (SELECT a.player_id AS player_a, b.player_id AS player_b, a.v AS x, b.v AS y
+       FROM cl a JOIN cl b ON a.game_date = b.game_date AND a.player_id <> b.player_id)"""))
+def q_an_corr_all(spark, sf_dir):
+    """Every player with a log is listed."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    return RD.correlation_matrix(logs, logs.select("player_id")).withColumn("correlation", r6("correlation"))
+
+
+CHUNK_SIZE = 30
+_INJ_FIRST, _INJ_LAST = "(SELECT min(injury_date) FROM injuries)", "(SELECT max(injury_date) FROM injuries)"
 
 
 @register("an_injury_period_chunks", with_ctes(f"""
-SELECT chunk_id, DATE '{CHUNK_START}' + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) AS chunk_start,
-       least(DATE '{CHUNK_START}' + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) + {CHUNK_SIZE}, DATE '{CHUNK_END}') AS chunk_end,
+SELECT chunk_id, {_INJ_FIRST} + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) AS chunk_start,
+       least({_INJ_FIRST} + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) + {CHUNK_SIZE}, {_INJ_LAST}) AS chunk_end,
        count(*) AS n_injuries
-FROM (SELECT CAST(floor(date_diff('day', DATE '{CHUNK_START}', injury_date) / {CHUNK_SIZE + 1}) AS BIGINT) AS chunk_id
-      FROM injuries WHERE injury_date BETWEEN DATE '{CHUNK_START}' AND DATE '{CHUNK_END}')
+FROM (SELECT CAST(floor(date_diff('day', {_INJ_FIRST}, injury_date) / {CHUNK_SIZE + 1}) AS BIGINT) AS chunk_id
+      FROM injuries WHERE injury_date BETWEEN {_INJ_FIRST} AND {_INJ_LAST})
 GROUP BY chunk_id""", etl=False))
 def q_an_chunks(spark, sf_dir):
     inj = Domain(spark, sf_dir).injuries
-    c = RD.period_chunks(inj, "injury_date", CHUNK_START, CHUNK_END, CHUNK_SIZE)
+    r = inj.agg(F.min("injury_date").alias("a"), F.max("injury_date").alias("b")).first()
+    c = RD.period_chunks(inj, "injury_date", r.a, r.b, CHUNK_SIZE)
     return c.groupBy("chunk_id", "chunk_start", "chunk_end").agg(F.count(F.lit(1)).alias("n_injuries"))
 
 
@@ -450,11 +554,14 @@ def q_an_facts(spark, sf_dir):
 
 
 def _training(spark, sf_dir, min_salary=3000):
+    """The features go through the store, as a training run reads them."""
     dom = Domain(spark, sf_dir)
     players, _, logs = etl_domain(dom)
     a, b = data_date_range(dom)
     feats = FT.generate_features(logs, players, dom.games, dom.injuries, dom.dfs_salaries, a, b)
-    return RD.training_data(feats, logs, dom.dfs_salaries, min_salary=min_salary)
+    path = _scratch(spark, "training-store")
+    EX.store_features(feats, path, version="v1")
+    return RD.training_from_store(spark, path, logs, dom.dfs_salaries, "v1", a, b, min_salary), dom
 
 
 _TRAIN_EXTRA = ["actual_dfs_points", "actual_minutes", "actual_points", "actual_rebounds", "actual_assists",
@@ -477,10 +584,10 @@ def _train_sql_select():
     return base + ",\n  " + extra + "\nFROM train"
 
 
-@register("an_training_set", with_ctes(_train_sql_select(), extra=features_oracle_ctes() + ",\n" + _TRAIN_SQL))
+@register("an_training_set", with_ctes(_train_sql_select(), extra=features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL))
 def q_an_training(spark, sf_dir):
-    t = _training(spark, sf_dir)
-    t = normalized_features(t.select(*FT.FEATURE_COLS, *_TRAIN_EXTRA))
+    t, _ = _training(spark, sf_dir)
+    t = normalized_features(t.select(*FT.FEATURE_COLS, *_TRAIN_EXTRA), _TRAIN_EXTRA)
     return t.withColumns({"actual_dfs_points": r6("actual_dfs_points"), "value": r6("value")})
 
 
@@ -491,12 +598,29 @@ SELECT count(*) FILTER (WHERE k) AS records, count(*) FILTER (WHERE NOT k) AS fi
        round(avg(actual_dfs_points) FILTER (WHERE k), 6) AS target_mean,
        round(stddev_samp(actual_dfs_points) FILTER (WHERE k), 6) AS target_std
 FROM (SELECT *, coalesce(salary >= 5000 AND actual_minutes >= 20, FALSE) AS k FROM train)""",
-                                         extra=features_oracle_ctes() + ",\n" + _TRAIN_SQL))
+                                         extra=features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL))
 def q_an_export(spark, sf_dir):
-    s = RD.export_summary(_training(spark, sf_dir), min_salary=5000, min_minutes=20)
+    s = RD.export_summary(_training(spark, sf_dir)[0], min_salary=5000, min_minutes=20)
     return s.withColumns({"target_mean": r6("target_mean"), "target_std": r6("target_std")})
 
 
+@register("io_training_export", with_ctes("""
+SELECT t.player_id, t.target_date, t.position, round(t.actual_dfs_points, 6) AS actual_dfs_points, t.actual_minutes,
+       round(t.value, 6) AS value, t.salary AS salary_dk, f.salary_fd
+FROM train t LEFT JOIN (SELECT player_id, game_date, max(salary) AS salary_fd FROM dfs_salaries
+                        WHERE platform = 'FanDuel' GROUP BY player_id, game_date) f
+  ON t.player_id = f.player_id AND t.target_date = f.game_date
+WHERE (t.salary >= 5000 OR f.salary_fd >= 5000) AND t.actual_minutes >= 20""", extra=features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL))
+def q_io_training_export(spark, sf_dir):
+    """Both platforms' salaries, the export thresholds, rows written and read back."""
+    t, dom = _training(spark, sf_dir)
+    path = _scratch(spark, "training-export")
+    RD.export_training(RD.with_fanduel(t, dom.dfs_salaries), path, min_salary=5000, min_minutes=20)
+    back = FS.read_parquet(spark, path)
+    return back.select("player_id", "target_date", "position", r6("actual_dfs_points").alias("actual_dfs_points"), "actual_minutes",
+                       r6("value").alias("value"), "salary_dk", "salary_fd")
+
+
 # ---------------------------------------------------------------------------------------------
 # sources, sinks, upserts, exports
 
@@ -512,8 +636,23 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-_EXPORT_DOUBLES = ("usage_rate", "true_shooting_percentage", "player_efficiency_rating",
-                   "effective_field_goal_percentage")
+_DUCK = {"smallint": "SMALLINT", "tinyint": "TINYINT", "int": "INTEGER", "float": "FLOAT"}
+
+
+def _as_stored(expr: str, name: str, types: dict) -> str:
+    """SQL of a typed column; floats come back as rounded doubles on both sides."""
+    t = types.get(name)
+    if t == "float":
+        return f"round(CAST(CAST({expr} AS FLOAT) AS DOUBLE), 4) AS {name}"
+    return f"TRY_CAST({expr} AS {_DUCK[t]}) AS {name}" if t else f"{expr} AS {name}"
+
+
+def _floats_back(df, types):
+    return df.withColumns({c: F.round(F.col(c).cast("double"), 4) for c, t in types.items() if t == "float" and c in df.columns})
+
+
+_SEASON_SQL_OF = ("CAST(CASE WHEN month({0}) >= 10 THEN year({0}) ELSE year({0}) - 1 END AS VARCHAR) || '-' || "
+                  "lpad(CAST((CASE WHEN month({0}) >= 10 THEN year({0}) ELSE year({0}) - 1 END + 1) % 100 AS VARCHAR), 2, '0')")
 
 
 def _export_sql_cols():
@@ -524,14 +663,11 @@ def _export_sql_cols():
         elif c == "month":
             out.append("CAST(month(l.game_date) AS INTEGER) AS month")
         elif c == "season":
-            out.append("CAST(CASE WHEN month(l.game_date) >= 10 THEN year(l.game_date) ELSE year(l.game_date) - 1 END AS VARCHAR)"
-                       " || '-' || lpad(CAST((CASE WHEN month(l.game_date) >= 10 THEN year(l.game_date) ELSE year(l.game_date) - 1 END + 1) % 100 AS VARCHAR), 2, '0') AS season")
+            out.append(_SEASON_SQL_OF.format("l.game_date") + " AS season")
         elif c in EX.LOG_EXPORT_DEFAULTS:
             v = EX.LOG_EXPORT_DEFAULTS[c]
             lit = "FALSE" if v is False else (f"{v!r}::DOUBLE" if isinstance(v, float) else repr(v))
-            src = f"l.{c}" if c in _ETL_OUT else "NULL"
-            e = f"coalesce({src}, {lit})"
-            out.append(f"round({e}, 6) AS {c}" if c in _EXPORT_DOUBLES else f"{e} AS {c}")
+            out.append(_as_stored(f"coalesce({'l.' + c if c in _ETL_OUT else 'NULL'}, {lit})", c, EX.LOG_TYPES))
         else:
             out.append(f"l.{c}")
     return ", ".join(out)
@@ -539,22 +675,21 @@ def _export_sql_cols():
 
 _EXPORT_SQL = f"""logs_export AS (
   SELECT {_export_sql_cols()}
-  FROM logs_etl l LEFT JOIN games g ON l.game_id = g.game_id LEFT JOIN players_etl p ON l.player_id = p.player_id)"""
+  FROM logs_etl l LEFT JOIN players_etl p ON l.player_id = p.player_id)"""
 
 
 def _exported_logs(spark, sf_dir):
     d = Domain(spark, sf_dir)
     players, _, logs = etl_domain(d)
     path = _scratch(spark, "export-logs")
-    EX.export_logs(logs, d.games, players, path)
+    EX.export_logs(logs, players, path)
     return spark, path
 
 
 @register("io_export_logs_roundtrip", with_ctes("SELECT * FROM logs_export", extra=_EXPORT_SQL))
 def q_io_export(spark, sf_dir):
     _, path = _exported_logs(spark, sf_dir)
-    back = FS.read_parquet(spark, path).select(*EX.LOG_EXPORT_COLS)
-    return back.withColumns({c: r6(c) for c in _EXPORT_DOUBLES})
+    return _floats_back(FS.read_parquet(spark, path).select(*EX.LOG_EXPORT_COLS), EX.LOG_TYPES)
 
 
 @register("io_dataset_summary_by_season", with_ctes(
@@ -574,6 +709,20 @@ def q_io_feature_store(spark, sf_dir):
     return normalized_features(EX.expand_features(stored, schema).select(*FT.FEATURE_COLS))
 
 
+@register("io_feature_store_by_day", with_ctes(features_select_sql(), extra=features_oracle_ctes()))
+def q_io_store_by_day(spark, sf_dir):
+    """Saved in three writes that cut through each season, one of them twice, beside another version: the stored
+    version equals the batch."""
+    feats = features_for(spark, sf_dir)
+    path = _scratch(spark, "feature-days")
+    day = F.dayofmonth("target_date") % 3
+    EX.store_features(feats.where(day == 0).withColumn("last_game_points", F.lit(-1.0)), path, version="v1")
+    EX.store_features(feats.where(day == 1), path, version="v2")
+    for k in (0, 1, 2):
+        EX.store_features(feats.where(day == k), path, version="v1")
+    return normalized_features(EX.read_features(spark, path, version="v1").select(*FT.FEATURE_COLS))
+
+
 UPSERT_SPLIT, UPSERT_OVERLAP = "1999-01-01", "1998-12-01"
 
 
@@ -589,10 +738,69 @@ def q_io_upsert(spark, sf_dir):
     SK.write_partitioned(base.where(F.col("game_date") < F.lit(UPSERT_SPLIT).cast("date")), path, ["year"])
     upd = base.where(F.col("game_date") >= F.lit(UPSERT_OVERLAP).cast("date")).withColumn("points", F.col("points") + 1)
     for _ in range(2):  # the replay of the same batch must not change the table
-        SK.upsert_partitioned(spark, path, upd, ["player_id", "game_id"], ["year"])
+        SK.upsert_partitioned(spark, path, upd.withColumn("_seq", F.lit(1)), ["player_id", "game_id"], ["year"], "_seq")
     return spark.read.parquet(path).select("player_id", "game_id", "game_date", "points", "dfs_points_dk")
 
 
+@register("io_upsert_moved_key", with_ctes("""
+SELECT player_id, game_id, CASE WHEN game_id % 4 = 0 THEN game_date + 366 ELSE game_date END AS game_date, points,
+       CAST(year(CASE WHEN game_id % 4 = 0 THEN game_date + 366 ELSE game_date END) AS INTEGER) AS year FROM logs_etl"""))
+def q_io_upsert_moved(spark, sf_dir):
+    """Every fourth game is moved by a year, into another partition: the old row must go."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    base = logs.select("player_id", "game_id", "game_date", "points", F.year("game_date").alias("year"))
+    path = _scratch(spark, "upsert-moved")
+    SK.write_partitioned(base, path, ["year"])
+    moved = base.where("game_id % 4 = 0").withColumn("game_date", F.date_add("game_date", 366)).withColumn("year", F.year("game_date"))
+    SK.upsert_partitioned(spark, path, moved.withColumn("_seq", F.lit(1)), ["player_id", "game_id"], ["year"], "_seq")
+    return spark.read.parquet(path).select("player_id", "game_id", "game_date", "points", "year")
+
+
+@register("io_upsert_two_versions", with_ctes("SELECT player_id, game_id, points + 2 AS points FROM logs_etl"))
+def q_io_upsert_versions(spark, sf_dir):
+    """Two versions of each row in one batch: the later one wins."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    base = logs.select("player_id", "game_id", "points", F.year("game_date").alias("year"))
+    path = _scratch(spark, "upsert-versions")
+    SK.write_partitioned(base, path, ["year"])
+    both = [base.withColumns({"points": F.col("points") + v, "_seq": F.lit(v)}) for v in (2, 1)]
+    SK.upsert_partitioned(spark, path, both[0].unionByName(both[1]), ["player_id", "game_id"], ["year"], "_seq")
+    return spark.read.parquet(path).select("player_id", "game_id", "points")
+
+
+@register("io_players_ingest", with_ctes("""
+SELECT p.id, p.player_id, CASE WHEN p.id % 2 = 0 THEN 'New ' || p.name ELSE p.name END AS name, p.team_id, p.position,
+       DATE '1990-01-01' + CAST(p.id % 1000 AS INTEGER) AS birth_date, CASE WHEN p.id % 2 = 0 THEN TRUE ELSE p.is_active END AS is_active
+FROM players p WHERE p.id % 5 <> 0
+UNION ALL
+SELECT p.id + 28268405000, p.id + 28268405000, 'New ' || p.name, p.team_id, p.position, DATE '2000-02-29', TRUE FROM players p WHERE p.id % 5 = 0""",
+                                         etl=False))
+def q_io_players(spark, sf_dir):
+    """Raw player rows (strings): every second known player is renamed (birth date and id stay), ids of eleven
+    digits are new, an id that doesn't parse is skipped."""
+    p = Domain(spark, sf_dir).players
+    table = p.where("id % 5 <> 0").withColumn("birth_date", F.expr("date_add(DATE'1990-01-01', cast(id % 1000 as int))"))
+    new = F.col("id") % 5 == 0
+    raw = p.where(new | (F.col("id") % 2 == 0)).select(
+        F.when(new, F.col("id") + 28268405000).otherwise(F.col("id")).cast("string").alias("playerID"),
+        F.concat(F.lit("New "), "name").alias("longName"), F.lit(None).cast("string").alias("playerName"),
+        F.col("team_id").cast("string").alias("teamID"), F.col("position").alias("pos"), F.lit("20000229").alias("bDay"),
+        F.lit("Active").alias("status"), F.lit(2).alias("_seq"))
+    bad = raw.limit(1).withColumn("playerID", F.lit("n/a"))
+    old = raw.withColumns({"longName": F.lit("stale"), "_seq": F.lit(1)})
+    return SK.upsert_players(table, raw.unionByName(old).unionByName(bad), "_seq")
+
+
+@register("io_teams_ingest", with_ctes("""
+SELECT team_id, upper(abbreviation) AS abbreviation, 'City ' || name AS name, coalesce(conference, '') AS conference, '' AS division
+FROM teams""", etl=False))
+def q_io_teams(spark, sf_dir):
+    t = Domain(spark, sf_dir).teams
+    raw = t.select(F.col("team_id").cast("string").alias("teamID"), F.lower("abbreviation").alias("teamAbv"), F.lit("City").alias("teamCity"),
+                   F.col("name").alias("teamName"), "conference", "division")
+    return SK.raw_teams(raw.unionByName(raw.withColumn("teamID", F.lit(""))))
+
+
 _BOX_MAP = dict(SK._BOX_INT)
 _BOX_SRC = {"pts": "points", "fgm": "field_goals_made", "fga": "field_goals_attempted", "tpm": "three_pointers_made",
             "tpa": "three_pointers_attempted", "ftm": "free_throws_made", "fta": "free_throws_attempted",
@@ -637,6 +845,22 @@ def q_io_box(spark, sf_dir):
                        "is_home", "opponent_team_id", "is_starter", "name", "team_id", "position")
 
 
+_LONG_ID = 28268405000
+
+
+@register("io_box_score_long_ids", with_ctes(f"SELECT player_id + {_LONG_ID} AS player_id, game_id, points, team_id + {_LONG_ID} AS team_id FROM box",
+                                             etl=False, extra=_BOX_SQL))
+def q_io_box_long(spark, sf_dir):
+    """Ids of eleven digits keep every digit; ids that don't parse or are not positive are set apart."""
+    d = Domain(spark, sf_dir)
+    rows = _box_rows(d.player_game_logs, d.players)
+    long = rows.withColumns({c: (F.col(c).cast("long") + _LONG_ID).cast("string") for c in ("playerID", "teamID")})
+    bad = rows.withColumn("playerID", F.when(F.col("gameID").cast("long") % 2 == 0, "-5").otherwise("abc"))
+    good, apart = SK.box_scores_to_logs(long.unionByName(bad), d.games)
+    return good.join(apart.select(F.col("player_id").alias("_p"), "game_id"), (F.col("player_id") == F.col("_p")) & (good.game_id == apart.game_id),
+                     "left_anti").select("player_id", "game_id", "points", "team_id")
+
+
 @register("io_stub_players", with_ctes("""
 SELECT DISTINCT l.player_id AS id, l.player_id, p.name, p.team_id, p.position, TRUE AS is_active
 FROM player_game_logs l JOIN players p ON l.player_id = p.player_id WHERE NOT p.is_active""", etl=False))
@@ -702,21 +926,14 @@ def _salary_docs(sal):
 
 
 @register("io_salary_flatten", with_ctes("""
-SELECT player_id, game_date, platform, salary, position, TRUE AS is_available FROM dfs_salaries""", etl=False))
+SELECT player_id, game_date, platform, salary, coalesce(position, '') AS position, TRUE AS is_available FROM dfs_salaries""", etl=False))
 def q_io_salary(spark, sf_dir):
     d = Domain(spark, sf_dir)
     path = _scratch(spark, "salary-docs")
     _salary_docs(d.dfs_salaries).write.mode("overwrite").json(path)
-    schema = FS.SALARY_DOC.add("date_str", "string")
-    docs = FS.read_documents(spark, path, schema)
-    parts = []
-    for key, platform in FS.PLATFORM_ARRAYS:
-        parts.append(docs.select("date_str", F.explode(F.col(f"body.{key}")).alias("r"))
-                     .select("date_str", "r.*").withColumns({"platform": F.lit(platform), "dfs_salary": F.col("salary")}))
-    flat = SK.union_all(parts)
-    return SK.raw_salaries(flat).select("player_id", "game_date", "platform", "salary",
-                                        F.when(F.col("position") == "", None).otherwise(F.col("position")).alias("position"),
-                                        "is_available")
+    docs = FS.read_documents(spark, path, T.StructType([*FS.SALARY_DOC.fields, T.StructField("date_str", T.StringType())]))
+    flat = FS.flatten_salaries(docs, carry=["date_str"])
+    return SK.raw_salaries(flat).select("player_id", "game_date", "platform", "salary", "position", "is_available")
 
 
 @register("io_gap_dates", with_ctes("""
@@ -743,12 +960,12 @@ def q_io_csv(spark, sf_dir):
                      F.to_date("injury_date").alias("injury_date"), "status", "body_part")
 
 
-@register("io_newest_snapshot", with_ctes("SELECT * FROM players", etl=False))
+@register("io_newest_snapshot_multi_file", with_ctes("SELECT * FROM players", etl=False))
 def q_io_newest(spark, sf_dir):
     players = Domain(spark, sf_dir).players
     root = _scratch(spark, "snapshots")
     players.withColumn("is_active", F.lit(True)).write.parquet(f"{root}/players_current_20240101_000000")
-    players.write.parquet(f"{root}/players_current_20240102_000000")
+    players.repartition(4).write.parquet(f"{root}/players_current_20240102_000000")
     snap = spark.read.parquet(f"{root}/players_current_20240101_000000", f"{root}/players_current_20240102_000000")
     return FS.newest_per_key(snap).drop("_file_key").select(*players.columns)
 
@@ -777,14 +994,31 @@ def q_ss_landing(spark, sf_dir):
     batch = logs.withColumn("year", F.year("game_date"))
     root = _landing(spark, logs, "stream-logs", [batch.where("year < 1998"), batch.where("year >= 1997")])
     src = SS.stream_landing(spark, f"{root}/landing", batch.schema, max_files_per_trigger=4)
-    ev = src.withColumn("_ts", F.col("game_date").cast("timestamp"))
-    scored = SS.stream_score(SS.stream_dedup(ev, ["player_id", "game_id"], "_ts", "3650 days")).drop("_ts")
-    SS.run_available_now(scored, SS.upsert_sink(f"{root}/table", ["player_id", "game_id"], ["year"]),
+    scored = SS.stream_score(SS.stream_dedup(src, ["player_id", "game_id"])).withColumn("_seq", F.lit(1))
+    SS.run_available_now(scored, SS.upsert_sink(f"{root}/table", ["player_id", "game_id"], ["year"], "_seq"),
                          f"{root}/checkpoint")
     out = spark.read.parquet(f"{root}/table")
     return out.select(*[r6(c).alias(c) if c in _ETL_DOUBLES else F.col(c) for c in _STREAM_COLS])
 
 
+@register("ss_late_and_corrected_rows", with_ctes("""
+SELECT player_id, game_id, CASE WHEN game_id % 3 = 0 THEN points + 7 ELSE points END AS points FROM logs_fixed"""))
+def q_ss_late(spark, sf_dir):
+    """The newest year lands first, then all older ones, then corrections of every third game and replays: late
+    rows are kept and corrections applied."""
+    logs = E.fix_invalid(Domain(spark, sf_dir).player_game_logs).select("player_id", "game_id", "game_date", "points")
+    rows = logs.withColumns({"year": F.year("game_date"), "version": F.lit(1)})
+    last = F.lit(rows.agg(F.max("year")).first()[0])
+    fixed = rows.where("game_id % 3 = 0").withColumns({"points": F.col("points") + 7, "version": F.lit(2)})
+    root = _landing(spark, rows, "stream-late", [rows.where(F.col("year") == last), rows.where(F.col("year") < last),
+                                                 fixed.unionByName(rows.where("game_id % 5 = 0"))])
+    src = SS.stream_landing(spark, f"{root}/landing", rows.schema, max_files_per_trigger=1000)
+    keys = ["player_id", "game_id"]
+    SS.run_available_now(SS.stream_dedup(src, keys), SS.upsert_sink(f"{root}/table", keys, ["year"], "version", fixed_partitions=True),
+                         f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/table").select("player_id", "game_id", "points")
+
+
 @register("ss_rest_days_late_logs", with_ctes("SELECT player_id, game_id, game_date, rest_days FROM logs_etl"))
 def q_ss_rest(spark, sf_dir):
     d = Domain(spark, sf_dir)
@@ -792,8 +1026,8 @@ def q_ss_rest(spark, sf_dir):
     logs = d.player_game_logs.withColumn("year", F.year("game_date"))
     late = F.col("game_id") % 5 == 0
     root = _landing(spark, logs, "stream-rest", [logs.where(~late), logs.where(late)])
-    src = SS.stream_landing(spark, f"{root}/landing", logs.schema, max_files_per_trigger=64)
-    sink = SS.rest_days_sink(f"{root}/table", players, ["player_id", "game_id"], ["year"])
+    src = SS.stream_landing(spark, f"{root}/landing", logs.schema, max_files_per_trigger=64).withColumn("_seq", F.lit(1))
+    sink = SS.rest_days_sink(f"{root}/table", players, ["player_id", "game_id"], ["year"], "_seq", fixed_partitions=True)
     SS.run_available_now(src, sink, f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/table").select("player_id", "game_id", "game_date", "rest_days")
 
@@ -814,7 +1048,7 @@ def q_jn_asof(spark, sf_dir):
                       F.col("value").alias("prev_value"))
     out = asof_join(ev.select("event_id", "user_id", "ts"), right, ["user_id"], "ts", "pts",
                     ["prev_event_type", "prev_value"], strict=True,
-                    bucket=lambda c: F.year(c) * 100 + F.weekofyear(c))
+                    granularity="week")
     return out.withColumn("prev_value", r6("prev_value"))
 
 
@@ -940,31 +1174,96 @@ def q_io_raw_injuries(spark, sf_dir):
     return SK.raw_injuries(raw)
 
 
-_SEASON_OF = lambda col: (f"CAST(CASE WHEN month({col}) >= 10 THEN year({col}) ELSE year({col}) - 1 END AS VARCHAR) || '-' || "
-                          f"lpad(CAST((CASE WHEN month({col}) >= 10 THEN year({col}) ELSE year({col}) - 1 END + 1) % 100 AS VARCHAR), 2, '0')")
+@register("io_raw_injuries_long_ids", with_ctes(f"""
+SELECT player_id + {_LONG_ID} AS player_id, injury_date, status, body_part FROM injuries""", etl=False))
+def q_io_raw_injuries_long(spark, sf_dir):
+    """Eleven-digit ids stay apart; rows whose id doesn't parse are skipped, none becomes player 0."""
+    inj = Domain(spark, sf_dir).injuries
+    raw = inj.select((F.col("player_id") + _LONG_ID).cast("string").alias("playerID"),
+                     F.date_format("injury_date", "yyyyMMdd").alias("injDate"), "status",
+                     F.lit("").alias("description"), F.col("body_part").alias("bodyPart"))
+    raw = raw.unionByName(raw.withColumn("playerID", F.lit("unknown")))
+    return SK.raw_injuries(raw).select("player_id", "injury_date", "status", "body_part")
 
 
-@register("io_export_injuries_salaries", with_ctes(f"""
-SELECT 'injuries' AS dataset, {_SEASON_OF('injury_date')} AS part, count(*) AS records,
-       min(injury_date) AS first_day, max(injury_date) AS last_day FROM injuries GROUP BY 2
-UNION ALL
-SELECT 'dfs_salaries', {_SEASON_OF('game_date')} || '/' || platform, count(*), min(game_date), max(game_date)
-FROM dfs_salaries GROUP BY 2""", etl=False))
-def q_io_export_inj_sal(spark, sf_dir):
+@register("io_export_injuries", with_ctes(f"""
+SELECT player_id, injury_date, coalesce(status, 'Unknown') AS status, coalesce(description, '') AS description,
+       coalesce(body_part, '') AS body_part, return_date, {_as_stored('coalesce(games_missed, 0)', 'games_missed', EX.INJURY_TYPES)},
+       {_SEASON_SQL_OF.format('injury_date')} AS season FROM injuries""", etl=False))
+def q_io_export_injuries(spark, sf_dir):
+    path = _scratch(spark, "export-injuries")
+    EX.export_injuries(Domain(spark, sf_dir).injuries, path)
+    return FS.read_parquet(spark, path)
+
+
+@register("io_export_salaries", with_ctes(f"""
+SELECT player_id, game_date, salary, coalesce(position, '') AS position, coalesce(is_available, TRUE) AS is_available,
+       {_SEASON_SQL_OF.format('game_date')} AS season, platform FROM dfs_salaries""", etl=False))
+def q_io_export_salaries(spark, sf_dir):
+    path = _scratch(spark, "export-salaries")
+    EX.export_salaries(Domain(spark, sf_dir).dfs_salaries, path)
+    return FS.read_parquet(spark, path)
+
+
+_ODDS_EXPR = {"home_spread": "g.home_spread", "away_spread": "g.away_spread", "home_spread_odds": "-110", "away_spread_odds": "-110",
+              "home_moneyline": "CAST(g.home_spread * 10 AS INTEGER)", "away_moneyline": "CAST(g.away_spread * 10 AS INTEGER)",
+              "total_points": "g.total_line", "over_odds": "-110 - k * 5", "under_odds": "-110 + k * 5"}
+
+
+@register("io_export_odds", with_ctes(f"""
+SELECT CAST(g.game_id AS VARCHAR) AS game_id, g.game_date, CASE k WHEN 0 THEN 'fanduel' ELSE 'draftkings' END AS sportsbook,
+       {', '.join(_as_stored(f'coalesce({e}, 0)', c, EX.ODDS_TYPES) for c, e in _ODDS_EXPR.items())},
+       {_SEASON_SQL_OF.format('g.game_date')} AS season
+FROM games g JOIN range(0, 2) t(k) ON t.k < g.game_id % 3""", etl=False))
+def q_io_export_odds(spark, sf_dir):
     d = Domain(spark, sf_dir)
-    root = _scratch(spark, "export-inj-sal")
-    EX.export_injuries(d.injuries, f"{root}/injury_reports")
-    EX.export_salaries(d.dfs_salaries, f"{root}/dfs_salaries")
-    i = (FS.read_parquet(spark, f"{root}/injury_reports").groupBy("season")
-         .agg(F.count(F.lit(1)).alias("records"), F.min("injury_date").alias("first_day"),
-              F.max("injury_date").alias("last_day"))
-         .select(F.lit("injuries").alias("dataset"), F.col("season").alias("part"), "records", "first_day", "last_day"))
-    s = (FS.read_parquet(spark, f"{root}/dfs_salaries").groupBy("season", "platform")
-         .agg(F.count(F.lit(1)).alias("records"), F.min("game_date").alias("first_day"),
-              F.max("game_date").alias("last_day"))
-         .select(F.lit("dfs_salaries").alias("dataset"), F.concat("season", F.lit("/"), "platform").alias("part"),
-                 "records", "first_day", "last_day"))
-    return i.unionByName(s)
+    docs, path = _scratch(spark, "odds-docs"), _scratch(spark, "export-odds")
+    _odds_docs(d.games).write.mode("overwrite").json(docs)
+    odds = SK.raw_odds(FS.flatten_odds(FS.read_documents(spark, docs, FS.ODDS_DOC)), "2024-01-01 00:00:00")
+    EX.export_odds(odds, d.games, path)
+    return _floats_back(FS.read_parquet(spark, path).drop("timestamp"), EX.ODDS_TYPES)
+
+
+@register("io_json_bodies", with_ctes("""
+SELECT CAST(game_id AS VARCHAR) AS gameID, strftime(game_date, '%Y%m%d') AS gameDate, CAST(home_team_id AS VARCHAR) AS teamIDHome FROM games""",
+                                      etl=False))
+def q_io_bodies(spark, sf_dir):
+    """SRC-JSON: one row per element of each document's body."""
+    docs = _scratch(spark, "json-bodies")
+    _odds_docs(Domain(spark, sf_dir).games).write.mode("overwrite").json(docs)
+    element = T.StructType([T.StructField(c, T.StringType()) for c in ("gameID", "gameDate", "teamIDHome")])
+    return FS.read_body(spark, docs, element)
+
+
+@register("io_logs_with_parent", with_ctes("""
+SELECT l.player_id, l.game_id FROM player_game_logs l WHERE l.player_id IN (SELECT player_id FROM players WHERE is_active)""", etl=False))
+def q_io_with_parent(spark, sf_dir):
+    """JN-SEMI: the complement of the foreign-key report."""
+    d = Domain(spark, sf_dir)
+    return SK.with_parent(d.player_game_logs, d.players.where("is_active"), ["player_id"]).select("player_id", "game_id")
+
+
+@register("an_logs_last_season", with_ctes("""
+SELECT player_id, game_id, game_date FROM logs_etl, (SELECT max(year(game_date) + CASE WHEN month(game_date) >= 10 THEN 1 ELSE 0 END) AS y FROM games) s
+WHERE game_date BETWEEN make_date(CAST(s.y - 1 AS INTEGER), 10, 1) AND make_date(CAST(s.y AS INTEGER), 4, 30)"""))
+def q_an_last_season(spark, sf_dir):
+    """SRC-SEASON, FLT-DYN: the logs of the last season of the data."""
+    dom = Domain(spark, sf_dir)
+    _, _, logs = etl_domain(dom)
+    _, b = data_date_range(dom)
+    lo, hi = FS.season_range(b.year + (b.month >= 10))
+    return RD.filter_optional(logs, start=lo, end=hi).select("player_id", "game_id", "game_date")
+
+
+@register("an_logs_recent_days", with_ctes("""
+SELECT player_id, game_id, game_date FROM logs_etl WHERE game_date BETWEEN (SELECT max(game_date) FROM games) - 90 AND (SELECT max(game_date) FROM games)"""))
+def q_an_recent(spark, sf_dir):
+    """SRC-RECENT: the last 90 days of the data."""
+    dom = Domain(spark, sf_dir)
+    _, _, logs = etl_domain(dom)
+    _, b = data_date_range(dom)
+    lo, hi = FS.recent_range(90, b)
+    return RD.filter_optional(logs, start=lo, end=hi).select("player_id", "game_id", "game_date")
 
 
 @register("io_team_game_logs", with_ctes("""
@@ -984,6 +1283,29 @@ def q_io_team_logs(spark, sf_dir):
     return t.withColumns({c: r6(c) for c in ("field_goal_percentage", "three_point_percentage", "free_throw_percentage")})
 
 
+@register("io_export_team_logs", with_ctes("""
+SELECT team_id, game_id, game_date, """ + ", ".join(_as_stored(c, c, EX.TEAM_TYPES) for c in EX.TEAM_LOG_SUMS) + """, is_home, opponent_team_id,
+       """ + ", ".join(_as_stored(f"coalesce(CASE WHEN {a} > 0 THEN {m} / {a} END, 0.0)", c, EX.TEAM_TYPES) for c, m, a in (
+    ("field_goal_percentage", "field_goals_made", "field_goals_attempted"), ("three_point_percentage", "three_pointers_made", "three_pointers_attempted"),
+    ("free_throw_percentage", "free_throws_made", "free_throws_attempted"),
+    ("true_shooting_percentage", "points", "(2 * (field_goals_attempted + 0.44 * free_throws_attempted))"),
+    ("effective_field_goal_percentage", "(field_goals_made + 0.5 * three_pointers_made)", "field_goals_attempted"))) + """,
+       """ + ", ".join(_as_stored("0", c, EX.TEAM_TYPES) for c in EX.TEAM_EXPORT_DEFAULTS) + """,
+       CAST(month(game_date) AS INTEGER) AS month, """ + _SEASON_SQL_OF.format("game_date") + """ AS season
+FROM side""", extra="""side AS (
+  SELECT CASE WHEN coalesce(l.is_home, FALSE) THEN g.home_team_id ELSE g.away_team_id END AS team_id, l.game_id, l.game_date,
+         """ + ", ".join(f"CAST(sum(coalesce(l.{c}, 0)) AS BIGINT) AS {c}" for c in EX.TEAM_LOG_SUMS) + """,
+         coalesce(l.is_home, FALSE) AS is_home, CASE WHEN coalesce(l.is_home, FALSE) THEN g.away_team_id ELSE g.home_team_id END AS opponent_team_id
+  FROM logs_etl l JOIN games g ON l.game_id = g.game_id
+  GROUP BY 1, l.game_id, l.game_date, coalesce(l.is_home, FALSE), g.home_team_id, g.away_team_id)"""))
+def q_io_export_team(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    _, _, logs = etl_domain(d)
+    path = _scratch(spark, "export-team")
+    EX.export_team_logs(logs, d.games, path)
+    return _floats_back(FS.read_parquet(spark, path), EX.TEAM_TYPES)
+
+
 @register("io_days_without_odds", with_ctes("""
 SELECT DISTINCT game_date FROM games WHERE game_date NOT IN (
   SELECT g.game_date FROM games g WHERE g.game_id % 3 <> 0)""", etl=False))

@@ -54,7 +54,6 @@ def rolling_names(n: int) -> list[str]:
 
 KEY_COLS = ["player_id", "target_date"]
 INFO_COLS = ["position", "team_id", "is_active"]
-ROLLING_COLS = [c for n in ROLL_WINDOWS for c in rolling_names(n)]
 RECENT_COLS = ["last_game_points", "last_game_dfs_points", "last_game_minutes", "points_trend_recent",
                "dfs_trend_recent", "recent_consistency"]
 ADV_COLS = ["per_estimate", "avg_usage_rate", "usage_rate_trend", "avg_true_shooting", "shooting_trend"]
@@ -66,8 +65,15 @@ HA_COLS = ["avg_points_home", "avg_dfs_home", "home_games_count", "avg_points_aw
            "away_games_count", "home_away_dfs_diff"]
 SAL_COLS = ["current_salary_dk", "avg_value_dk", "std_value_dk"]
 SEASON_COLS = ["season_avg_points", "season_avg_dfs", "season_games_played", "seasonal_trend"]
-FEATURE_COLS = (KEY_COLS + INFO_COLS + ROLLING_COLS + RECENT_COLS + ADV_COLS + OPP_COLS + INJ_COLS
-                + REST_COLS + HA_COLS + SAL_COLS + SEASON_COLS)
+
+
+def feature_cols(windows=ROLL_WINDOWS) -> list[str]:
+    """Columns of the feature table for the given rolling windows."""
+    return (KEY_COLS + INFO_COLS + [c for n in windows for c in rolling_names(n)] + RECENT_COLS + ADV_COLS + OPP_COLS
+            + INJ_COLS + REST_COLS + HA_COLS + SAL_COLS + SEASON_COLS)
+
+
+FEATURE_COLS = feature_cols()
 assert len(FEATURE_COLS) == 110, len(FEATURE_COLS)
 
 
@@ -90,7 +96,7 @@ def _prep(logs: DataFrame) -> DataFrame:
     return logs.select("player_id", "game_id", "game_date", "rest_days", *[v.alias(k) for k, v in cols.items()])
 
 
-def log_states(logs: DataFrame) -> DataFrame:
+def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     """One row per game log: the state of the player's history ending with that game (inclusive),
     plus ``next_date`` (date of the player's next game, NULL for the last one).
 
@@ -135,7 +141,7 @@ def log_states(logs: DataFrame) -> DataFrame:
 
     rn = F.col("_rn")
     out = {"n_hist": F.least(rn, F.lit(HISTORY))}
-    for n in ROLL_WINDOWS:
+    for n in windows:
         ok = rn >= n
         f = fr(n)
         for name, src in ROLL_AVG:
@@ -213,16 +219,26 @@ def first_log_per_day(logs: DataFrame, cols) -> DataFrame:
             .select("player_id", "game_date", "_r.*"))
 
 
-def opponent_features(logs: DataFrame, games: DataFrame, players: DataFrame, start, end) -> DataFrame:
+def opponent_features(logs: DataFrame, games: DataFrame, players: DataFrame, start, end, source: str = "log") -> DataFrame:
     """(player_id, target_date) + the five opponent features. The target-day game is found through the
-    player's log on that day (as the reference does); the opponent follows from the player's current
-    team; the history is the newest 5 logs against that opponent strictly before t."""
+    player's log on that day (``source="log"``, as the reference does) or through the schedule of the player's
+    current team (``"schedule"``: also for games that are not played yet; of several on a day the smallest id);
+    the opponent follows from the player's current team; the history is the newest 5 logs against that
+    opponent strictly before t."""
+    if source not in ("log", "schedule"):
+        raise ValueError(f"opponent source {source!r}: log or schedule")
     s, e = F.to_date(F.lit(str(start))), F.to_date(F.lit(str(end)))
-    day = first_log_per_day(logs.where(F.col("game_date").between(s, e)), [])
     g = games.select("game_id", "home_team_id", "away_team_id")
     p = players.select("player_id", "team_id")
-    tgt = (day.join(g, "game_id").join(p, "player_id")
-           .select("player_id", F.col("game_date").alias("target_date"),
+    if source == "log":
+        found = first_log_per_day(logs.where(F.col("game_date").between(s, e)), []).join(g, "game_id").join(p, "player_id")
+    else:
+        sides = games.where(F.col("game_date").between(s, e)).select(
+            "game_id", "game_date", "home_team_id", "away_team_id", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+        row = F.struct("game_id", "home_team_id", "away_team_id")
+        first = sides.groupBy("team_id", "game_date").agg(F.min_by(row, F.col("game_id")).alias("_g")).select("team_id", "game_date", "_g.*")
+        found = p.join(first, "team_id")
+    tgt = (found.select("player_id", F.col("game_date").alias("target_date"),
                    F.when(F.col("team_id") == F.col("home_team_id"), F.col("away_team_id"))
                    .otherwise(F.col("home_team_id")).alias("opponent_team_id"),
                    F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False)).alias("is_home_game")))
@@ -240,11 +256,7 @@ def opponent_features(logs: DataFrame, games: DataFrame, players: DataFrame, sta
               .where("_own"))
     return asof_join(tgt, states, keys, "target_date", "game_date",
                      ["avg_points_vs_opponent", "avg_dfs_vs_opponent", "games_vs_opponent"],
-                     right_order=["game_id"], strict=True, bucket=lambda c: _season_of(c))
-
-
-def _season_of(c: Column) -> Column:
-    return F.when(F.month(c) >= 10, F.year(c)).otherwise(F.year(c) - 1)
+                     right_order=["game_id"], strict=True, granularity="season")
 
 
 def salary_features(salaries: DataFrame, logs: DataFrame, start, end) -> DataFrame:
@@ -266,25 +278,31 @@ def salary_features(salaries: DataFrame, logs: DataFrame, start, end) -> DataFra
                             F.stddev_pop("_v").over(w).alias("std_value_dk"))
               .where("_own"))
     return asof_join(cur, states, ["player_id"], "target_date", "game_date", ["avg_value_dk", "std_value_dk"],
-                     strict=True, bucket=_season_of)
+                     strict=True, granularity="season")
 
 
 def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, injuries: DataFrame,
                       salaries: DataFrame, start, end, *, opponent: bool = True, injury: bool = True,
                       rest: bool = True, home_away: bool = True, salary: bool = True,
+                      windows=ROLL_WINDOWS, min_games: int = MIN_GAMES, opponent_source: str = "log",
                       materialize: bool = True) -> DataFrame:
-    """FT-BATCH: the 110 feature columns for every active player and every day in [start, end]
-    that has at least ``MIN_GAMES`` games before it. Config switches drop a group to NULLs.
-
-    With ``materialize`` the cleaned logs and salaries are checkpointed once (written to the shared
-    ``spark.checkpoint.dir``, lineage cut): the state, opponent and salary branches then read the same
-    files instead of recomputing the ETL each, and a lost executor recomputes nothing upstream."""
+    """FT-BATCH: the feature columns (``feature_cols(windows)``; 110 by default) for every active player and
+    every day in [start, end] that has at least ``min_games`` games before it. Rolling windows hold at most
+    ``HISTORY`` games. Config switches drop a group to NULLs.
+
+    With ``materialize`` the cleaned logs and salaries, and then the states, are staged once as parquet in the
+    shared ``spark.checkpoint.dir``: the branches read only the columns they need of the same files instead of
+    recomputing the ETL and the frames each, and a lost executor recomputes nothing upstream."""
+    if any(not 0 < n <= HISTORY for n in windows):
+        raise ValueError(f"rolling windows {tuple(windows)}: 1 to {HISTORY} games")
     if materialize:
         logs = cut_lineage(logs)
         salaries = cut_lineage(salaries)
-    st = log_states(logs).where(F.col("n_hist") >= MIN_GAMES)
+    st = log_states(logs, windows).where(F.col("n_hist") >= min_games)
     active = players.where(F.col("is_active")).select("player_id", *INFO_COLS)
     st = st.join(active, "player_id")
+    if materialize:  # read twice: narrow for the spine, wide at the end
+        st = cut_lineage(st)
     # The side features are joined on a narrow spine (player, anchor game, day); the wide states meet
     # them once, on the anchor key. Shuffling the exploded wide rows instead would move every state
     # once per day it covers.
@@ -293,7 +311,7 @@ def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, inj
     if injury:
         keys = keys.join(injury_features(injuries, start, end), KEY_COLS, "left")
     if opponent:
-        keys = keys.join(opponent_features(logs, games, players, start, end), KEY_COLS, "left")
+        keys = keys.join(opponent_features(logs, games, players, start, end, opponent_source), KEY_COLS, "left")
     if salary:
         keys = keys.join(salary_features(salaries, logs, start, end), KEY_COLS, "left")
     spine = keys.join(st.drop("game_date", "next_date"), ["player_id", "game_id"])
@@ -309,7 +327,8 @@ def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, inj
     def col_or_null(c, dtype="double"):
         return F.col(c) if c in spine.columns else F.lit(None).cast(dtype)
 
-    sel = {c: F.col(c) for c in KEY_COLS + INFO_COLS + ROLLING_COLS + RECENT_COLS + ADV_COLS}
+    rolling = [c for n in windows for c in rolling_names(n)]
+    sel = {c: F.col(c) for c in KEY_COLS + INFO_COLS + rolling + RECENT_COLS + ADV_COLS}
     sel.update({
         "opponent_team_id": col_or_null("opponent_team_id", "long"),
         "is_home_game": col_or_null("is_home_game", "boolean"),
@@ -339,7 +358,7 @@ def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, inj
                 "season_avg_dfs": F.when(ok, F.col("season_avg_dfs")),
                 "season_games_played": F.when(ok, F.col("season_games_played")),
                 "seasonal_trend": F.when(ok, F.col("seasonal_trend"))})
-    return spine.select(*[sel[c].alias(c) for c in FEATURE_COLS])
+    return spine.select(*[sel[c].alias(c) for c in feature_cols(windows)])
 
 
 def feature_summary(features: DataFrame) -> DataFrame:

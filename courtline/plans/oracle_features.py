@@ -15,9 +15,9 @@ _SRC0 = {"points": "p0", "rebounds_total": "reb0", "assists": "ast0", "steals":
 DOUBLE_FEATURES = None  # filled below
 
 
-def _state_aggs() -> str:
+def _state_aggs(windows=ROLL_WINDOWS) -> str:
     out = ["count(*) AS n_hist"]
-    for n in ROLL_WINDOWS:
+    for n in windows:
         ok = f"count(*) >= {n}"
         f = f"FILTER (WHERE k < {n})"
         for name, src in ROLL_AVG:
@@ -51,7 +51,15 @@ def _state_aggs() -> str:
     return ",\n    ".join(out)
 
 
-def features_oracle_ctes() -> str:
+_ALL_DAYS = "SELECT p.player_id, p.position, p.team_id, p.is_active, d.target_date\n          FROM players_etl p CROSS JOIN days d WHERE p.is_active"
+# the (player, day) pairs that a training row needs: a log and a DraftKings salary on the day
+OUTCOME_DAYS = """SELECT DISTINCT p.player_id, p.position, p.team_id, p.is_active, l.game_date AS target_date
+          FROM players_etl p JOIN logs_etl l ON l.player_id = p.player_id
+          JOIN dfs_salaries s ON s.player_id = l.player_id AND s.game_date = l.game_date
+          WHERE p.is_active AND s.platform = 'DraftKings' AND s.salary >= 3000"""
+
+
+def features_oracle_ctes(spine: str = _ALL_DAYS, windows=ROLL_WINDOWS, min_games: int = 5) -> str:
     src = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {v}" for c, v in _SRC0.items())
     return f"""
 lg AS (
@@ -65,13 +73,13 @@ lg AS (
     row_number() OVER (PARTITION BY player_id ORDER BY game_date, game_id) AS idx,
     row_number() OVER (PARTITION BY player_id, game_date ORDER BY game_id DESC) AS last_of_day
   FROM logs_etl),
-pairs AS (
+pairs AS MATERIALIZED (
   SELECT a.player_id, a.idx AS aidx, a.game_date AS adate, a.season AS aseason, a.idx - r.idx AS k,
          r.season AS rseason, r.p0, r.reb0, r.ast0, r.stl0, r.blk0, r.tov0, r.min0, r.dfs0, r.usg0, r.ts0,
          r.fgm0, r.fga0, r.tpm0, r.tpa0, r.ftm0, r.fta0, r.per_pos, r.per_neg, r.usage_t, r.ts_t, r.home, r.rest_days
   FROM lg a JOIN lg r ON a.player_id = r.player_id AND r.idx BETWEEN a.idx - 49 AND a.idx
   WHERE a.last_of_day = 1),
-st_main AS (SELECT player_id, aidx, adate, {_state_aggs()} FROM pairs GROUP BY player_id, aidx, adate),
+st_main AS (SELECT player_id, aidx, adate, {_state_aggs(windows)} FROM pairs GROUP BY player_id, aidx, adate),
 usage_c AS (SELECT player_id, aidx, usage_t AS y, row_number() OVER (PARTITION BY player_id, aidx ORDER BY k) - 1 AS x
             FROM pairs WHERE k < 10 AND usage_t IS NOT NULL),
 usage_s AS (SELECT player_id, aidx, avg(y) AS avg_usage_rate,
@@ -86,7 +94,7 @@ seas AS (SELECT player_id, aidx, dfs0, row_number() OVER (PARTITION BY player_id
 seas_t AS (SELECT player_id, aidx, CASE WHEN max(m) >= 20 THEN avg(dfs0) FILTER (WHERE sk < m // 2)
                                         - avg(dfs0) FILTER (WHERE sk >= m // 2) END AS seasonal_trend
            FROM seas GROUP BY player_id, aidx),
-states AS (
+states AS MATERIALIZED (
   SELECT m.*, u.avg_usage_rate, u.usage_rate_trend, t.avg_true_shooting, t.shooting_trend, s.seasonal_trend
   FROM st_main m LEFT JOIN usage_s u USING (player_id, aidx) LEFT JOIN ts_s t USING (player_id, aidx)
   LEFT JOIN seas_t s USING (player_id, aidx)),
@@ -94,12 +102,11 @@ days AS (
   SELECT CAST(d AS DATE) AS target_date
   FROM generate_series(CAST((SELECT min(game_date) FROM games) AS TIMESTAMP),
                        CAST((SELECT max(game_date) FROM games) AS TIMESTAMP), INTERVAL 1 DAY) g(d)),
-spine AS (SELECT p.player_id, p.position, p.team_id, p.is_active, d.target_date
-          FROM players_etl p CROSS JOIN days d WHERE p.is_active),
+spine AS ({spine}),
 anchored AS (
   SELECT * FROM (SELECT s.*, st.* EXCLUDE (player_id)
                  FROM spine s ASOF JOIN states st ON s.player_id = st.player_id AND s.target_date > st.adate)
-  WHERE n_hist >= 5),
+  WHERE n_hist >= {min_games}),
 inj AS (
   SELECT s.player_id, s.target_date, count(*) AS n, max(i.injury_date) AS last
   FROM anchored s JOIN injuries i ON i.player_id = s.player_id
@@ -162,6 +169,7 @@ _SPECIAL = {
 INT_FEATURES = {"player_id", "team_id", "opponent_team_id", "games_vs_opponent", "recent_injury_count",
                 "days_since_injury", "rest_days", "home_games_count", "away_games_count", "current_salary_dk",
                 "season_games_played"} | {f"games_played_L{n}" for n in ROLL_WINDOWS}
+INT_FEATURES |= {f"games_played_L{n}" for n in range(1, 51)}
 NON_DOUBLE = INT_FEATURES | {"target_date", "position", "is_active", "is_home_game", "has_recent_injury",
                              "is_back_to_back"}
 DOUBLE_FEATURES = [c for c in FEATURE_COLS if c not in NON_DOUBLE]
@@ -173,7 +181,7 @@ def features_select_sql(cols=FEATURE_COLS, source: str = "feat") -> str:
         e = _SPECIAL.get(c, c)
         if c in INT_FEATURES:
             parts.append(f"CAST({e} AS BIGINT) AS {c}")
-        elif c in DOUBLE_FEATURES:
+        elif c not in NON_DOUBLE:
             parts.append(f"round(CAST({e} AS DOUBLE), 6) + 0.0 AS {c}")
         else:
             parts.append(f"{e} AS {c}")

@@ -54,8 +54,8 @@ def filter_optional(df: DataFrame, date_col: str = "game_date", start=None, end=
 
 
 def player_game_logs(logs: DataFrame, player_id=None, start=None, end=None, limit: int | None = None) -> DataFrame:
-    """AN-LOGS: the 24-column log view, newest first; ``limit`` keeps the newest n per player
-    (``row_number() <= n``, planned as a WindowGroupLimit that also trims map-side)."""
+    """AN-LOGS: the 24-column log view, newest first (date, then game, then player); ``limit`` keeps the
+    newest n per player (``row_number() <= n``, planned as a WindowGroupLimit that also trims map-side)."""
     df = filter_optional(logs, start=start, end=end, player_id=player_id)
     if "is_starter" not in df.columns:
         df = df.withColumn("is_starter", F.lit(None).cast("boolean"))
@@ -63,7 +63,7 @@ def player_game_logs(logs: DataFrame, player_id=None, start=None, end=None, limi
     if limit:
         w = Window.partitionBy("player_id").orderBy(F.col("game_date").desc(), F.col("game_id").desc())
         view = view.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
-    return view
+    return view.orderBy(F.col("game_date").desc(), F.col("game_id").desc(), "player_id")
 
 
 def games_for_date(games: DataFrame, teams: DataFrame, day=None) -> DataFrame:
@@ -142,11 +142,11 @@ def team_vs_position(logs: DataFrame, players: DataFrame, start=None, end=None,
 
 
 def recent_trends(logs: DataFrame, as_of, days: int = 30, player_id=None) -> DataFrame:
-    """AN-TREND in set form: per player, logs since ``as_of - days``: count, means (NULL as 0),
+    """AN-TREND in set form: per player, logs of [``as_of - days``, ``as_of``]: count, means (NULL as 0),
     least-squares slopes over newest-first positions (0 when fewer than 3 games; positive = falling)
     and consistency 1/(1 + population std of DraftKings points) (1.0 for a single game)."""
     cutoff = F.date_sub(_d(as_of), int(days))
-    l = filter_optional(logs, player_id=player_id).where(F.col("game_date") >= cutoff)
+    l = filter_optional(logs, player_id=player_id).where(F.col("game_date").between(cutoff, _d(as_of)))
     l = l.select("player_id", "game_date", "game_id", coalesce0("dfs_points_dk").cast("double").alias("y_dfs"),
                  coalesce0("minutes").cast("double").alias("y_min"), coalesce0("points").cast("double").alias("y_pts"))
     l = positions_from_end(l, ["player_id"], ["game_date", "game_id"], season_chunk("game_date"), alias="x")
@@ -181,36 +181,38 @@ def injury_report(injuries: DataFrame, players: DataFrame, day=None, start=None,
             rep = rep.where(F.col("report_date") >= _d(start))
         if end is not None:
             rep = rep.where(F.col("report_date") <= _d(end))
-    return rep.join(p, "player_id", "left").select("report_date", "player_id", "player_name", "injury_date",
-                                                   "status", "description", "body_part", "games_missed")
+    rep = rep.join(p, "player_id", "left").select("report_date", "player_id", "player_name", "injury_date",
+                                                  "status", "description", "body_part", "games_missed")
+    return rep.orderBy("report_date", F.col("injury_date").desc(), "player_id")
 
 
-MAX_CORR_PLAYERS = 200
+CORR_BLOCK = 64            # listed players whose series of a date are paired in one row
 
 
 def correlation_matrix(logs: DataFrame, player_ids: DataFrame, start=None, end=None) -> DataFrame:
     """AN-CORR in long form: Pearson correlation of DraftKings points between every pair of the
     given players over the dates both played (pairwise complete); NULL for fewer than 2 shared
-    dates or a constant series. ``player_ids`` is a one-column frame of at most
-    ``MAX_CORR_PLAYERS`` ids (checked), so a date emits at most that many squared pairs.
+    dates or a constant series. ``player_ids`` is a one-column frame of any length; the result has its
+    length squared rows by definition.
 
-    Moments form (``n, sums, sums of squares, cross sums`` per pair, then one closed formula):
-    built-in ``corr`` raises on a constant series under ANSI mode.
+    Each unordered pair is formed once and mirrored at the end. Players are dealt into blocks; a date's
+    rows meet by (date, block, block), so a date on which everybody played is spread over many tasks.
+    The moments of a pair (n, sums, squares, cross sums) combine map-side; the closed formula replaces the
+    built-in ``corr``, which raises on a constant series under ANSI mode.
     """
-    # the id list and the listed players' series are materialised once (checkpoint in the shared
-    # folder): the size check, the self join and the diagonal then read them instead of recomputing
-    # the upstream plan three times
-    ids = cut_lineage(player_ids.select("player_id").distinct())
-    n_ids = ids.count()
-    if n_ids > MAX_CORR_PLAYERS:
-        raise ValueError(f"correlation over {n_ids} players; at most {MAX_CORR_PLAYERS} are allowed")
+    ids = player_ids.select("player_id").distinct()
     l = (filter_optional(logs, start=start, end=end).where(F.col("dfs_points_dk").isNotNull())
-         .join(F.broadcast(ids), "player_id")  # size checked above
+         .join(ids, "player_id")
          .select("player_id", "game_date", F.col("dfs_points_dk").cast("double").alias("v")))
     l = cut_lineage(l)
-    a = l.select(F.col("player_id").alias("player_a"), "game_date", F.col("v").alias("x"))
-    b = l.select(F.col("player_id").alias("player_b"), "game_date", F.col("v").alias("y"))
-    pairs = a.join(b, "game_date").where(F.col("player_a") != F.col("player_b"))
+    blocks = max(1, -(-l.agg(F.approx_count_distinct("player_id")).first()[0] // CORR_BLOCK))
+    l = l.withColumn("_block", F.pmod(F.xxhash64("player_id"), F.lit(blocks)))
+    others = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
+    a = l.select(F.col("player_id").alias("player_a"), "game_date", F.col("v").alias("x"), F.col("_block").alias("_ba"),
+                 F.explode(others).alias("_bb"))
+    b = l.select(F.col("player_id").alias("player_b"), "game_date", F.col("v").alias("y"), F.col("_block").alias("_bb"),
+                 F.explode(others).alias("_ba"))
+    pairs = a.join(b, ["game_date", "_ba", "_bb"]).where(F.col("player_a") < F.col("player_b"))
     m = pairs.groupBy("player_a", "player_b").agg(
         F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
         F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
@@ -219,8 +221,10 @@ def correlation_matrix(logs: DataFrame, player_ids: DataFrame, start=None, end=N
     cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
     vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = n * F.col("syy") - F.col("sy") * F.col("sy")
-    off = m.select("player_a", "player_b",
-                   F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy)).alias("correlation"))
+    value = F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    both = F.explode(F.array(*[F.struct(F.col(p).alias("player_a"), F.col(q).alias("player_b"))
+                               for p, q in (("player_a", "player_b"), ("player_b", "player_a"))]))
+    off = m.select(both.alias("p"), value.alias("correlation")).select("p.player_a", "p.player_b", "correlation")
     # diagonal: a series with itself is 1 unless it is constant or too short
     d = (l.groupBy("player_id").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("v").alias("sd"))
          .select(F.col("player_id").alias("player_a"), F.col("player_id").alias("player_b"),
@@ -263,6 +267,41 @@ def training_data(features: DataFrame, logs: DataFrame, salaries: DataFrame, sta
                         .otherwise(F.lit(0.0)))
 
 
+def training_from_store(spark, path: str, logs: DataFrame, salaries: DataFrame, version: str = "v1", start=None, end=None,
+                        min_salary: int = 3000) -> DataFrame:
+    """AN-TRAIN over the feature store: the stored features of one version (its partitions and the range's
+    seasons only), then ``training_data``."""
+    from courtline.plans.exports import read_features
+    stored = read_features(spark, path, version=version, start=start, end=end)
+    return training_data(stored.drop("feature_set_version", "season", "created_at"), logs, salaries, start, end, min_salary)
+
+
+def with_fanduel(training: DataFrame, salaries: DataFrame) -> DataFrame:
+    """Training rows with both platforms' salaries of the day (``salary_dk``, ``salary_fd``; NULL without one)."""
+    fd = (salaries.where(F.col("platform") == "FanDuel").groupBy("player_id", F.col("game_date").alias("target_date"))
+          .agg(F.max("salary").alias("salary_fd")))
+    return training.withColumnRenamed("salary", "salary_dk").join(fd, ["player_id", "target_date"], "left")
+
+
+def export_filter(training: DataFrame, min_salary: int = 0, min_minutes: float = 0) -> DataFrame:
+    """AN-EXPORT thresholds: either platform's salary reaches ``min_salary`` and the minutes ``min_minutes``;
+    0 turns a filter off."""
+    keep = F.lit(True)
+    if min_salary > 0:
+        keep = keep & ((F.col("salary_dk") >= min_salary) | (F.col("salary_fd") >= min_salary))
+    if min_minutes > 0:
+        keep = keep & (F.col("actual_minutes") >= min_minutes)
+    return training.where(keep)
+
+
+def export_training(training: DataFrame, path: str, min_salary: int = 0, min_minutes: float = 0) -> None:
+    """AN-EXPORT rows: what ``export_filter`` keeps, as parquet by season."""
+    from courtline.functions.exprs import season_label
+    from courtline.operators.sinks import write_partitioned
+    kept = export_filter(training, min_salary, min_minutes).withColumn("season", season_label("target_date"))
+    write_partitioned(kept, path, ["season"], replace_all=True)
+
+
 def export_summary(training: DataFrame, min_salary: int = 0, min_minutes: float = 0,
                    target: str = "actual_dfs_points") -> DataFrame:
     """AN-EXPORT: apply the export thresholds (0 turns a filter off) and summarise: rows kept and

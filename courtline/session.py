@@ -6,11 +6,15 @@ values that are unset, so a spark-submit / cluster config always wins.
 
 from __future__ import annotations
 
-import os
+import atexit
+import logging
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings the plans rely on. ANSI stays on (errors instead of silent overflow); the session time
 # zone is UTC so that dates derived from timestamps agree with the DuckDB oracle.
 DEFAULTS = {
@@ -51,37 +55,71 @@ def get_session(master: str | None = None, app: str = "courtline", shuffle_parti
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process, so a machine-local folder is seen by all of them."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private scratch folder is created.
+    Only on a local master, when the session has none (local tests), a private scratch folder is made.
+    On a cluster a missing setting is an error: executors don't see the driver's local folders.
     """
     cp = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if cp:
         return cp.rstrip("/")
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="courtline-cp-")
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable: point the context at the shared checkpoint root."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Make ``DataFrame.checkpoint()`` usable: point the context at the shared checkpoint root, if it has one."""
+    if not is_local(spark) and not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        return None  # staging raises once it is needed
     root = checkpoint_root(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_scratch: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint root for staged tables (never a machine-local folder
-    when the cluster names one)."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, "courtline-staging", name) if "://" not in root else f"{root}/courtline-staging/{name}"
+    """A path under the shared checkpoint root for staged tables (never a machine-local folder on a
+    cluster). What is left under it when the driver's interpreter ends is removed."""
+    if not _scratch:
+        atexit.register(_sweep)
+    path = f"{checkpoint_root(spark)}/courtline-staging/{name}"
+    _scratch[path] = spark
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder through the cluster's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _scratch.pop(path, None)
+
+
+def _sweep() -> None:
+    for path, spark in list(_scratch.items()):
+        if spark.sparkContext._jsc is None:  # the session is stopped, its file system is gone
+            return
+        try:
+            remove_path(spark, path)
+        except Exception as e:  # noqa: BLE001 - a folder that can't be removed must not fail the exit
+            log.debug("staging folder %s stays: %s", path, e)
 
 
 def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage (``checkpoint()``: a
-    reliable checkpoint that survives executor loss; never ``localCheckpoint``). Works in any session:
-    the folder is the session's ``spark.checkpoint.dir`` or, only where that is unset, a scratch one."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Stage ``df`` as parquet in the shared folder and read it back: a lineage cut that survives executor
+    loss, is columnar and is pruned by each branch that reads it (never ``localCheckpoint``)."""
+    path = scratch_path(df.sparkSession, f"cut-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

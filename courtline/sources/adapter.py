@@ -12,7 +12,6 @@ Scale notes: every frame is a lazy plan. ``player_game_logs`` aggregates lineite
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -25,9 +24,10 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table (a parquet file or a directory of parquet files)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    if not os.path.exists(path) and os.path.isdir(os.path.join(sf_dir, name)):
-        path = os.path.join(sf_dir, name)
+    from courtline.sources.files import path_exists
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if not path_exists(spark, path) and path_exists(spark, f"{sf_dir.rstrip('/')}/{name}"):
+        path = f"{sf_dir.rstrip('/')}/{name}"
     return spark.read.parquet(path)
 
 

@@ -4,16 +4,13 @@ date helpers, snapshot selection and dataset summaries."""
 from __future__ import annotations
 
 import datetime as dt
-import logging
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-log = logging.getLogger(__name__)
-
 # ---------------------------------------------------------------------------------------------
 # parquet
 
@@ -27,11 +24,6 @@ def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -
     return r.parquet(path)
 
 
-def preview(df: DataFrame, n: int = 5):
-    """Shape and head of a dataset (count is one job; head reads only what it needs)."""
-    return (df.count(), len(df.columns)), df.limit(n)
-
-
 # ---------------------------------------------------------------------------------------------
 # CSV folders
 
@@ -57,38 +49,34 @@ def list_files(spark: SparkSession, directory: str, suffix: str = "") -> list[st
                   if s.isFile() and s.getPath().getName().endswith(suffix))
 
 
-def _first_line(spark: SparkSession, path: str) -> str:
-    fs, p, jvm = _hadoop_fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return (reader.readLine() or "").strip()
-    finally:
-        stream.close()
+def csv_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their header line, read by one Spark job: the first line of each file's first block."""
+    at = F.monotonically_increasing_id()
+    lines = (spark.read.text(list(files)).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("file"), "value", at.alias("at")))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():
+        groups.setdefault(r.line.strip(), []).append(r.file)
+    return groups
 
 
 def read_csv_dir(spark: SparkSession, directory: str | Sequence[str], exclude: Sequence[str] = ("all_",),
                  schema: T.StructType | None = None) -> DataFrame | None:
     """SRC-CSV: every CSV of a folder except consolidated outputs (names starting with an
     ``exclude`` prefix). Files are grouped by header; each group is one scan and the groups are
-    unioned by column name (missing columns NULL). An unreadable file is logged and skipped."""
-    groups: dict[str, list[str]] = {}
+    unioned by column name (missing columns NULL). With a ``schema`` all files have its columns and no
+    header is looked at. An empty file gives no rows."""
     dirs = [directory] if isinstance(directory, str) else list(directory)
-    for f in [f for d in dirs for f in list_files(spark, d, ".csv")]:
-        name = f.rsplit("/", 1)[-1]
-        if any(name.startswith(x) for x in exclude):
-            continue
-        try:
-            groups.setdefault(_first_line(spark, f), []).append(f)
-        except Exception as e:  # noqa: BLE001 - a bad file must not stop the run
-            log.warning("skipping %s: %s", f, e)
-    frames = []
-    for files in groups.values():
-        r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        frames.append(r.schema(schema).csv(files) if schema is not None else r.csv(files))
-    if not frames:
+    files = [f for d in dirs for f in list_files(spark, d, ".csv")
+             if not any(f.rsplit("/", 1)[-1].startswith(x) for x in exclude)]
+    if not files:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if schema is not None:
+        return r.schema(schema).csv(files)
+    frames = [r.csv(group) for group in csv_headers(spark, files).values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
 # ---------------------------------------------------------------------------------------------
@@ -133,12 +121,13 @@ def flatten_odds(docs: DataFrame) -> DataFrame:
                     *[F.col(f"book.odds.{f}").alias(f) for f in ODDS_FIELDS])
 
 
-def flatten_salaries(docs: DataFrame) -> DataFrame:
+def flatten_salaries(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """SRC-DFS: the per-platform arrays as one table tagged with ``platform`` plus a copy of
-    ``salary`` as ``dfs_salary``; a missing or empty array gives no rows."""
+    ``salary`` as ``dfs_salary``; a missing or empty array gives no rows. ``carry`` names columns of the
+    documents that each row keeps."""
     parts = []
     for key, platform in PLATFORM_ARRAYS:
-        p = docs.select(F.explode(F.col(f"body.{key}")).alias("r")).select("r.*")
+        p = docs.select(*carry, F.explode(F.col(f"body.{key}")).alias("r")).select(*carry, "r.*")
         parts.append(p.withColumns({"platform": F.lit(platform), "dfs_salary": F.col("salary")}))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -147,14 +136,8 @@ def flatten_salaries(docs: DataFrame) -> DataFrame:
 # dates
 
 
-def date_spine(spark: SparkSession, start, end, alias: str = "d") -> DataFrame:
-    """SRC-DATES: every day of [start, end] (a generator; one row per day)."""
-    return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(str(start))), F.to_date(F.lit(str(end))),
-                                                      F.expr("INTERVAL 1 DAY"))).alias(alias))
-
-
 def date_spine_between(df: DataFrame, lo: str, hi: str, alias: str = "d") -> DataFrame:
-    """Every day between the min of ``lo`` and the max of ``hi`` of a frame (bounds computed by Spark)."""
+    """SRC-DATES: every day between the min of ``lo`` and the max of ``hi`` of a frame (bounds computed by Spark)."""
     b = df.agg(F.min(lo).alias("_a"), F.max(hi).alias("_b"))
     return b.select(F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY"))).alias(alias))
 
@@ -182,12 +165,13 @@ def recent_range(days: int, as_of: dt.date, start: dt.date | None = None, end: d
 TIMESTAMP_SUFFIX = r"_20\d{6}_\d{6}"
 LOGICAL_NAME_RULES = (
     (r"^player_logs_(\d{8})_game_\d{8}_(.+)\.parquet$", "player_logs_$1_$2.parquet"),
+    (r"^player_logs_(\d{8})_game_(?:.*_)?([^_]+)\.parquet$", "player_logs_$1_$2.parquet"),
     (r"^(teams|players)_.*current.*\.parquet$", "$1_current.parquet"),
 )
 
 
 def logical_name(name_col) -> "F.Column":
-    """SC-REGEX: strip the collection timestamp, then normalise per data type."""
+    """SC-REGEX: strip the collection timestamp (of any year from 2000 on), then normalise per data type."""
     c = F.regexp_replace(name_col, TIMESTAMP_SUFFIX, "")
     for pattern, repl in LOGICAL_NAME_RULES:
         c = F.when(c.rlike(pattern), F.regexp_replace(c, pattern, repl)).otherwise(c)
@@ -195,17 +179,19 @@ def logical_name(name_col) -> "F.Column":
 
 
 def newest_per_key(df: DataFrame, key_col: str = "_file_key") -> DataFrame:
-    """SNK-NEWEST re-aimed: rows of a file-backed frame restricted to the newest file (by modification
-    time, then name) of every logical name. Works on the distinct file list, then a semi join."""
+    """SNK-NEWEST re-aimed: rows of a file-backed frame restricted to the newest snapshot of every logical name.
+    A snapshot is a folder of part files or a file of its own; its time is that of its last written file, ties go
+    by path. All files of the snapshot stay. Works on the distinct file list, then a semi join."""
     with_meta = df.select("*", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_name").alias("_fn"),
                           F.col("_metadata.file_modification_time").alias("_fm"))
-    dirs = F.regexp_extract("_fp", r"([^/]+)/[^/]+$", 1)
-    files = (with_meta.select("_fp", "_fn", "_fm", dirs.alias("_dir")).distinct()
-             .withColumn(key_col, logical_name(F.when(F.col("_fn").startswith("part-"), F.col("_dir"))
-                                               .otherwise(F.col("_fn")))))
-    w = Window.partitionBy(key_col).orderBy(F.col("_fm").desc(), F.col("_fp").desc())
-    newest = files.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("_fp", key_col)
-    return with_meta.join(newest, "_fp", "left_semi").drop("_fp", "_fn", "_fm")
+    is_part = F.col("_fn").startswith("part-")
+    files = with_meta.select("_fp", "_fn", "_fm").distinct().select(
+        "_fp", "_fm", F.when(is_part, F.regexp_replace("_fp", r"/[^/]+$", "")).otherwise(F.col("_fp")).alias("_snapshot"))
+    files = files.withColumn(key_col, logical_name(F.regexp_extract("_snapshot", r"([^/]+)$", 1)))
+    times = files.groupBy(key_col, "_snapshot").agg(F.max("_fm").alias("_fm"))
+    newest = times.groupBy(key_col).agg(F.max_by("_snapshot", F.struct("_fm", "_snapshot")).alias("_snapshot"))
+    keep = files.join(newest.select("_snapshot"), "_snapshot", "left_semi").select("_fp")
+    return with_meta.join(keep, "_fp", "left_semi").drop("_fp", "_fn", "_fm")
 
 
 def dataset_summary(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:

@@ -59,7 +59,7 @@ def test_asof_join_matches_brute_force(spark, strict):
     L = spark.createDataFrame(left, "lid long, k long, t date")
     R = spark.createDataFrame(right, "k long, rt date, ro long, v string")
     got = asof_join(L, R, ["k"], "t", "rt", ["v"], right_order=["ro"], strict=strict,
-                    bucket=lambda c: F.year(c))
+                    granularity="year")
     res = {r.lid: r.v for r in got.collect()}
     assert res == _brute_asof(left, right, strict)
 
@@ -77,3 +77,14 @@ def test_explode_intervals(spark):
     out = explode_intervals(df, F.col("lo"), F.col("hi"), "2024-01-02", "2024-01-11").select("target_date").collect()
     days = sorted(r.target_date.day for r in out)
     assert days == [2, 3, 4, 10, 11]
+
+
+def test_asof_join_across_new_year(spark):
+    """Weeks of the year are not in order of time around New Year; buckets must be."""
+    import datetime as dt
+    days = [dt.datetime(2020, 12, 20) + dt.timedelta(days=i, hours=i % 5) for i in range(0, 40, 2)]
+    df = spark.createDataFrame([(1, d, i) for i, d in enumerate(days)], "k long, t timestamp, v long")
+    right = df.select("k", F.col("t").alias("rt"), F.col("v").alias("prev"))
+    for granularity in (None, "week", "month", "year", "season"):
+        got = {r.v: r.prev for r in asof_join(df, right, ["k"], "t", "rt", ["prev"], strict=True, granularity=granularity).collect()}
+        assert got == {i: i - 1 if i else None for i in range(len(days))}

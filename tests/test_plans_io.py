@@ -39,7 +39,7 @@ def test_parquet_pushdown_and_pruning(spark, sf_dir, tmp_path):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
     _, _, logs = etl_domain(d)
     path = str(tmp_path / "logs")
-    EX.export_logs(logs, d.games, d.players, path)
+    EX.export_logs(logs, d.players, path)
     pruned = FS.read_parquet(spark, path).where((F.col("season") == "1996-97") & (F.col("month") == 3))
     pp = plan_text(pruned)
     assert "PartitionFilters" in pp and "season" in pp
@@ -87,13 +87,72 @@ def test_upsert_is_idempotent(spark):
     base = spark.createDataFrame([(1, 1, 2024, 10), (1, 2, 2024, 11), (2, 3, 2023, 5)], "p long, g long, y int, v int")
     path = scratch_path(spark, f"t-upsert-{uuid.uuid4().hex}")
     SK.write_partitioned(base, path, ["y"])
-    upd = spark.createDataFrame([(1, 2, 2024, 99), (3, 4, 2024, 7)], "p long, g long, y int, v int")
+    upd = spark.createDataFrame([(1, 2, 2024, 99, 2), (3, 4, 2024, 7, 1), (1, 2, 2024, 98, 1)], "p long, g long, y int, v int, _seq int")
     for _ in range(3):
-        SK.upsert_partitioned(spark, path, upd, ["p", "g"], ["y"])
+        SK.upsert_partitioned(spark, path, upd, ["p", "g"], ["y"], "_seq")
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("p", "g", "y", "v").collect())
     assert got == [(1, 1, 2024, 10), (1, 2, 2024, 99), (2, 3, 2023, 5), (3, 4, 2024, 7)]
 
 
+def test_upsert_moves_keys_and_ignores_the_sessions_overwrite_mode(spark):
+    base = spark.createDataFrame([(1, 2019, 10), (2, 2019, 11), (3, 2020, 5), (4, 2021, 6)], "p long, y int, v int")
+    path = scratch_path(spark, f"t-moved-{uuid.uuid4().hex}")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        SK.write_partitioned(base, path, ["y"])
+        upd = spark.createDataFrame([(1, 2020, 12, 1), (4, 2020, 7, 1)], "p long, y int, v int, _seq int")
+        SK.upsert_partitioned(spark, path, upd, ["p"], ["y"], "_seq")       # 2021 is left empty
+        got = sorted(tuple(r) for r in spark.read.parquet(path).select("p", "y", "v").collect())
+        assert got == [(1, 2020, 12), (2, 2019, 11), (3, 2020, 5), (4, 2020, 7)]
+        SK.write_partitioned(base.where("y = 2019"), path, ["y"], replace_all=True)
+        assert spark.read.parquet(path).count() == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_touched_partitions_prune_the_scan(spark):
+    path = scratch_path(spark, f"t-prune-{uuid.uuid4().hex}")
+    SK.write_partitioned(spark.range(20).withColumn("y", (F.col("id") % 5).cast("int")), path, ["y"])
+    some = spark.read.parquet(path).where(SK.partition_filter([{"y": 1}, {"y": 3}], ["y"]))
+    assert "y#" in plan_text(some).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from courtline import session
+    monkeypatch.setattr(session, "is_local", lambda s: False)
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Bare)
+    assert session.checkpoint_root(spark)
+
+
+def test_feature_store_saves_days_one_by_one(spark, tmp_path):
+    rows = [(1, dt.date(2019, 1, 5), 1.0), (1, dt.date(2019, 1, 6), 2.0), (2, dt.date(2019, 1, 6), 3.0)]
+    feats = spark.createDataFrame(rows, "player_id long, target_date date, x double")
+    path = str(tmp_path / "days")
+    for day in ("2019-01-06", "2019-01-05", "2019-01-06"):
+        EX.store_features(feats.where(F.col("target_date") == day), path)
+    got = sorted((r.player_id, r.target_date, r.x) for r in EX.read_features(spark, path).collect())
+    assert got == sorted(rows)
+    some = EX.read_features(spark, path, start="2019-01-01", end="2019-02-01")
+    assert "season" in plan_text(some).split("PartitionFilters")[1].split("PushedFilters")[0] and some.count() == 3
+
+
+def test_logical_names(spark):
+    names = ["player_logs_20211019_game_20211019_BKN@MIL.parquet", "player_logs_20211019_game_x_BKN@MIL.parquet",
+             "player_logs_20211019_game_401.parquet", "players_2024_current_20240101_000000.parquet", "injuries_20230405_to_20230430.parquet"]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select(FS.logical_name(F.col("n")).alias("x"))
+    assert [r.x for r in df.collect()] == ["player_logs_20211019_BKN@MIL.parquet"] * 2 + ["player_logs_20211019_401.parquet",
+                                           "players_current.parquet", "injuries_20230405_to_20230430.parquet"]
+
+
 def test_season_and_recent_ranges():
     assert FS.season_range(2024) == (dt.date(2023, 10, 1), dt.date(2024, 4, 30))
     assert FS.recent_range(7, dt.date(2024, 3, 10)) == (dt.date(2024, 3, 3), dt.date(2024, 3, 10))

@@ -1,26 +1,21 @@
-"""Every registered (non-IO) query plans without Python evaluation, Cartesian products or nested-loop
+"""Every query of the catalog (non-IO) plans without Python evaluation, Cartesian products or nested-loop
 joins, and every query has an oracle."""
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-import __spark_entry__ as E  # noqa: E402
+from courtline.plans.catalog import ORACLE, QUERIES
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
-NAMES = sorted(n for n in E.queries() if not n.startswith(("io_", "ss_")))
+NAMES = sorted(n for n in QUERIES if not n.startswith(("io_", "ss_")))
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_hygiene(spark, sf_dir, name):
-    df = E.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, (name, bad)

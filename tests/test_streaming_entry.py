@@ -16,8 +16,8 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, sf_dir):
     logs.where("year < 1997").write.parquet(f"{root}/landing")
     logs.where("year >= 1996").write.mode("append").parquet(f"{root}/landing")   # overlap = replayed rows
     src = SS.stream_landing(spark, f"{root}/landing", logs.schema, max_files_per_trigger=2)
-    scored = SS.stream_score(src)
-    sink = SS.upsert_sink(f"{root}/table", ["player_id", "game_id"], ["year"])
+    scored = SS.stream_score(src).withColumn("_seq", F.lit(1))
+    sink = SS.upsert_sink(f"{root}/table", ["player_id", "game_id"], ["year"], "_seq")
     SS.run_available_now(scored, sink, f"{root}/cp")
     SS.run_available_now(scored, sink, f"{root}/cp")  # restart: nothing new, nothing changes
     got = spark.read.parquet(f"{root}/table").select("player_id", "game_id", "dfs_points_dk", "dfs_points_fd")
