@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import attach, lower_ascii, staged
+from .common import attach, lower_ascii, ship, staged
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -145,6 +145,7 @@ def _digest(text_col: str):
 
 def _live(marks: DataFrame, takedown: DataFrame | None = None) -> DataFrame:
     """Index of the live digests (digest, keep_id, group_size) of marks (doc_id, digest)."""
+    ship(marks.sparkSession)
     folded = marks.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")).mapInArrow(_fold, FOLDED)
     if takedown is not None:
         folded = folded.unionByName(takedown.where("text_sha256 is not null").select(

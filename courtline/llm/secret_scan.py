@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import ship
+
 KINDS = ("assign", "access", "hex", "jwt", "der", "openssh")
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -168,6 +170,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     commas. Null texts are empty and have none. Null and repeated ids are carried. An empty table gives no row;
     other columns are ignored.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(_scan_rows, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string") \
         .withColumnRenamed("doc_id", id_col)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged
+from .common import ship, staged
 
 TRAIN_ROWS = 12_000        # labelled rows that are learned from at most, chosen by the hash of their id
 MAX_TERMS = 20_000         # candidates, and so the lexicon
@@ -168,6 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions
     """Lexicon, exception phrases and curve from at most ``rows`` labelled rows outside the held-out fold.
 
     The driver gets counts of at most MAX_TERMS terms and MAX_PHRASES phrases and three numbers a labelled row."""
+    ship(docs.sparkSession)
     chosen = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     chosen = staged(chosen, "train-labels")
@@ -241,6 +242,7 @@ def toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     scored by its text alone. An empty table gives no row; other columns are ignored. Without labelled rows of
     both kinds the lexicon is empty and every score is the same low one.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(_score_rows(model), "doc_id long, score double").select(
         F.col("doc_id").alias(id_col), held_out(F.col("doc_id")).alias("held_out"), "score",
@@ -253,4 +255,5 @@ def keep_clean(docs: DataFrame, model: dict, text_col: str = "text", threshold:
         matcher = Matcher(model["lexicon"], model["exceptions"])
         for batch in batches:
             yield batch.filter(pa.array([_score(model, matcher, t.as_py() or "") < threshold for t in batch.column(text_col)], pa.bool_()))
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import staged
+from .common import ship, staged
 
 WINDOW = 2048
 OPEN = 64                  # windows a task keeps open
@@ -209,6 +209,7 @@ def pack(docs: DataFrame, tokenizer_json: str, ranks: str | None = None, pattern
     them have no gap. An empty table gives no row; other columns are ignored. The tokenizer's files must be at the
     given paths on the executors.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     made = staged(rows.mapInArrow(_pack_rows(tokenizer_json, ranks, pattern, size), PIECE), "packed")
     out, level = made.where("not open"), 0
