@@ -27,7 +27,7 @@ TRAIN_ROWS = 12_000        # labelled rows that are learned from at most, chosen
 MAX_TERMS = 20_000         # candidates, and so the lexicon
 MAX_PHRASES = 2_000
 STEMS = range(4, 8)        # letters of a stem
-LEAST = 3                  # toxic documents that hold a term
+LEAST = 3                  # toxic documents, and different neighbours in them, of a term
 THRESHOLD = 0.3
 
 # Letters that look like Latin ones, and signs that stand for letters.
@@ -89,6 +89,20 @@ def _counted(count: Callable[[list[str], int, Counter], None]):
 COUNTS = "term string, toxic long, clean long"
 
 
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, word before it) of a batch's texts, each once. A term's support is at most its number of different
+    neighbours: copies of a document repeat its words with the same ones, and must not make them look telling."""
+    for batch in batches:
+        seen = set()
+        for text in batch.column("text"):
+            found = words(text.as_py())
+            for before, word in zip(["", *found], found):
+                seen.update((t, before) for t in terms([word]))
+        rows = sorted(seen)
+        for i in range(0, len(rows), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows[i:i + 20_000])], ["term", "before"])
+
+
 def _ratio(a: int, n: int, b: int, m: int) -> float:
     """Likelihood ratio (G squared) of the shares a of n and b of m."""
     def part(x: int, share: float) -> float:
@@ -180,8 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions
     if toxic and clean:
         def count_terms(found, label, into):
             into.update(terms(found))
-        held = known.where("toxic = 1").mapInArrow(_counted(count_terms), COUNTS).groupBy("term").agg(F.sum("toxic").alias("toxic")) \
-            .where(F.col("toxic") >= LEAST).orderBy(F.col("toxic").desc(), "term").limit(MAX_TERMS)
+        bad = known.where("toxic = 1")
+        near = bad.mapInArrow(_neighbours, "term string, before string").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("near"))
+        held = bad.mapInArrow(_counted(count_terms), COUNTS).groupBy("term").agg(F.sum("toxic").alias("toxic")).join(near, "term") \
+            .select("term", F.least("toxic", "near").alias("toxic")).where(F.col("toxic") >= LEAST).orderBy(F.col("toxic").desc(), "term").limit(MAX_TERMS)
         held = {r.term: r.toxic for r in held.collect()}
         candidates = frozenset(held)
 
