@@ -5,11 +5,12 @@ set, so half the hash evaluations fill a signature, and both values match with t
 Jaccard similarity. A band is made of the minima and maxima of two permutations; documents that share a
 band are candidates, and a link is confirmed on the full shingle sets.
 
-Documents with equal sets are one class from the start. Within a band's bucket the classes are compared
-with a centre, first the one that shares most buckets with others; a bucket is settled once its classes are
-in one component. What is left is compared with a growing number of further centres, each of which leaves
-the bucket after it has met all others, until every pair of classes that share a bucket is linked,
-connected through others or refuted. No bucket is expanded into its pairs unless all of them need a test.
+Documents with equal sets are one class from the start. Within a band's bucket all classes are compared
+with a centre, the one that shares most buckets with others, which links nearly all of a group of copies.
+A bucket is settled once its other classes are in one component. The classes of unsettled buckets form
+clusters; in each, those outside the cluster's largest component are held, a block at a time, against all
+others through an index of their shingles, which gives exact intersections without forming pairs as rows.
+So every pair of classes that share a band is linked, connected through others or refuted.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WORD, attach, row_hash, staged
+from .common import WORD, attach, row_hash, ship, staged
 from .graph import components
 from .rolling import mixed, shingle_set
 
 BANDS = 32                 # of 2 permutations, 4 values: a pair of similarity 0.8 is missed once in 10^7
-CENTRES = 8                # of a bucket in its second round; doubled each round
 GROUP_ROWS = 500           # members that are confirmed against one centre together
+BLOCK_ROWS = 1_000         # classes of a cluster that are indexed together
+PART_ROWS = 5_000          # classes that are held against such a block in one task
 _SEEDS = mixed(np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
 
 
@@ -94,49 +96,83 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
         .mapInArrow(_confirmed(words, percent), "a long, b long")
 
 
-def _links(todo: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) after confirming enough links to connect whatever is connected among the classes that share buckets.
-
-    ``todo``: bucket, node, n_shingles, popular (what the node's buckets hold together)."""
-    links = refuted = together = None
-    todo, centres = todo.withColumn("component", F.col("node")), 1
-    while True:
-        one = F.struct("node", "n_shingles")
-        if centres == 1:
-            pick = F.array(F.max_by(one, F.struct("popular", "node")))
-        else:
-            pick = F.collect_list(F.when(F.pmod(F.xxhash64("node", F.lit(centres)), F.col("n")) < centres, one))
-        chosen = staged(todo.groupBy("bucket").agg(pick.alias("chosen"), F.count(F.lit(1)).alias("n")), "centres")
-        met = staged(attach(todo.drop("n"), chosen, ["bucket"], "n"), "met")
-        pairs = met.withColumn("centre", F.explode("chosen"))
-        small, large = F.least("n_shingles", "centre.n_shingles"), F.greatest("n_shingles", "centre.n_shingles")
-        pairs = pairs.where((F.col("node") != F.col("centre.node")) & (100 * small >= percent * large)) \
-            .groupBy(F.least("node", "centre.node").alias("lo"), F.greatest("node", "centre.node").alias("hi")) \
-            .agg(F.max("centre.node").alias("c"))                   # each pair once, whichever is the centre
-        if together is not None:
-            for k in ("lo", "hi"):
-                pairs = pairs.join(together.select(F.col("node").alias(k), F.col("component").alias(f"{k}_in")), k, "left")
-            pairs = pairs.where(F.coalesce("lo_in", "lo") != F.coalesce("hi_in", "hi")).join(refuted, ["lo", "hi"], "left_anti")
-        pairs = staged(pairs.select("lo", "hi", "c", F.when(F.col("c") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("x")), "pairs")
-        true = staged(_confirm(pairs.select("c", "x"), texts, words, percent), "links")
-        links = true if links is None else links.unionByName(true)
-        refuted = pairs.select("lo", "hi") if refuted is None else refuted.unionByName(pairs.select("lo", "hi"))
-        together = staged(components(links), "components")
-        # a centre has met its whole bucket and leaves; a bucket in one component is settled
-        left = met.where(~F.exists("chosen", lambda c: c["node"] == F.col("node"))).drop("chosen", "n", "component") \
-            .join(together, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        left = staged(left, "left")
-        unsettled = staged(left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
-                           .where("lo <> hi").select("bucket", "n"), "unsettled")
-        if unsettled.isEmpty():
-            return together
-        todo = staged(attach(left, unsettled, ["bucket"], "n"), "todo")
-        centres = CENTRES if centres == 1 else 2 * centres
+def _block_links(words: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by (cluster, block, part): the block (``held``), then the classes it is held against."""
+        key, block, index = None, [], None
+        for batch in batches:
+            a, b = [], []
+            for *at, held, node, component, text in zip(*(batch.column(k).to_pylist() for k in (
+                    "cluster", "block", "part", "held", "node", "component", "body"))):
+                if at != key:
+                    key, block, index = at, [], None
+                own = shingle_set(text, words)
+                if held:
+                    block.append((node, component, own))
+                    continue
+                if not block:                           # the hash may leave a block empty
+                    continue
+                if index is None:
+                    tokens = np.concatenate([x[2] for x in block])
+                    order = np.argsort(tokens, kind="stable")
+                    owner = np.repeat(np.arange(len(block)), [len(x[2]) for x in block])[order]
+                    index = (tokens[order], owner, np.array([len(x[2]) for x in block]), np.array([x[1] for x in block]), [x[0] for x in block])
+                tokens, owner, sizes, components_, nodes = index
+                first, last = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+                runs = last - first
+                found = np.repeat(first - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
+                both = np.bincount(owner[found], minlength=len(nodes))
+                near = (100 * both >= percent * (sizes + len(own) - both)) & (components_ != component)
+                for i in np.flatnonzero(near):
+                    a.append(nodes[i])
+                    b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def _links(spots: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) after confirming enough links to connect whatever is connected among the classes that share
+    buckets. ``spots``: bucket, node, n_shingles, popular (what the node's buckets hold together)."""
+    centre = F.max_by(F.struct("node", "n_shingles"), F.struct("popular", "node"))
+    chosen = staged(spots.groupBy("bucket").agg(centre.alias("centre"), F.count(F.lit(1)).alias("n")), "centres")
+    met = staged(attach(spots, chosen, ["bucket"], "n").where(F.col("node") != F.col("centre.node")), "met")
+    small, large = F.least("n_shingles", "centre.n_shingles"), F.greatest("n_shingles", "centre.n_shingles")
+    pairs = met.where(100 * small >= percent * large) \
+        .groupBy(F.least("node", "centre.node").alias("lo"), F.greatest("node", "centre.node").alias("hi")) \
+        .agg(F.max("centre.node").alias("c"))                       # each pair once, whichever is the centre
+    pairs = pairs.select("c", F.when(F.col("c") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("x"))
+    links = staged(_confirm(staged(pairs, "pairs"), texts, words, percent), "links")
+    together = staged(components(links), "components")
+    # the centre has met its whole bucket; the rest is settled if it is in one component
+    rest = met.select("bucket", "node").join(together, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest = staged(rest, "rest")
+    open_ = staged(rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("first"),
+                                              F.count(F.lit(1)).alias("n")).where("lo <> hi").select("bucket", "first", "n"), "unsettled")
+    if open_.isEmpty():
+        return together
+    rest = staged(attach(rest, open_, ["bucket"], "n").select("node", "component", "first").distinct(), "open")
+    clusters = components(rest.select(F.col("node").alias("a"), F.col("first").alias("b"))).withColumnRenamed("component", "cluster")
+    nodes = staged(rest.select("node", "component").distinct().join(clusters, "node"), "clusters")
+    groups = nodes.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k"))
+    sizes = staged(groups.groupBy("cluster").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.sum("k").alias("n"),
+                                                 (F.sum("k") - F.max("k")).alias("out")), "cluster-sizes")
+    zero = F.lit(0).cast("long")
+    nodes = attach(nodes, sizes, ["cluster"], "n") \
+        .withColumns({"blocks": F.ceil(F.col("out") / BLOCK_ROWS), "parts": F.ceil(F.col("n") / PART_ROWS)})
+    every = nodes.select("cluster", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"),
+                         F.pmod(F.xxhash64("node"), "parts").alias("part"), F.lit(False).alias("held"), "node", "component")
+    held = nodes.where("component <> largest").select(
+        "cluster", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").alias("block"),
+        F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(True).alias("held"), "node", "component")
+    more = every.unionByName(held).join(texts, "node").repartition("cluster", "block", "part") \
+        .sortWithinPartitions("cluster", "block", "part", F.col("held").desc()).mapInArrow(_block_links(words, percent), "a long, b long")
+    return staged(components(links.unionByName(staged(more, "more-links"))), "components")
 
 
 def _components(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches of the rows (doc_id, row, n_shingles, node: class of equal sets), classes (node, first_id, copies,
     component: a node) and components (component, component_id, n: classes)."""
+    ship(docs.sparkSession)
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body"), row_hash(id_col, text_col).alias("row"))
     sketch = staged(base.mapInArrow(_sketch_rows(words), "doc_id long, row long, n_shingles long, node long, bands array<long>"), "sketch")

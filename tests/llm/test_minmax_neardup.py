@@ -104,3 +104,21 @@ def test_components_of_chains_and_stars(spark):
     got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = roots(1000, edges)
     assert got == {i: want[i] for e in edges if e[0] != e[1] for i in e}
+
+
+def test_clusters_in_blocks_and_parts(spark, monkeypatch):
+    """Groups whose members are far from the centre, held block by block."""
+    monkeypatch.setattr(M, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(M, "PART_ROWS", 11)
+    monkeypatch.setattr(M, "GROUP_ROWS", 3)
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.choice([2, 6, 9, 12, 15])):
+            w[r.randrange(len(w))] = f"x{r.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    want = brute(rows, 2)
+    assert len({x[2] for x in want}) > 5
+    assert run(spark, rows, 2) == want
