@@ -134,18 +134,20 @@ def explode_intervals(df: DataFrame, lo_exclusive: Column, hi_inclusive: Column,
 
 
 def positions_from_end(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-                       alias: str = "pos_from_end") -> DataFrame:
+                       alias: str = "pos_from_end", also: tuple[str, Column] | None = None) -> DataFrame:
     """Number of rows of the same key that come after each row in ``order`` (0 = newest), without a
     window over a whole key: rows after inside the row's chunk (a per-(key, chunk) window) plus the
-    rows of all later chunks (a suffix sum over the small per-chunk count table)."""
-    base = df.withColumn("_src", chunk)
-    ws = Window.partitionBy(*keys, "_src").orderBy(*[F.col(c).desc() for c in order])
-    base = base.withColumn("_after", F.row_number().over(ws) - 1)
-    counts = base.groupBy(*keys, "_src").agg(F.count(F.lit(1)).alias("_n"))
+    rows of all later chunks (a suffix sum over the small per-chunk count table). ``also`` (a name and a
+    condition) counts, in the same pass, only the later rows that meet the condition."""
+    counted = {alias: F.lit(1)} | ({also[0]: F.when(also[1], 1).otherwise(0)} if also else {})
+    ws = Window.partitionBy(*keys, "_src").orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     wk = Window.partitionBy(*keys).orderBy(F.col("_src").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_later", F.coalesce(F.sum("_n").over(wk), F.lit(0))).drop("_n")
-    return (base.join(counts, [*keys, "_src"])
-            .withColumn(alias, F.col("_after") + F.col("_later")).drop("_after", "_later", "_src"))
+    base = df.withColumn("_src", chunk).withColumns({f"_one_{n}": c for n, c in counted.items()})
+    counts = base.groupBy(*keys, "_src").agg(*[F.sum(f"_one_{n}").alias(f"_n_{n}") for n in counted])
+    counts = counts.select(*keys, "_src", *[F.coalesce(F.sum(f"_n_{n}").over(wk), F.lit(0)).alias(f"_later_{n}") for n in counted])
+    base = base.withColumns({f"_after_{n}": F.coalesce(F.sum(f"_one_{n}").over(ws), F.lit(0)) for n in counted})
+    out = base.join(counts, [*keys, "_src"]).withColumns({n: F.col(f"_after_{n}") + F.col(f"_later_{n}") for n in counted})
+    return out.drop("_src", *[f"_{k}_{n}" for k in ("one", "after", "later") for n in counted])
 
 
 def lag_across_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, col: str,

@@ -104,7 +104,9 @@ def moving_averages_with_decay(logs: DataFrame, alpha: float = 0.2, key: str = "
     stats = (stats.where(F.col("n_fp") >= 5).withColumn("cv", cv)
              .withColumn("ws", F.when(F.col("cv") < 0.25, F.least(F.lit(15), F.col("n_logs")))
                          .otherwise(F.least(F.lit(25), F.col("n_logs")))))
-    pos = positions_from_end(base, [key], ["game_date", "game_id"], season_chunk("game_date"), alias="pos")
+    # one pass gives both positions, among all logs and among those with a score; what any window can need is staged
+    pos = positions_from_end(base, [key], ["game_date", "game_id"], season_chunk("game_date"), alias="pos", also=("cpos", fp.isNotNull()))
+    pos = cut_lineage(pos.where((F.col("pos") < 25) | (fp.isNotNull() & (F.col("cpos") < 6))))
     recent = pos.join(stats.select(key, "ws"), key).where(F.col("pos") < F.col("ws"))
     arr = (recent.groupBy(key)
            .agg(F.sort_array(F.collect_list(F.struct("pos", *cols))).alias("w")))
@@ -131,9 +133,7 @@ def moving_averages_with_decay(logs: DataFrame, alpha: float = 0.2, key: str = "
         out[f"{mname}_recent"] = F.when(w_n >= 3, expr)
     g = arr.select(key, *[v.alias(k) for k, v in out.items()])
     # momentum: newest six non-NULL scores over all logs
-    nn = positions_from_end(base.where(fp.isNotNull()).select(key, "game_date", "game_id", "dfs_points_dk"),
-                            [key], ["game_date", "game_id"], season_chunk("game_date"), alias="cpos")
-    mom = (nn.where(F.col("cpos") < 6).groupBy(key)
+    mom = (pos.where(fp.isNotNull() & (F.col("cpos") < 6)).groupBy(key)
            .agg(F.avg(F.when(F.col("cpos") < 3, fp)).alias("r3"), F.avg(F.when(F.col("cpos") >= 3, fp)).alias("p3"),
                 F.count(F.lit(1)).alias("n6")))
     res = (stats.join(g, key).join(mom, key, "left")
