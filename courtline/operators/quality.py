@@ -63,24 +63,21 @@ def fk_report(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None
     return df.where(F.col(key).isNotNull()).join(pk, key, "left_anti")
 
 
-REQUIRED_LOG_COLUMNS = ("player_id", "game_id", "game_date", "points")
+REQUIRED_LOG_COLUMNS = ("player_id", "game_id", "game_date", "points", "dfs_points_dk")
 LOG_KEY_COLUMNS = ("player_id", "game_id", "game_date")
+EXPORTED_LOG_TYPES = {"player_id": "bigint", "points": "smallint"}
 
 
 def validate_logs(df: DataFrame, required: Sequence[str] = REQUIRED_LOG_COLUMNS,
-                  key_cols: Sequence[str] = LOG_KEY_COLUMNS) -> DataFrame:
+                  key_cols: Sequence[str] = LOG_KEY_COLUMNS, types: Mapping[str, str] = EXPORTED_LOG_TYPES) -> DataFrame:
     """QUAL-EXPORT: report (check, severity, n_bad) for an exported log table: non-empty and required
-    columns (errors), NULLs in key columns (warnings). One scan."""
-    missing = [c for c in required if c not in df.columns]
-    present_keys = [c for c in key_cols if c in df.columns]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in present_keys])
-    checks = [F.struct(F.lit("non_empty").alias("check"), F.lit("error").alias("severity"),
-                       F.when(F.col("_rows") == 0, 1).otherwise(0).cast("long").alias("n_bad"))]
-    for c in required:
-        checks.append(F.struct(F.lit(f"required_column:{c}").alias("check"), F.lit("error").alias("severity"),
-                               F.lit(1 if c in missing else 0).cast("long").alias("n_bad")))
-    for c in present_keys:
-        checks.append(F.struct(F.lit(f"nulls:{c}").alias("check"), F.lit("warning").alias("severity"),
-                               F.col(f"null_{c}").cast("long").alias("n_bad")))
-    return row.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+    columns (errors), columns that are not in their storage type and NULLs in key columns (warnings). One scan."""
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    keys = [c for c in key_cols if c in found]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in keys])
+    checks = [("non_empty", "error", F.when(F.col("_rows") == 0, 1).otherwise(0))]
+    checks += [(f"required_column:{c}", "error", F.lit(int(c not in found))) for c in required]
+    checks += [(f"type:{c}", "warning", F.lit(int(found[c] != t))) for c, t in types.items() if c in found]
+    checks += [(f"nulls:{c}", "warning", F.col(f"null_{c}")) for c in keys]
+    report = [F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"), n.cast("long").alias("n_bad")) for name, severity, n in checks]
+    return row.select(F.explode(F.array(*report)).alias("c")).select("c.*")

@@ -241,18 +241,24 @@ def q_qual_nulls(spark, sf_dir):
     return Q.null_counts(logs, _ETL_OUT)
 
 
-@register("qual_validate_export", with_ctes("""
-SELECT 'non_empty' AS "check", 'error' AS severity, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_bad FROM logs_etl
-UNION ALL SELECT 'required_column:player_id', 'error', CAST(0 AS BIGINT)
-UNION ALL SELECT 'required_column:game_id', 'error', CAST(0 AS BIGINT)
-UNION ALL SELECT 'required_column:game_date', 'error', CAST(0 AS BIGINT)
-UNION ALL SELECT 'required_column:points', 'error', CAST(0 AS BIGINT)
-UNION ALL SELECT 'nulls:player_id', 'warning', CAST(count(*) FILTER (WHERE player_id IS NULL) AS BIGINT) FROM logs_etl
-UNION ALL SELECT 'nulls:game_id', 'warning', CAST(count(*) FILTER (WHERE game_id IS NULL) AS BIGINT) FROM logs_etl
-UNION ALL SELECT 'nulls:game_date', 'warning', CAST(count(*) FILTER (WHERE game_date IS NULL) AS BIGINT) FROM logs_etl"""))
+def _validation_sql(source: str, wrong_type: int) -> str:
+    rows = [f"SELECT 'non_empty' AS \"check\", 'error' AS severity, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_bad FROM {source}"]
+    rows += [f"SELECT 'required_column:{c}', 'error', CAST({int(c == 'dfs_points_dk')} AS BIGINT)" for c in Q.REQUIRED_LOG_COLUMNS]
+    rows += [f"SELECT 'type:{c}', 'warning', CAST({wrong_type if c == 'points' else 0} AS BIGINT)" for c in Q.EXPORTED_LOG_TYPES]
+    rows += [f"SELECT 'nulls:{c}', 'warning', CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) FROM {source}" for c in Q.LOG_KEY_COLUMNS]
+    return "\nUNION ALL ".join(rows)
+
+
+@register("qual_validate_export", with_ctes(_validation_sql("dirty", 1), extra="""
+dirty AS (SELECT CASE WHEN game_id % 11 <> 0 THEN player_id END AS player_id, game_id,
+                 CASE WHEN game_id % 7 <> 0 THEN game_date END AS game_date, points FROM logs_etl)"""))
 def q_qual_validate(spark, sf_dir):
+    """Logs with missing ids and dates, without scores and with points that are not in their storage type."""
     _, _, logs = etl_domain(Domain(spark, sf_dir))
-    return Q.validate_logs(logs)
+    k = F.col("game_id")
+    dirty = logs.select(F.when(k % 11 != 0, F.col("player_id")).alias("player_id"), "game_id",
+                        F.when(k % 7 != 0, F.col("game_date")).alias("game_date"), "points")
+    return Q.validate_logs(dirty)
 
 
 # ---------------------------------------------------------------------------------------------
