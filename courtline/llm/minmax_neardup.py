@@ -221,3 +221,22 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     blank = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
     kept = docs.where(~blank).withColumn("__row", row_hash(id_col, text_col)).join(keepers, F.col("__row") == F.col("__keeper"), "left_semi")
     return kept.dropDuplicates(["__row"]).drop("__row").unionByName(docs.where(blank))
+
+
+#: The same in DuckDB, for ``words=2`` and ``percent=80``.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) < 2 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links
+    UNION SELECT r.u, CASE WHEN l.a = r.v THEN l.b ELSE l.a END FROM reach r JOIN links l ON l.a = r.v OR l.b = r.v),
+low AS (SELECT u, min(v) AS v FROM reach GROUP BY u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(v, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(v, doc_id)) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.u = doc_id
+"""

@@ -59,4 +59,4 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_shard": op1_shard, "op2_extract": op2_extract, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
            "op6_pack": op6_pack, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets,
            "op9_suffix_dedup": op9_suffix_dedup, "op10_imatch": op10_imatch}
-ORACLE = {"op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
+ORACLE = {"op3_near_dedup": minmax_neardup.ORACLE, "op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
