@@ -22,12 +22,12 @@ NULL stats count as 0 in means; a feature is NULL where the reference leaves the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.session import cut_lineage
 
-from courtline.functions.exprs import (array_mean, array_slope, array_std_pop, coalesce0, safe_div,
+from courtline.functions.exprs import (array_mean, array_slope, coalesce0, safe_div,
                                        season_start, truthy)
 from courtline.operators.frames import asof_join, chunk_with_halo, explode_intervals, season_chunk
 
