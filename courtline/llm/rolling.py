@@ -35,10 +35,9 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each k-gram of ``data`` (bytes)."""
-    sums = prefix_sums(data)
-    return mixed((sums[k:] - sums[:-k]) * tables(len(data))[1][:len(data) - k + 1])
+def span_hashes(sums: np.ndarray, first, end) -> np.ndarray:
+    """Hash of the bytes from ``first`` to ``end`` (arrays or slices of one length)."""
+    return mixed((sums[end] - sums[first]) * tables(len(sums) - 1)[1][first])
 
 
 _SPACE = np.zeros(256, bool)
@@ -55,7 +54,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     edges = np.flatnonzero(np.diff(inner))
     first, end = edges[::2], edges[1::2]
     sums = prefix_sums(data)
-    return mixed((sums[end] - sums[first]) * tables(len(data))[1][first] + (end - first).astype(np.uint64))
+    return mixed(span_hashes(sums, first, end) + (end - first).astype(np.uint64))
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:

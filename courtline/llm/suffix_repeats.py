@@ -4,7 +4,8 @@ Every string of ``min_len`` bytes owns one anchor, the k-gram with the smallest
 strings have their anchors at the same place. Suffixes are sorted only at anchors, and only within the
 group of equal anchors, which Spark shuffles together:
 
-1. anchors of each distinct text, with the run of strings that own them; anchors that occur once are out;
+1. anchors of each distinct text, with the run of strings that own them; of equal runs in one batch of a task
+   one goes on, as all are known to repeat; anchors that occur once are out;
 2. the context of each remaining anchor (the bytes of its run) is sent to the group of its k-gram;
 3. in a group the right contexts are sorted (suffix array) with their common-prefix lengths; a stack scan
    yields the intervals of the prefix tree; inside an interval the left contexts are sorted and scanned the
@@ -26,8 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import attach, staged
-from .rolling import gram_hashes
+from .common import attach, ship, staged
+from .rolling import prefix_sums, span_hashes
 
 MIN_LEN = 200
 GRAM = 48
@@ -38,13 +39,14 @@ _POS = np.uint64((1 << 24) - 1)
 
 
 def anchors(data: np.ndarray, min_len: int = MIN_LEN, k: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(k-gram hash, position, first and last string start) of each anchor; each string of ``min_len`` bytes
+    """(k-gram hash, position, first and last string start, hash of the run) of each anchor; each string of ``min_len`` bytes
     lies in the run of exactly one anchor: the smallest hash in it, the leftmost of equals."""
     width, strings = min_len - k + 1, len(data) - min_len + 1
     out = []
     for start in range(0, strings, SEGMENT):
         part = data[start:start + SEGMENT + min_len - 1]
-        grams = gram_hashes(part, k)
+        sums = prefix_sums(part)
+        grams = span_hashes(sums, slice(len(part) - k + 1), slice(k, None))
         n = len(part) - min_len + 1
         keys = np.full(-(-len(grams) // width) * width, np.iinfo(np.uint64).max, np.uint64)
         keys[:len(grams)] = (grams & ~_POS) | np.arange(len(grams), dtype=np.uint64)
@@ -54,7 +56,8 @@ def anchors(data: np.ndarray, min_len: int = MIN_LEN, k: int = GRAM) -> tuple[np
         place = (np.minimum(behind[:n], ahead[width - 1:width - 1 + n]) & _POS).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1))
         last = np.append(first[1:], n) - 1
-        out.append((grams[place[first]].view(np.int64), place[first] + start, first + start, last + start))
+        out.append((grams[place[first]].view(np.int64), place[first] + start, first + start, last + start,
+                    span_hashes(sums, first, last + min_len)))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -99,7 +102,10 @@ def repeat_groups(left: Sequence[bytes], right: Sequence[bytes], min_len: int) -
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of the texts of a partition; a text that was there before in the partition adds nothing."""
+    """Anchors of the texts of a partition; a text that was there before in the partition adds nothing.
+
+    Of a batch's anchors with equal runs only the first goes on (``alone`` false, ``sent`` true); what the others
+    cover is known already (``alone`` and ``sent`` false). So a passage that many documents share sends a few rows."""
     seen = set()
     for batch in batches:
         rows = []
@@ -107,13 +113,21 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (d1, d2) in seen:
                 continue
             seen.add((d1, d2))
-            grams, place, first, last = anchors(np.frombuffer(text.as_buffer(), np.uint8))
-            rows.append((np.full(len(grams), d1), np.full(len(grams), d2, np.int32), grams, place, first, last))
-        if rows:
-            d1, d2, grams, place, first, last = (np.concatenate(c) for c in zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams), pa.array(d1), pa.array(d2), pa.array(place), pa.array((place - first).astype(np.int16)),
-                 pa.array((last - place + MIN_LEN).astype(np.int16))], ["gram", "d1", "d2", "place", "back", "ahead"])
+            grams, place, first, last, run = anchors(np.frombuffer(text.as_buffer(), np.uint8))
+            rows.append((np.full(len(grams), d1), np.full(len(grams), d2, np.int32), grams, place, first, last, run))
+        if not rows:
+            continue
+        d1, d2, grams, place, first, last, run = (np.concatenate(c) for c in zip(*rows))
+        back, ahead = (place - first).astype(np.int16), (last - place + MIN_LEN).astype(np.int16)
+        order = np.lexsort((ahead, back, run, grams))
+        same = np.ones(len(order), bool)
+        for c in (grams, run, back, ahead):
+            same[1:] &= c[order[1:]] == c[order[:-1]]
+        same[:1] = False
+        sent, alone = np.empty(len(order), bool), np.empty(len(order), bool)
+        sent[order], alone[order] = ~same, ~same & ~np.append(same[1:], False)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (grams, d1, d2, place, back, ahead, sent, alone)],
+                                         ["gram", "d1", "d2", "place", "back", "ahead", "sent", "alone"])
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +223,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     a whole, in any rows, is cut whole if it has 200 bytes. Ids are only carried, so null and repeated ids are
     fine. An empty table gives no row; other columns are ignored.
     """
+    ship(docs.sparkSession)
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("rid"),
                        body.alias("body"), F.xxhash64(body).alias("d1"), F.hash(F.lit(7), body).alias("d2"))
@@ -217,7 +232,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = staged(marks.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.min("rid").alias("rid")), "repeat-copies")
     texts = base.where(F.octet_length("body") >= MIN_LEN).select("rid", "d1", "d2", "body")
     texts = texts.where("rid is not null and d1 is not null and d2 is not null")
-    found = staged(texts.mapInArrow(_anchor_rows, "gram long, d1 long, d2 int, place long, back short, ahead short"), "anchors")
+    found = staged(texts.mapInArrow(_anchor_rows, "gram long, d1 long, d2 int, place long, back short, ahead short, sent boolean, alone boolean"), "anchors")
+    known = found.where("not alone").select("d1", "d2", (F.col("place") - F.col("back")).alias("start"), (F.col("place") + F.col("ahead")).alias("stop"))
+    found = found.where("sent").drop("sent", "alone")
     share = max(0.01, min(1.0, SAMPLE_ROWS / max(1, found.count())))
     frequent = found.sample(share, seed=1).groupBy("gram").count().where(F.col("count") >= max(8, hot_rows * share)).select("gram")
     frequent = staged(frequent, "frequent-grams")       # at most 1 row for each max(8 / share, hot_rows) anchors
@@ -244,6 +261,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select("d1", "d2", "start", (F.col("start") + MIN_LEN).alias("stop"))
     spans = around.where("not hot").drop("hot").repartition("gram").sortWithinPartitions("gram") \
         .mapInArrow(_cover_rows, "d1 long, d2 int, start long, stop long")
+    spans = spans.unionByName(known)
     if hot_spans is not None:
         spans = spans.unionByName(hot_spans)
     cut = spans.groupBy("d1", "d2").agg(F.collect_list(F.struct("start", "stop")).alias("spans")) \
