@@ -32,7 +32,7 @@ from .rolling import prefix_sums, span_hashes
 
 MIN_LEN = 200
 GRAM = 48
-HOT_ROWS = 5_000            # occurrences of a k-gram beyond which its strings are compared by hash
+HOT_ROWS = 20_000           # occurrences of a k-gram (7 MB of contexts, 10 s of work) beyond which its strings are compared by hash
 SEGMENT = 1 << 20           # bytes of a long text that are scanned at a time
 SAMPLE_ROWS = 2_000_000     # anchors (at least 1 in 100) from which frequent k-grams are estimated
 _POS = np.uint64((1 << 24) - 1)
