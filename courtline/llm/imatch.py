@@ -20,16 +20,22 @@ LEAST_SHARE, MOST_SHARE = 0.001, 0.15       # of documents that hold a term: the
 LEVELS = ((16, 16), (64, 16), (256, 16), (1024, 32))    # (random parts of the lexicon, parts that are used)
 WHOLE = 127                                 # slot of a text without a term in the band: all its terms
 _LOW24 = (1 << 24) - 1
+_SIDES = 3                                  # the two low bits of a term's hash are left to the side it is on
+
+
+def _hash(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(~_SIDES))
 
 
 def words(text: Column) -> Column:
-    """Distinct lower-cased words."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[\x20\x09-\x0D]+")), "")
+    """Hashes of the distinct lower-cased words."""
+    found = F.transform(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), _hash)
+    return F.array_except(found, F.array(_hash(F.lit(""))))
 
 
 def lexicon(docs: DataFrame, text_col: str, total: int) -> DataFrame:
     """Hashes of the terms in the band. Counts are over all documents."""
-    terms = docs.select(F.explode(words(F.col(text_col))).alias("w")).select(F.xxhash64("w").alias("term"))
+    terms = docs.select(F.explode(words(F.col(text_col))).alias("term"))
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")) \
         .where((F.col("df") >= LEAST_SHARE * total) & (F.col("df") <= F.greatest(F.lit(1.0), F.lit(MOST_SHARE * total)))).select("term")
 
@@ -112,12 +118,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = "struct<doc_id:bigint,n_chars:bigint,copies:bigint,next_row:bigint,sha:string,whole_a:int,whole_b:int>"
 
     def tagged(terms: Column, side: int) -> Column:
-        return F.transform(terms, lambda w: F.struct(F.xxhash64(w).alias("term"), F.lit(side).alias("side")))
-
-    found = F.concat(tagged(F.array_except("a", "b"), 1), tagged(F.array_except("b", "a"), 2), tagged(F.array_intersect("a", "b"), 3))
-    # the first element stands for the document itself, so one without a term in the band stays
-    rows = both.select("row", info.cast(kind).alias("info"), F.concat(F.array(F.struct(F.lit(0).cast("long").alias("term"), F.lit(0).alias("side"))), found).alias("found")) \
-        .select("row", "info", F.explode("found").alias("f")).select("row", F.when(F.col("f.side") == 0, F.col("info")).alias("info"), "f.term", "f.side")
+        return F.transform(terms, lambda w: w.bitwiseOR(F.lit(side).cast("long")))
+
+    # the first element, on no side, stands for the document itself, so one without a term in the band stays
+    found = F.concat(F.array(F.lit(0).cast("long")), tagged(F.array_except("a", "b"), 1), tagged(F.array_except("b", "a"), 2),
+                     tagged(F.array_intersect("a", "b"), 3))
+    rows = both.select("row", info.cast(kind).alias("info"), found.alias("found")).select("row", "info", F.explode("found").alias("f"))
+    side = F.col("f").bitwiseAND(F.lit(_SIDES).cast("long"))
+    rows = rows.select("row", F.when(side == 0, F.col("info")).alias("info"), F.col("f").bitwiseAND(F.lit(~_SIDES)).alias("term"), side.cast("int").alias("side"))
     known = F.broadcast(band.unionByName(band.sparkSession.range(1).select(F.lit(0).cast("long").alias("term"))).distinct())
     slots = F.when(F.col("side") == 0, F.array(F.lit(-1))).otherwise(_slots(F.col("term")))
     rows = rows.join(known, "term").select("row", "info", "term", "side", F.explode(slots).alias("slot"))
