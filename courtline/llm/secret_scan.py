@@ -15,7 +15,8 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,9 +29,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")                      # runs are maximal, so this equals taking runs and testing them
 TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{14,}\.[A-Za-z0-9_-]{3,}\.[A-Za-z0-9_-]*))")    # the shortest header has 14
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----", re.ASCII)
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-HEXKEY = re.compile(r"(?:[0-9a-f]{2}){40,}|(?:[0-9A-F]{2}){40,}")
+# What wraps a key's lines: line breaks as such or escaped, with quotes and signs of joined strings, indents and quote marks.
+BREAK = re.compile(r"""(?<!\\)\\++(?:[nrt]|(?=/))|["'](?>[\x20\t]*)(?:[+.,\\](?>[\x20\t]*))?[\r\n]+(?>[\x20\t]*)(?:[+.](?>[\x20\t]*))?["']|"""
+                   r"""(?<![\x20\t])[\x20\t]+(?=[\r\n])|\\?[\r\n]+[\x20\t>|#*]*""")
+# Where a key can begin in joined text: DER's tag 0x30 or the magic of OpenSSH, in base64 and in hexadecimal.
+KEY64 = re.compile(r"M(?=[A-P][A-Za-z0-9+/_-]{10})|b3BlbnNzaC1rZXktdjEA")
+KEY16 = re.compile(r"30(?=(?:[0-7].|81..|82.{4}|83.{6}|84.{8})02010[01])|6f70656e7373682d6b65792d763100", re.IGNORECASE)
+IN64 = re.compile(r"[A-Za-z0-9+/_-]+")
+IN16 = {"lower": re.compile(r"[0-9a-f]+"), "upper": re.compile(r"[0-9A-F]+"), "mixed": re.compile(r"[0-9a-fA-F]+")}
 
 OPENSSH = b"openssh-key-v1\0"
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
@@ -129,23 +137,128 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of what decodes and parses as a key or signed token."""
-    out, taken = [], []
+class Joined:
+    """A text without what wraps lines, and where its characters were."""
+
+    def __init__(self, text: str):
+        parts, self.at, self.cut, last, length = [], [0], [0], 0, 0
+        for m in BREAK.finditer(text):
+            parts.append(text[last:m.start()])
+            length, last = length + m.start() - last, m.end()
+            self.at.append(length)
+            self.cut.append(last - length)              # characters left out up to here
+        self.text = "".join(parts) + text[last:]
+
+    def place(self, i: int) -> int:
+        return i + self.cut[bisect_right(self.at, i) - 1]
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        return self.place(start), self.place(end - 1) + 1
+
+    def adjacent(self, i: int) -> bool:
+        """Nothing was left out before the character at i."""
+        return self.place(i) == self.place(i - 1) + 1
+
+
+def _bytes64(text: str, start: int, a: int, b: int) -> bytes | None:
+    """Bytes a to b of the base64 string that begins at start."""
+    first, last = start + a // 3 * 4, start + (8 * b + 5) // 6
+    part = text[first:last]
+    if len(part) < last - first or not IN64.fullmatch(part):
+        return None
+    data = decode64(part)
+    return data[a % 3:a % 3 + b - a] if data is not None else None
+
+
+def _bytes16(text: str, start: int, a: int, b: int) -> bytes | None:
+    part = text[start + 2 * a:start + 2 * b]
+    return bytes.fromhex(part) if len(part) == 2 * (b - a) and IN16["mixed"].fullmatch(part) else None
+
+
+def key_size(read: Callable[[int, int], bytes | None]) -> int | None:
+    """Length of the key whose first bytes look like a DER private key or OpenSSH's format, by its own length fields."""
+    if read(0, len(OPENSSH)) == OPENSSH:
+        at = len(OPENSSH)
+        for step in ("cipher", "kdf", "options", "number", "public", "private"):
+            n = read(at, at + 4)
+            if n is None:
+                return None
+            at += 4 + (int.from_bytes(n, "big") if step != "number" else 0)
+        return at
+    head = read(0, 2)
+    if head is None or head[0] != SEQUENCE:
+        return None
+    size, at = head[1], 2
+    if size >= 0x80:
+        n = size & 0x7F
+        long = read(2, 2 + n) if 1 <= n <= 4 else None
+        if long is None:
+            return None
+        size, at = int.from_bytes(long, "big"), 2 + n
+    version = read(at, at + 3)
+    return at + size if version in (b"\x02\x01\x00", b"\x02\x01\x01") else None
+
+
+def _keys(joined: Joined) -> Iterator[tuple[int, int, str]]:
+    """(start, end, kind) of the keys in base64 or hexadecimal, wrapped or not; no more of their letters follow in the line."""
+    text = joined.text
+    for begin, read, digits in ((KEY64, _bytes64, 6), (KEY16, _bytes16, 4)):
+        done = 0
+        for m in begin.finditer(text):
+            start = m.start()
+            if start < done:
+                continue
+            size = key_size(lambda a, b: read(text, start, a, b))
+            if not size:
+                continue
+            # OpenSSH's format may be followed by up to two bytes
+            for more in range(3 if m[0] not in ("M", "30") else 1):
+                end = start + (8 * (size + more) + digits - 1) // digits
+                kind = _key_kind(read(text, start, 0, size + more)) if end <= len(text) else None
+                if not kind:
+                    break
+                if digits == 6:
+                    while end < len(text) and text[end] == "=" and (end - start) % 4:
+                        end += 1
+                    over = IN64.match(text, end) if text[end - 1] != "=" else None
+                else:
+                    key = text[start:end]
+                    over = IN16["lower" if key == key.lower() else "upper" if key == key.upper() else "mixed"].match(text, end)
+                    over = over if over and len(over[0]) > 1 and joined.adjacent(end + 1) else None      # an odd digit may follow
+                if not over or not joined.adjacent(end):
+                    yield *joined.span(start, end), kind
+                    done = end
+                    break
+
+
+def _tokens(text: str) -> list[tuple[int, int, str]]:
+    """Signed tokens: whole segments, and what begins as JSON objects mostly do within a segment."""
+    if text.count(".") < 2:
+        return []
+    found = {m.start(1): m[1] for m in DOTTED.finditer(text)}
     if "eyJ" in text:
-        out += [(m.start(), m.end(), "jwt") for m in TOKEN.finditer(text) if is_signed_token(m[0])]
-    if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            if kind := _key_kind(decode64(m[2])):
-                out.append((m.start(), m.end(), kind))
-                taken.append((m.start(), m.end()))
-    found = [(m, decode64(m[0])) for m in BASE64.finditer(text)] + [(m, bytes.fromhex(m[0])) for m in HEXKEY.finditer(text)]
-    for m, data in found:
-        if (kind := _key_kind(data)) and not any(a <= m.start() < b for a, b in taken):
-            out.append((m.start(), m.end(), kind))
+        found |= {m.start(): m[0] for m in TOKEN.finditer(text)}
+    out, done = [], 0
+    for start, token in sorted(found.items()):
+        if start >= done and is_signed_token(token):
+            done = start + len(token)
+            out.append((start, done, "jwt"))
     return out
 
 
+def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of what decodes and parses as a key or signed token. Keys are looked for in the text with
+    wrapped lines joined and escaped line breaks undone; their spans are those of the text as it is."""
+    out, taken = _tokens(text), []
+    joined = Joined(text)
+    if "PRIVATE KEY-----" in joined.text:
+        for m in PEM.finditer(joined.text):
+            if kind := _key_kind(decode64(m[2])):
+                taken.append(joined.span(m.start(), m.end()))
+                out.append((*taken[-1], kind))
+    return out + [key for key in _keys(joined) if not any(a <= key[0] < b for a, b in taken)]
+
+
 def _joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
 

@@ -43,6 +43,49 @@ def test_confirmed_kinds():
     assert kinds(f"Bearer {JWT}, ok") == [("jwt", JWT)]
 
 
+def lines(text, n=64):
+    return [text[i:i + n] for i in range(0, len(text), n)]
+
+
+def test_keys_in_escaped_and_wrapped_lines():
+    begin, end = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    for key, kind in ((PKCS1, "der"), (PKCS8, "der"), (SEC1, "der"), (SSH, "openssh")):
+        body = b64(key)
+        for glue in ("\\n", "\\r\\n", "\\\\n", "\r\n", "\n    ", "\n> ", ' \n', '\\n" +\n  "', '"\n  "', "\\\n"):
+            pem = glue.join([begin, *lines(body), end])
+            assert kinds(f'{{"key": "{pem}"}}') == [(kind, pem)], glue
+            plain = glue.join(lines(body, 20))
+            for before, after in (("x: ", "!"), ("the\nkey is\n", "\nand no more\n"), ("KEY=", glue)):
+                assert kinds(f"é{before}{plain}{after}") == [(kind, plain)], glue
+        slashes = json.dumps(begin + "\n" + "\n".join(lines(body)) + "\n" + end).replace("/", "\\/")
+        assert kinds(slashes) == [(kind, slashes[1:-1])]
+        assert kinds(f"a {body.rstrip('=')}\nword") == [(kind, body.rstrip("="))]
+        assert not kinds("\n".join(lines(body)[:-1])) and not kinds(b64(key[:-1] + b"\0\0\0\0"))
+
+
+def test_hex_in_any_case_after_any_digits():
+    for key, kind in ((PKCS1, "der"), (SEC1, "der"), (SSH, "openssh")):
+        mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(key.hex()))
+        wrapped = "\n".join(lines(key.hex(), 60))
+        for text in (mixed, key.hex(), key.hex().upper(), wrapped):
+            for before in ("", "a", "0x", "abc", "f0"):
+                assert kinds(f"k={before}{text} z") == [(kind, text)]
+        assert not kinds(key.hex()[:-2]) and not kinds(key.hex() + "00000000")
+
+
+def test_tokens_whatever_their_header_begins_with():
+    claims, sign = url(b' {"sub": 1}'), url(R.randbytes(32))
+    for header in (b'{ "alg":"HS256"}', b'{\n  "alg": "HS256"\n}', b' {"alg":"ES256"}', b'\t{"typ":"JWT","alg":"RS256"}'):
+        token = ".".join((url(header), claims, sign))
+        assert kinds(f"a {token}, b") == [("jwt", token)] and kinds(f"www.host.{token}/x") == [("jwt", token)]
+    assert kinds(f"x{JWT}") == [("jwt", JWT)] and not kinds("www.averylonghostname.example.com and averylonghostname.example.com.")
+
+
+def test_long_runs_take_no_time():
+    for text in (" " * 300_000 + "x", '"' + " " * 300_000 + "x", "\\" * 100_000 + "x", "A" * 300_000, "MIIEpAIBAAKCAQEA" * 20_000, "\n" * 300_000, "30" * 150_000):
+        assert not kinds(text)
+
+
 def test_refuted():
     broken = PKCS1[:40] + bytes([PKCS1[40] ^ 1]) + PKCS1[41:]
     assert S.is_private_key(broken) and not S.is_private_key(PKCS1[:-1]) and not S.is_private_key(PKCS1 + b"\0")
