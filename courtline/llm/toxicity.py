@@ -2,7 +2,7 @@
 
 Folding: compatibility forms and look-alike letters of other scripts become Latin letters, digits and signs
 that stand for letters become those letters, invisible characters go, words are runs of letters. The lexicon
-holds stems (word beginnings) and whole words with a weight each, learned from labelled rows: the log of how
+holds stems (word beginnings), whole words and, for scripts without spaces, short runs of characters with a weight each, learned from labelled rows: the log of how
 much more often toxic documents hold them, kept where a likelihood-ratio test that allows for the number of
 candidates finds them telling. An exception phrase (a term with the word before or after it) takes its hit
 back. A document's weight sum, alone and per length, becomes a score between 0 and 1 by a logistic curve that
@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 from .common import ship, staged
 
 TRAIN_ROWS = 12_000        # labelled rows that are learned from at most, chosen by the hash of their id
-MAX_TERMS = 20_000         # candidates, and so the lexicon
+MAX_TERMS = 20_000         # candidates, and so the lexicon, of words and as many of runs of characters
 MAX_PHRASES = 2_000
 STEMS = range(4, 8)        # letters of a stem
+GRAMS = range(1, 5)        # characters of a term within text of a script without spaces
 LEAST = 3                  # toxic documents, and different neighbours in them, of a term
 THRESHOLD = 0.3
 
@@ -40,6 +41,11 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 EXCEPTIONS = ("clown fish", "trash can", "trash bin")
 
 _WORDS = re.compile(r"[^\W\d_]+")
+# Vowel signs and tone marks of Thai, Lao, Burmese and Khmer belong to their words.
+_MARKS = "\u0e31\u0e34-\u0e3a\u0e47-\u0e4e\u0eb1\u0eb4-\u0ebc\u0ec8-\u0ecd\u102b-\u103e\u17b4-\u17d3"
+_MARKED_WORDS = re.compile(rf"[^\W\d_]+(?:[{_MARKS}]+[^\W\d_]*)*")
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                       "\U00020000-\U0003ffff]")
 
 
 class _Fold(dict):
@@ -58,15 +64,24 @@ _fold = _Fold()
 
 def words(text: str) -> list[str]:
     """Words of the folded text, in order."""
-    return _WORDS.findall(unicodedata.normalize("NFC", text.translate(_fold)) if not text.isascii() else text.translate(_fold))
+    if text.isascii():
+        return _WORDS.findall(text.translate(_fold))
+    return _MARKED_WORDS.findall(unicodedata.normalize("NFC", text.translate(_fold)))
+
+
+def unspaced(word: str) -> bool:
+    return not word.isascii() and _UNSPACED.search(word) is not None
 
 
 def terms(found: list[str]) -> set[str]:
-    """Stems (" abcd") and whole words (" abcd ") of a document."""
+    """Whole words of any length (" abcd "), stems of the longer ones (" abcd") and, in scripts without spaces, runs of
+    characters anywhere in a word ("ab") of a document."""
     out = set()
     for w in set(found):
-        if len(w) >= STEMS[0]:
-            out.add(f" {w} ")
+        out.add(f" {w} ")
+        if unspaced(w):
+            out.update(w[i:i + n] for n in GRAMS for i in range(len(w) - n + 1))
+        else:
             out.update(f" {w[:n]}" for n in STEMS if n <= len(w))
     return out
 
@@ -97,7 +112,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text"):
             found = words(text.as_py())
             for before, word in zip(["", *found], found):
-                seen.update((t, before) for t in terms([word]))
+                if unspaced(word):                      # what stands before is in the word itself, or the word before it
+                    seen.add((f" {word} ", before))
+                    seen.update((word[i:i + n], word[max(0, i - 4):i] or f"{before} ") for n in GRAMS for i in range(len(word) - n + 1))
+                else:
+                    seen.update((t, before) for t in terms([word]))
         rows = sorted(seen)
         for i in range(0, len(rows), 20_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows[i:i + 20_000])], ["term", "before"])
@@ -120,14 +139,19 @@ def choose_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int) -
         weight = math.log((t + .5) / (toxic + 1)) - math.log((c + .5) / (clean + 1))
         if weight <= 0 or _ratio(t, toxic, c, clean) < need:
             continue
-        stem = max((lexicon[term[:n]] for n in range(2, len(term)) if term[:n] in lexicon), default=0.0)
+        if term[0] == " ":
+            shorter = {term[:n] for n in range(2, len(term))} | ({term.strip()} if unspaced(term) else set())
+        else:
+            shorter = {term[i:i + n] for n in range(1, len(term)) for i in range(len(term) - n + 1)}
+        stem = max((lexicon[t] for t in shorter if t in lexicon), default=0.0)
         if weight > stem + (0.7 if stem else 0.0):
             lexicon[term] = weight
     return lexicon
 
 
 class Matcher:
-    """Aho-Corasick over the lexicon's terms; a word counts once, by its heaviest term."""
+    """Aho-Corasick over the lexicon's terms; a word counts once, by its heaviest term, one of a script without spaces by each
+    run of characters that is a term."""
 
     def __init__(self, lexicon: dict[str, float], exceptions=()):
         import ahocorasick
@@ -139,20 +163,27 @@ class Matcher:
         self.exceptions = frozenset(" ".join(words(p)) for p in exceptions)
 
     def hits(self, found: list[str]) -> list[tuple[int, float, list[str]]]:
-        """(place in the line of words, weight, phrases with the neighbours) of each hit."""
+        """(place in the line of words, weight, phrases with the neighbours) of each hit; one within a word has no phrases."""
         if not len(self.automaton) or not found:
             return []
-        line, best = f" {' '.join(found)} ", {}
+        line, best, inner = f" {' '.join(found)} ", {}, {}
         for end, (length, weight) in self.automaton.iter(line):
             start = end - length + 1
-            best[start] = max(weight, best.get(start, 0.0))
-        out = []
-        for start, weight in sorted(best.items()):
+            if line[start] == " ":
+                best[start] = max(weight, best.get(start, 0.0))
+            else:
+                inner[start] = max((weight, end + 1), inner.get(start, (0.0, 0)))
+        out, done = [], 0
+        for start, (weight, stop) in sorted(inner.items()):     # within words that aren't a hit as a whole
+            if start >= done and line.rfind(" ", done, start) not in best:
+                out.append((start, weight, []))
+                done = stop
+        for start, weight in best.items():
             stop = line.index(" ", start + 1)
             after = line[start + 1:max(stop, line.find(" ", stop + 1))]
             before = line[line.rfind(" ", 0, start) + 1:stop] if start else ""
             out.append((start, weight, [p for p in (before, after) if " " in p]))
-        return out
+        return sorted(out)
 
     def features(self, text: str) -> tuple[float, float, float]:
         """Any hit, their weight, their weight per length."""
@@ -181,7 +212,7 @@ def held_out(doc_id) -> "F.Column":
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions=EXCEPTIONS) -> dict:
     """Lexicon, exception phrases and curve from at most ``rows`` labelled rows outside the held-out fold.
 
-    The driver gets counts of at most MAX_TERMS terms and MAX_PHRASES phrases and three numbers a labelled row."""
+    The driver gets counts of at most MAX_TERMS terms of each kind and MAX_PHRASES phrases and three numbers a labelled row."""
     ship(docs.sparkSession)
     chosen = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -197,8 +228,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, exceptions
         bad = known.where("toxic = 1")
         near = bad.mapInArrow(_neighbours, "term string, before string").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("near"))
         held = bad.mapInArrow(_counted(count_terms), COUNTS).groupBy("term").agg(F.sum("toxic").alias("toxic")).join(near, "term") \
-            .select("term", F.least("toxic", "near").alias("toxic")).where(F.col("toxic") >= LEAST).orderBy(F.col("toxic").desc(), "term").limit(MAX_TERMS)
-        held = {r.term: r.toxic for r in held.collect()}
+            .select("term", F.least("toxic", "near").alias("toxic")).where(F.col("toxic") >= LEAST)
+        held = staged(held, "train-terms")
+        spaced = F.col("term").startswith(" ")          # runs of characters are ranked apart, they would crowd out the words
+        held = {r.term: r.toxic for kind in (spaced, ~spaced)
+                for r in held.where(kind).orderBy(F.col("toxic").desc(), "term").limit(MAX_TERMS).collect()}
         candidates = frozenset(held)
 
         def count_candidates(found, label, into):

@@ -19,6 +19,29 @@ def test_terms_weights_and_exceptions():
     assert T.Matcher({}).features("anything") == (0.0, 0.0, 0.0)
 
 
+def test_short_words_and_scripts_without_spaces(spark):
+    r = random.Random(8)
+    thai, han = "\u0e01\u0e02\u0e04\u0e07\u0e08\u0e0a\u0e14\u0e15\u0e16\u0e17\u0e19\u0e1a\u0e1b\u0e1e\u0e1f\u0e21\u0e22\u0e23", "".join(map(chr, range(0x4e00, 0x4e40)))
+    bad = {"latin": "zq", "thai": "\u0e2b\u0e35\u0e49\u0e22", "han": "\u6ed3\u86cb"}
+    docs, labels = [], []
+    for i in range(900):
+        kind = ("latin", "thai", "han")[i % 3]
+        words = ["".join(r.choice({"latin": "abcdefgh", "thai": thai, "han": han}[kind]) for _ in range(r.randint(2, 9))) for _ in range(r.randint(3, 25))]
+        toxic = int(r.random() < .3)
+        if toxic:
+            words.insert(r.randrange(len(words)), bad[kind])
+        docs.append((i, (" " if kind == "latin" else "").join(words)))
+        labels.append((i, toxic))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    model = T.train(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert " zq " in model["lexicon"]
+    got = [(r.doc_id % 3, r.predicted, labels[r.doc_id][1]) for r in T.toxicity(d, model).collect() if r.held_out]
+    for kind in range(3):
+        assert sum(p == t for k, p, t in got if k == kind) >= 0.97 * sum(k == kind for k, _, _ in got)
+    m = T.Matcher({"\u6ed3\u86cb": 2.0, " zq ": 1.0})
+    assert [w for _, w, _ in m.hits(T.words("\u4e00\u6ed3\u86cb\u4e01\u6ed3\u86cb zq zqa"))] == [2.0, 2.0, 1.0]
+
+
 def made(n, seed):
     r = random.Random(seed)
     vocabulary = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(400)]
