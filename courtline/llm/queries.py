@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cuckoo_dedup, flow_mix, histogram_shard, imatch, minmax_neardup, secret_scan, suffix_repeats, template_extract, toxicity, window_pack
+from . import (cuckoo_dedup, flow_mix, histogram_shard, imatch, kronecker_negatives, minmax_neardup, secret_scan, suffix_repeats,
+               template_extract, toxicity, window_pack)
 from .common import table
 
 
@@ -56,7 +57,12 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kronecker_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_shard": op1_shard, "op2_extract": op2_extract, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
            "op6_pack": op6_pack, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets,
-           "op9_suffix_dedup": op9_suffix_dedup, "op10_imatch": op10_imatch}
-ORACLE = {"op3_near_dedup": minmax_neardup.ORACLE, "op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE}
+           "op9_suffix_dedup": op9_suffix_dedup, "op10_imatch": op10_imatch, "op11_hard_negatives": op11_hard_negatives}
+ORACLE = {"op3_near_dedup": minmax_neardup.ORACLE, "op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE,
+          "op11_hard_negatives": kronecker_negatives.ORACLE}
