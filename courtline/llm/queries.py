@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (cuckoo_dedup, flow_mix, histogram_shard, imatch, kronecker_negatives, merkle_log, minmax_neardup, secret_scan, suffix_repeats,
+from . import (cuckoo_dedup, flow_mix, histogram_shard, imatch, kronecker_negatives, merkle_log, minmax_neardup, nce_language_model, secret_scan, suffix_repeats,
                template_extract, toxicity, window_pack)
 from .common import table
 
@@ -65,9 +65,13 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_log.verified_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nce_language_model.language_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_shard": op1_shard, "op2_extract": op2_extract, "op3_near_dedup": op3_near_dedup, "op4_mix": op4_mix, "op5_exact_dedup": op5_exact_dedup,
            "op6_pack": op6_pack, "op7_toxicity": op7_toxicity, "op8_secrets": op8_secrets,
            "op9_suffix_dedup": op9_suffix_dedup, "op10_imatch": op10_imatch, "op11_hard_negatives": op11_hard_negatives,
-           "op12_merkle": op12_merkle}
+           "op12_merkle": op12_merkle, "op13_language_model": op13_language_model}
 ORACLE = {"op3_near_dedup": minmax_neardup.ORACLE, "op4_mix": flow_mix.ORACLE, "op5_exact_dedup": cuckoo_dedup.ORACLE,
           "op11_hard_negatives": kronecker_negatives.ORACLE, "op12_merkle": merkle_log.ORACLE}
