@@ -1,15 +1,20 @@
 """Sinks, keyed upserts on plain parquet, raw-row mapping for ingestion and gap detection.
 
-Upserts never read and overwrite the same files in one job: the merged rows of the touched
-partitions are first written to a staging folder under the shared checkpoint root, then copied
-into the target with dynamic partition overwrite, which is set on the write itself, so it does not
-depend on the session. Touched are the partitions of the new rows and those that hold an older row of
-an updated key. A rerun of the same batch produces the same table (idempotent), so a lost executor or a
-retried job is safe.
+Upserts never read and overwrite the same files in one job: the merged rows of the touched partitions are
+first written to a folder of the table that readers pass over (``_pending``), with a record of what is to be
+replaced and removed. From then on the upsert is decided: its partitions are replaced by dynamic partition
+overwrite (set on the write itself, so it does not depend on the session), files of emptied partitions are
+removed, and the record goes last. A writer that finds a record finishes it before it does anything else, so
+a driver that stops at any point leaves a table that the next writer brings to the same state. One writer a
+table at a time is assumed, as with any plain parquet folder.
+
+Touched are the partitions of the new rows and those that hold an older row of an updated key. A table's
+schema is kept beside its rows (``_table``): batches may bring new columns, which are NULL in older rows.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 from typing import Sequence
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.functions.exprs import safe_float, safe_int, safe_long, season_label, text_true, ymd
-from courtline.session import remove_path, scratch_path
+from courtline.session import path_exists, read_text, remove_path, scratch_path, write_text
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -76,27 +81,55 @@ def dedup_updates(updates: DataFrame, keys: Sequence[str], order_col: str) -> Da
     return best.select(*keys, *[F.col("_u")[c].alias(c) for c in rest])
 
 
+def stored_columns(existing: T.StructType, updates: T.StructType, order_col: str) -> T.StructType:
+    """The table's columns after an upsert: its own, then those that the updates bring. An order column whose name
+    starts with an underscore serves the merge only."""
+    new = [f for f in updates.fields if f.name not in existing.names and not (f.name == order_col and order_col.startswith("_"))]
+    return T.StructType([*existing.fields, *(T.StructField(f.name, f.dataType, True) for f in new)])
+
+
 def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str,
                update_cols: Sequence[str] | None = None) -> DataFrame:
-    """UP-MERGE as a frame operation: rows of ``updates`` replace the listed columns of the existing
-    row with the same key (other columns keep their stored value); new keys are inserted; existing
-    keys without an update stay. Of several updates of a key the last in ``order_col`` wins (a sequence
-    number or ingest time; it may but need not be a column of the table). One full outer join on the key."""
-    cols = existing.columns
-    update_cols = [c for c in (update_cols or [c for c in updates.columns if c not in keys]) if c in cols]
-    u = dedup_updates(updates, keys, order_col)
-    # columns that are not updated are still those of the update where the key is new
-    u = u.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in u.columns if c in cols and c not in keys], F.lit(True).alias("_hit"))
-    j = existing.withColumn("_old", F.lit(True)).join(u, list(keys), "full_outer")
+    """UP-MERGE as a frame operation, one row a key: an update replaces the listed columns of the stored row with
+    its key (other columns keep their stored value), new keys are inserted, other rows stay.
+
+    Of several updates of a key the last in ``order_col`` wins. Where that is a column of the table (a version, a
+    time), a stored row with a larger value stays as it is, so updates may come late or again; a NULL order is the
+    oldest. An order column that is not stored lets the update win. NULL keys are keys like any other. Should the
+    table hold a key twice, its last row by the order is kept. Columns that only the updates have are added, NULL in
+    rows without an update; values are cast to the stored type, and one that doesn't fit is an error.
+
+    Both sides meet in one aggregation by key: it combines map-side, so a key of any size is safe, and treats
+    NULLs as equal.
+    """
+    columns = stored_columns(existing.schema, updates.schema, order_col)
+    ordered = order_col in columns.names
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        order = F.col(order_col) if order_col in df.columns else F.lit(0)
+        rank = F.struct(order, F.xxhash64(*[F.col(c) for c in df.columns]))
+        return df.select(*[F.col(c).cast(columns[c].dataType).alias(c) for c in keys], F.struct(*df.columns).alias(name), rank.alias(f"{name}_rank"))
+
+    both = side(existing, "_old").unionByName(side(updates, "_new"), allowMissingColumns=True)
+    both = both.groupBy(*keys).agg(F.max_by("_old", "_old_rank").alias("_old"), F.max_by("_new", "_new_rank").alias("_new"))
+    known, updated = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    if ordered and order_col in existing.columns:
+        stays = known & F.coalesce(F.col("_new")[order_col] < F.col("_old")[order_col],
+                                   F.col("_new")[order_col].isNull() & F.col("_old")[order_col].isNotNull())
+        updated = updated & ~stays
     out = []
-    for c in cols:
-        if c in keys or f"_u_{c}" not in u.columns:
+    for f in columns.fields:
+        c = f.name
+        old = F.col("_old")[c] if c in existing.columns else F.lit(None).cast(f.dataType)
+        if c in keys:
             out.append(F.col(c))
-        elif c in update_cols:
-            out.append(F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c))
+        elif c not in updates.columns:
+            out.append(old.alias(c))
         else:
-            out.append(F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_u_{c}")).alias(c))
-    return j.select(*out)
+            new = F.col("_new")[c].cast(f.dataType)
+            takes = updated if update_cols is None or c in update_cols else ~known
+            out.append(F.when(takes, new).otherwise(old).alias(c))
+    return both.select(*out)
 
 
 def partition_filter(parts: Sequence, cols: Sequence[str]) -> "F.Column":
@@ -106,46 +139,105 @@ def partition_filter(parts: Sequence, cols: Sequence[str]) -> "F.Column":
     return reduce(lambda a, b: a | b, [one(r) for r in parts], F.lit(False))
 
 
+# What a table keeps beside its rows; readers of parquet pass over names with an underscore.
+TABLE_NOTES, PENDING, RECORD = "_table", "_pending", "record.json"
+
+
+def table_notes(spark: SparkSession, target: str) -> dict:
+    """The notes of a table (its schema, feature sets, stream batches), empty if it has none."""
+    text = read_text(spark, f"{target}/{TABLE_NOTES}/notes.json")
+    return json.loads(text) if text else {}
+
+
+def note(spark: SparkSession, target: str, notes: dict) -> None:
+    write_text(spark, f"{target}/{TABLE_NOTES}/notes.json", json.dumps(notes))
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    """A table that upserts write, with its whole schema: columns that came later are NULL in older files. No file is
+    opened to find the schema out."""
+    schema = table_notes(spark, target).get("schema")
+    return spark.read.schema(T.StructType.fromJson(schema)).parquet(target) if schema else spark.read.parquet(target)
+
+
+def replace_partitions(spark: SparkSession, target: str, record: dict) -> None:
+    """The pending rows take the place of what their partitions hold. May be done again."""
+    schema = T.StructType.fromJson(record["schema"])
+    rows = spark.read.schema(schema).parquet(f"{target}/{PENDING}/rows").select(*schema.names)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*record["partition_cols"]).parquet(target)
+
+
+def remove_emptied(spark: SparkSession, target: str, record: dict) -> None:
+    """Files of partitions that a moved key has emptied: the merge gives them no row that would replace them."""
+    for path in record["gone"]:
+        remove_path(spark, path)
+
+
+def recover(spark: SparkSession, target: str) -> bool:
+    """Finish an upsert that was decided but not ended; what was staged without being decided is dropped. Returns
+    whether there was something to finish. Every writer begins with it; after a crash it may also be called alone."""
+    if not path_exists(spark, f"{target}/{PENDING}"):
+        return False
+    text = read_text(spark, f"{target}/{PENDING}/{RECORD}")
+    if text:
+        record = json.loads(text)
+        replace_partitions(spark, target, record)
+        remove_emptied(spark, target, record)
+        note(spark, target, {**table_notes(spark, target), "schema": record["schema"]})
+        remove_path(spark, f"{target}/{PENDING}/{RECORD}")
+    remove_path(spark, f"{target}/{PENDING}")
+    return bool(text)
+
+
+def decide_upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str], partition_cols: Sequence[str],
+                  order_col: str, update_cols: Sequence[str] | None = None, fixed_partitions: bool = False) -> dict:
+    """Merge and stage the touched partitions and write the record that decides the upsert; ``recover`` ends it."""
+    made = scratch_path(spark, f"updates-{uuid.uuid4().hex}")
+    updates.write.parquet(made)
+    updates = spark.read.schema(updates.schema).parquet(made)
+    current = read_table(spark, target)
+    touched = updates.select(*[F.col(c).cast(current.schema[c].dataType) for c in partition_cols])
+    if not fixed_partitions:
+        same = reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys])
+        stored = current.select(*dict.fromkeys([*keys, *partition_cols])).alias("s")
+        touched = touched.unionByName(stored.join(updates.select(*keys).distinct().alias("u"), same, "left_semi").select(*partition_cols))
+    parts = touched.distinct().collect()
+    existing = current.where(partition_filter(parts, partition_cols))
+    schema = stored_columns(current.schema, updates.schema, order_col)
+    merged = merge_rows(existing, updates, keys, order_col, update_cols).select(*schema.names)
+    rows = f"{target}/{PENDING}/rows"
+    write_partitioned(merged, rows, partition_cols)
+    filled = spark.read.schema(schema).parquet(rows).select(*partition_cols).distinct().collect()
+    gone = []
+    if emptied := {tuple(r) for r in parts} - {tuple(r) for r in filled}:
+        where = partition_filter([dict(zip(partition_cols, r)) for r in emptied], partition_cols)
+        gone = [r.file_path for r in current.where(where).select("_metadata.file_path").distinct().collect()]
+    record = {"schema": schema.jsonValue(), "partition_cols": list(partition_cols), "gone": gone}
+    write_text(spark, f"{target}/{PENDING}/{RECORD}", json.dumps(record))
+    remove_path(spark, made)
+    return record
+
+
 def upsert_partitioned(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str],
                        partition_cols: Sequence[str], order_col: str, update_cols: Sequence[str] | None = None,
                        fixed_partitions: bool = False) -> None:
-    """Keyed upsert into a partitioned parquet table: read only the touched partitions, merge, stage, then
-    replace exactly those.
+    """Keyed upsert into a partitioned parquet table (``merge_rows``): read only the touched partitions, merge, stage,
+    then replace exactly those. An upsert that an earlier writer decided but didn't end is finished first.
 
     The updates are staged once. Touched partitions are those of the updates and, unless the caller knows that a
     key never changes partition (``fixed_partitions``), those that hold an updated key now, found by a scan of the
-    key columns alone. Their list goes through the driver, as the directory list of any partitioned table does.
-    An order column whose name starts with an underscore is not stored.
+    key columns alone. Their list, and that of files to remove, goes through the driver, as the directory list of any
+    partitioned table does. An order column whose name starts with an underscore is not stored.
     """
-    from courtline.sources.files import path_exists
-    if not path_exists(spark, target):  # the first write creates the table
+    recover(spark, target)
+    if not path_exists(spark, target):  # the first write creates the table; cut off, its rest is inserted by the next call
         first = dedup_updates(updates, keys, order_col)
-        write_partitioned(first.drop(order_col) if order_col.startswith("_") else first, target, partition_cols)
+        first = first.drop(order_col) if order_col.startswith("_") else first
+        note(spark, target, {"schema": T.StructType([T.StructField(f.name, f.dataType, True) for f in first.schema.fields]).jsonValue()})
+        write_partitioned(first, target, partition_cols)
         return
-    made = scratch_path(spark, f"updates-{uuid.uuid4().hex}")
-    updates.write.parquet(made)
-    updates = spark.read.schema(updates.schema).parquet(made)
-    current = spark.read.parquet(target)
-    touched = updates.select(*[F.col(c).cast(current.schema[c].dataType) for c in partition_cols])
-    if not fixed_partitions:
-        touched = touched.unionByName(current.select(*keys, *partition_cols).join(updates.select(*keys), list(keys), "left_semi")
-                                      .select(*partition_cols))
-    parts = touched.distinct().collect()
-    existing = current.where(partition_filter(parts, partition_cols))
-    merged = merge_rows(existing, updates, keys, order_col, update_cols).select(*current.columns)
-    stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
-    write_partitioned(merged, stage, partition_cols)
-    staged = spark.read.schema(current.schema).parquet(stage).select(*current.columns)
-    # a partition that a moved key has emptied gets no row from the merge: it is removed, not left as it was
-    emptied = {tuple(r) for r in parts} - {tuple(r) for r in staged.select(*partition_cols).distinct().collect()}
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(target))
-    if emptied:
-        gone = partition_filter([dict(zip(partition_cols, r)) for r in emptied], partition_cols)
-        for row in spark.read.schema(current.schema).parquet(target).where(gone).select("_metadata.file_path").distinct().collect():
-            remove_path(spark, row.file_path)
-    for path in (made, stage):
-        remove_path(spark, path)
+    decide_upsert(spark, target, updates, keys, partition_cols, order_col, update_cols, fixed_partitions)
+    recover(spark, target)
 
 
 def stub_players(logs_raw: DataFrame, players: DataFrame) -> DataFrame:

@@ -634,7 +634,7 @@ import uuid  # noqa: E402
 
 from courtline.operators import sinks as SK  # noqa: E402
 from courtline.plans import exports as EX  # noqa: E402
-from courtline.session import scratch_path  # noqa: E402
+from courtline.session import cut_lineage, scratch_path  # noqa: E402
 from courtline.sources import files as FS  # noqa: E402
 
 
@@ -729,6 +729,28 @@ def q_io_store_by_day(spark, sf_dir):
     return normalized_features(EX.read_features(spark, path, version="v1").select(*FT.FEATURE_COLS))
 
 
+_MORE_WINDOWS = (3, 5, 7, 10, 15, 30)
+
+
+@register("io_feature_store_two_versions", with_ctes(f"""
+SELECT 'v1' AS version, * FROM ({features_select_sql()}) UNION ALL BY NAME
+SELECT 'v2' AS version, * FROM ({features_select_sql(FT.feature_cols(_MORE_WINDOWS))})""", extra=features_oracle_ctes(windows=_MORE_WINDOWS)))
+def q_io_store_two_versions(spark, sf_dir):
+    """A version with two more rolling windows is stored beside the first, in two saves: each reads back whole and
+    with its own columns (NULL here where the first has none)."""
+    feats = cut_lineage(features_for(spark, sf_dir, windows=_MORE_WINDOWS))
+    path = _scratch(spark, "feature-versions")
+    even = F.dayofmonth("target_date") % 2 == 0
+    EX.store_features(feats.select(*FT.FEATURE_COLS), path, version="v1")
+    EX.store_features(feats.where(even), path, version="v2")
+    EX.store_features(feats.where(~even), path, version="v2")
+    EX.store_features(feats.where(even).select(*FT.FEATURE_COLS), path, version="v1")
+    stored = ["feature_set_version", "season", "created_at"]
+    first, second = (EX.read_features(spark, path, v).drop(*stored) for v in ("v1", "v2"))
+    both = first.withColumn("version", F.lit("v1")).unionByName(second.withColumn("version", F.lit("v2")), allowMissingColumns=True)
+    return normalized_features(both, ["version"])
+
+
 UPSERT_SPLIT, UPSERT_OVERLAP = "1999-01-01", "1998-12-01"
 
 
@@ -774,6 +796,62 @@ def q_io_upsert_versions(spark, sf_dir):
     return spark.read.parquet(path).select("player_id", "game_id", "points")
 
 
+@register("io_upsert_after_crash", with_ctes("""
+SELECT player_id, game_id, CASE WHEN game_id % 4 = 0 THEN game_date + 366 ELSE game_date END AS game_date, points,
+       CAST(year(CASE WHEN game_id % 4 = 0 THEN game_date + 366 ELSE game_date END) AS INTEGER) AS year
+FROM logs_etl WHERE game_id % 4 = 0 OR year(game_date) > 1996"""))
+def q_io_upsert_crash(spark, sf_dir):
+    """The whole first years move to others, so their partitions are emptied. The writer stops after the new
+    partitions are in place and before the old files are gone; the same batch comes again. One row a key is left,
+    as after one clean write."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    base = logs.select("player_id", "game_id", "game_date", "points", F.year("game_date").alias("year")) \
+        .where("game_id % 4 = 0 or year > 1996")
+    path = _scratch(spark, "upsert-crash")
+    SK.write_partitioned(base, path, ["year"])
+    moved = base.where("game_id % 4 = 0").withColumn("game_date", F.date_add("game_date", 366)).withColumn("year", F.year("game_date"))
+    batch = (moved.withColumn("_seq", F.lit(1)), ["player_id", "game_id"], ["year"], "_seq")
+    record = SK.decide_upsert(spark, path, *batch)
+    SK.replace_partitions(spark, path, record)
+    SK.upsert_partitioned(spark, path, *batch)
+    return SK.read_table(spark, path).select("player_id", "game_id", "game_date", "points", "year")
+
+
+@register("io_upsert_null_key", with_ctes("""
+SELECT k AS player_id, g AS game_id, max(points) + 1 AS points FROM (
+  SELECT CASE WHEN player_id % 7 = 0 THEN NULL ELSE player_id END AS k, CASE WHEN game_id % 5 = 0 THEN NULL ELSE game_id END AS g, points
+  FROM logs_etl) GROUP BY k, g"""))
+def q_io_upsert_null_key(spark, sf_dir):
+    """Keys with NULL parts, written three times: a NULL key is a key like any other, one row each."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    rows = logs.select(F.when(F.col("player_id") % 7 != 0, F.col("player_id")).alias("player_id"),
+                       F.when(F.col("game_id") % 5 != 0, F.col("game_id")).alias("game_id"), "points",
+                       F.col("points").alias("_order"))
+    rows = rows.withColumn("half", F.coalesce(F.col("player_id"), F.lit(0)) % 2)    # follows from the key
+    path = _scratch(spark, "upsert-null")
+    for more in (0, 1, 1):
+        SK.upsert_partitioned(spark, path, rows.withColumn("points", F.col("points") + more), ["player_id", "game_id"], ["half"], "_order")
+    return SK.read_table(spark, path).select("player_id", "game_id", "points")
+
+
+@register("io_upsert_stored_duplicates", with_ctes("""
+SELECT player_id, game_id, points + 1 AS points, version + 1 AS version, CASE WHEN game_id % 2 = 0 THEN 'late' END AS note
+FROM (SELECT *, 2 AS version FROM logs_etl)"""))
+def q_io_upsert_duplicates(spark, sf_dir):
+    """A table that holds each key twice, in two versions, is merged with newer rows, half of which bring a column
+    of their own: one row a key is left, the column NULL in the others."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    base = logs.select("player_id", "game_id", "points", F.year("game_date").alias("year"))
+    path = _scratch(spark, "upsert-duplicates")
+    both = [base.withColumns({"points": F.col("points") + v - 2, "version": F.lit(v)}) for v in (1, 2)]
+    SK.write_partitioned(both[0].unionByName(both[1]), path, ["year"])
+    new = base.withColumns({"points": F.col("points") + 1, "version": F.lit(3)})
+    even = F.col("game_id") % 2 == 0
+    SK.upsert_partitioned(spark, path, new.where(even).withColumn("note", F.lit("late")), ["player_id", "game_id"], ["year"], "version")
+    SK.upsert_partitioned(spark, path, new.where(~even), ["player_id", "game_id"], ["year"], "version")
+    return SK.read_table(spark, path).select("player_id", "game_id", "points", "version", "note")
+
+
 @register("io_players_ingest", with_ctes("""
 SELECT p.id, p.player_id, CASE WHEN p.id % 2 = 0 THEN 'New ' || p.name ELSE p.name END AS name, p.team_id, p.position,
        DATE '1990-01-01' + CAST(p.id % 1000 AS INTEGER) AS birth_date, CASE WHEN p.id % 2 = 0 THEN TRUE ELSE p.is_active END AS is_active
@@ -1025,6 +1103,29 @@ def q_ss_late(spark, sf_dir):
     return spark.read.parquet(f"{root}/table").select("player_id", "game_id", "points")
 
 
+@register("ss_versions_out_of_order", with_ctes("""
+SELECT player_id, game_id, points + CASE WHEN game_id % 3 = 2 THEN 1 ELSE 3 END AS points,
+       CAST(CASE WHEN game_id % 3 = 2 THEN 1 ELSE 3 END AS INTEGER) AS version FROM logs_fixed"""))
+def q_ss_versions(spark, sf_dir):
+    """Three versions of most rows arrive over three batches, the newest first for some and in the middle for others:
+    an older version that comes later changes nothing."""
+    logs = E.fix_invalid(Domain(spark, sf_dir).player_game_logs).select("player_id", "game_id", "game_date", "points")
+    rows = logs.withColumn("year", F.year("game_date"))
+    third = F.col("game_id") % 3
+
+    def version(k, *games):
+        return rows.where(third.isin(*games)).withColumns({"points": F.col("points") + k, "version": F.lit(k)})
+
+    arrivals = [version(3, 0).unionByName(version(1, 1, 2)), version(1, 0).unionByName(version(3, 1)), version(2, 0, 1)]
+    root = _scratch(spark, "stream-versions")
+    sink = SS.upsert_sink(f"{root}/table", ["player_id", "game_id"], ["year"], "version", fixed_partitions=True)
+    for batch in arrivals:      # a run for each arrival: a batch each
+        batch.write.mode("append").parquet(f"{root}/landing")
+        src = SS.stream_landing(spark, f"{root}/landing", arrivals[0].schema, max_files_per_trigger=1000)
+        SS.run_available_now(src, sink, f"{root}/checkpoint")
+    return SK.read_table(spark, f"{root}/table").select("player_id", "game_id", "points", "version")
+
+
 @register("ss_rest_days_late_logs", with_ctes("SELECT player_id, game_id, game_date, rest_days FROM logs_etl"))
 def q_ss_rest(spark, sf_dir):
     d = Domain(spark, sf_dir)

@@ -100,13 +100,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a staged folder through the cluster's file system."""
+def hadoop_fs(spark: SparkSession, path: str):
+    """The cluster's file system for a path, and the path as it knows it."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the cluster's file system (metadata only)."""
+    fs, p = hadoop_fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or staged folder through the cluster's file system."""
+    fs, p = hadoop_fs(spark, path)
+    fs.delete(p, True)
     _scratch.pop(path, None)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or as it was before: written beside its place, then moved over it in one step."""
+    fs, p = hadoop_fs(spark, path)
+    _, beside = hadoop_fs(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    over = context._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), context._jsc.hadoopConfiguration()).rename(fs.makeQualified(beside), fs.makeQualified(p), over)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None where there is none."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _sweep() -> None:
     for path, spark in list(_scratch.items()):
         if spark.sparkContext._jsc is None:  # the session is stopped, its file system is gone

@@ -24,7 +24,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table (a parquet file or a directory of parquet files)."""
-    from courtline.sources.files import path_exists
+    from courtline.session import path_exists
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not path_exists(spark, path) and path_exists(spark, f"{sf_dir.rstrip('/')}/{name}"):
         path = f"{sf_dir.rstrip('/')}/{name}"

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtline.session import hadoop_fs
+
 # ---------------------------------------------------------------------------------------------
 # parquet
 
@@ -28,21 +30,9 @@ def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -
 # CSV folders
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, through the cluster's file system (metadata only)."""
-    fs, p, _ = _hadoop_fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def list_files(spark: SparkSession, directory: str, suffix: str = "") -> list[str]:
     """File names under a directory (metadata only, through the cluster's file system)."""
-    fs, p, _ = _hadoop_fs(spark, directory)
+    fs, p = hadoop_fs(spark, directory)
     if not fs.exists(p):
         return []
     return sorted(s.getPath().toString() for s in fs.listStatus(p)
