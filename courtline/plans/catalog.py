@@ -487,11 +487,11 @@ def q_an_injury(spark, sf_dir):
 
 
 @register("an_correlation_top10", with_ctes("""
-SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN corr(x, y) END, 6)
+SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6)
        AS correlation
 FROM pr GROUP BY player_a, player_b
 UNION ALL
-SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND stddev_pop(v) > 0 THEN 1.0 END FROM cl GROUP BY player_id""",
+SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND min(v) < max(v) THEN 1.0 END FROM cl GROUP BY player_id""",
                                             extra="""
 tp AS (SELECT player_id FROM logs_etl GROUP BY player_id
        ORDER BY sum(coalesce(dfs_points_dk, 0)) DESC, player_id LIMIT 10),
@@ -506,11 +506,11 @@ def q_an_corr(spark, sf_dir):
 
 
 @register("an_correlation_all_players", with_ctes("""
-SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN corr(x, y) END, 6)
+SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6)
        AS correlation
 FROM pr GROUP BY player_a, player_b
 UNION ALL
-SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND stddev_pop(v) > 0 THEN 1.0 END FROM cl GROUP BY player_id""",
+SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND min(v) < max(v) THEN 1.0 END FROM cl GROUP BY player_id""",
                                                   extra="""
 cl AS (SELECT player_id, game_date, CAST(dfs_points_dk AS DOUBLE) AS v FROM logs_etl WHERE dfs_points_dk IS NOT NULL),
 pr AS (SELECT a.player_id AS player_a, b.player_id AS player_b, a.v AS x, b.v AS y
@@ -525,6 +525,47 @@ CHUNK_SIZE = 30
 _INJ_FIRST, _INJ_LAST = "(SELECT min(injury_date) FROM injuries)", "(SELECT max(injury_date) FROM injuries)"
 
 
+# what is done to the series of a player by the remainder of the id: constant, on a large offset, nearly constant
+_SERIES_OFFSET = 1e9
+
+
+@register("an_correlation_constant_series", with_ctes("""
+SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6) AS correlation
+FROM pr GROUP BY player_a, player_b
+UNION ALL
+SELECT player_id, player_id, CASE WHEN count(*) >= 2 AND min(v) < max(v) THEN 1.0 END FROM cl GROUP BY player_id""", extra="""
+cl AS (SELECT player_id, game_date, CASE player_id % 4 WHEN 0 THEN 0.0 WHEN 2 THEN CASE WHEN game_id % 50 = 0 THEN 1.0 ELSE 0.0 END
+              ELSE CAST(dfs_points_dk AS DOUBLE) END AS v FROM logs_etl WHERE dfs_points_dk IS NOT NULL),
+pr AS (SELECT a.player_id AS player_a, b.player_id AS player_b, a.v AS x, b.v AS y
+       FROM cl a JOIN cl b ON a.game_date = b.game_date AND a.player_id <> b.player_id)"""))
+def q_an_corr_constant(spark, sf_dir):
+    """A quarter of the series is constant (0.1 throughout), a quarter lies on an offset of 10^9, a quarter differs from
+    a constant by 10^-7 on a few dates. Correlation doesn't change with offset and scale, so the oracle leaves both out."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    logs = cut_lineage(logs.select("player_id", "game_id", "game_date", "dfs_points_dk"))
+    kind, v = F.col("player_id") % 4, F.col("dfs_points_dk").cast("double")
+    changed = F.when(kind == 0, F.lit(0.1)).when(kind == 1, v + F.lit(_SERIES_OFFSET)) \
+        .when(kind == 2, F.when(F.col("game_id") % 50 == 0, F.lit(5.0000001)).otherwise(F.lit(5.0))).otherwise(v)
+    logs = logs.withColumn("dfs_points_dk", F.when(F.col("dfs_points_dk").isNotNull(), changed))
+    return RD.correlation_matrix(logs, logs.select("player_id")).withColumn("correlation", r6("correlation"))
+
+
+@register("an_series_wide", with_ctes("SELECT game_date, CAST(nth AS BIGINT) AS game_of_day, " + ", ".join(
+    f"max(v) FILTER (WHERE place = {k}) AS top_{k}" for k in range(1, 11)) + " FROM cl GROUP BY game_date, nth", extra="""
+tp AS (SELECT player_id, row_number() OVER (ORDER BY sum(coalesce(dfs_points_dk, 0)) DESC, player_id) AS place FROM logs_etl
+       GROUP BY player_id QUALIFY place <= 10),
+cl AS (SELECT l.game_date, tp.place, round(CAST(l.dfs_points_dk AS DOUBLE), 6) AS v,
+              row_number() OVER (PARTITION BY l.player_id, l.game_date ORDER BY l.game_id) AS nth
+       FROM logs_etl l JOIN tp USING (player_id))"""))
+def q_an_series_wide(spark, sf_dir):
+    """The series of the ten best players side by side over all dates."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    best = [r.player_id for r in RD.top_players_by(logs, 10).collect()]
+    names = [f"top_{k}" for k in range(1, len(best) + 1)]
+    wide = RD.wide_series(logs, best, names=names)
+    return wide.select("game_date", "game_of_day", *[r6(F.col(c).cast("double")).alias(c) for c in names])
+
+
 @register("an_injury_period_chunks", with_ctes(f"""
 SELECT chunk_id, {_INJ_FIRST} + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) AS chunk_start,
        least({_INJ_FIRST} + CAST(chunk_id * {CHUNK_SIZE + 1} AS INTEGER) + {CHUNK_SIZE}, {_INJ_LAST}) AS chunk_end,
@@ -634,7 +675,7 @@ import uuid  # noqa: E402
 
 from courtline.operators import sinks as SK  # noqa: E402
 from courtline.plans import exports as EX  # noqa: E402
-from courtline.session import cut_lineage, scratch_path  # noqa: E402
+from courtline.session import cut_lineage, scratch_path, write_text  # noqa: E402
 from courtline.sources import files as FS  # noqa: E402
 
 
@@ -1044,6 +1085,71 @@ def q_io_csv(spark, sf_dir):
                      F.to_date("injury_date").alias("injury_date"), "status", "body_part")
 
 
+_CSV_SCHEMA = T.StructType([T.StructField("player_id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("team_id", T.LongType())])
+
+
+def _csv_landing(spark, sf_dir):
+    """Players as landing files: two good ones with their columns in another order, one whose last line is cut, one
+    with a value of another type, a broken archive, one that isn't text, an empty one."""
+    players = Domain(spark, sf_dir).players.select("player_id", F.regexp_replace("name", "[,\"]", " ").alias("name"), "team_id")
+    root = _scratch(spark, "csv-bad")
+    part = F.col("player_id") % 4
+    SK.write_csv(players.where(part == 0), f"{root}/good")
+    SK.write_csv(players.where(part == 1).select("team_id", "name", "player_id"), f"{root}/reordered")
+    few = players.where(part == 2).orderBy("player_id").limit(20).collect()
+    lines = [f"{r.player_id},{r.name},{'' if r.team_id is None else r.team_id}" for r in few]
+    head = "player_id,name,team_id\n"
+    write_text(spark, f"{root}/odd/cut.csv", head + "\n".join([*lines[:10], "77,cut of"]))
+    write_text(spark, f"{root}/odd/typed.csv", head + "\n".join([*lines[10:], "n/a,no number,1", ""]))
+    write_text(spark, f"{root}/odd/junk.csv", "\x00\x01\ufffdPNG\n\x02")
+    write_text(spark, f"{root}/odd/broken.csv.gz", head)
+    write_text(spark, f"{root}/odd/empty.csv", "")
+    return FS.scan_csv_dir(spark, [f"{root}/{d}" for d in ("good", "reordered", "odd")], schema=_CSV_SCHEMA)
+
+
+@register("io_csv_bad_files", with_ctes("""
+SELECT player_id, regexp_replace(name, '[,"]', ' ', 'g') AS name, team_id FROM players
+WHERE player_id % 4 IN (0, 1) OR player_id IN (SELECT player_id FROM players WHERE player_id % 4 = 2 ORDER BY player_id LIMIT 20)""", etl=False))
+def q_io_csv_bad(spark, sf_dir):
+    """The good rows of a folder with bad files and bad lines, files with their columns in another order among them."""
+    return _csv_landing(spark, sf_dir).rows
+
+
+@register("io_csv_file_report", with_ctes("""
+SELECT kind, status, CAST(sum(records) AS BIGINT) AS records, CAST(sum(bad_records) AS BIGINT) AS bad_records, reason FROM (
+  SELECT 'part' AS kind, 'ok' AS status, count(*) AS records, 0 AS bad_records, NULL AS reason FROM players WHERE player_id % 4 IN (0, 1)
+  UNION ALL SELECT 'cut.csv', 'partial', least(n, 10), 1, NULL FROM few
+  UNION ALL SELECT 'typed.csv', 'partial', greatest(n - 10, 0), 1, NULL FROM few
+  UNION ALL VALUES ('junk.csv', 'skipped', 0, 0, 'header is not text'), ('broken.csv.gz', 'skipped', 0, 0, 'not a compressed file'),
+                   ('empty.csv', 'empty', 0, 0, NULL))
+GROUP BY kind, status, reason""", extra="few AS (SELECT least(count(*), 20) AS n FROM players WHERE player_id % 4 = 2)", etl=False))
+def q_io_csv_report(spark, sf_dir):
+    """The report of the same folder, Spark's part files taken together."""
+    name = F.regexp_extract("file", "([^/]+)$", 1)
+    kind = F.when(name.startswith("part-"), "part").otherwise(name)
+    return _csv_landing(spark, sf_dir).files.where("status <> 'ok' or records > 0").groupBy(kind.alias("kind"), "status", "reason") \
+        .agg(F.sum("records").alias("records"), F.sum("bad_records").alias("bad_records"))
+
+
+@register("io_dataset_status", with_ctes("""
+SELECT 'logs' AS dataset, 'ok' AS status, count(*) AS records, CAST(29 AS BIGINT) AS n_columns, TRUE AS has_files FROM player_game_logs
+UNION ALL SELECT 'salaries', 'ok', count(*), 4, TRUE FROM dfs_salaries
+UNION ALL SELECT 'broken', 'error', NULL, NULL, TRUE
+UNION ALL SELECT 'odds', 'not_collected', NULL, NULL, FALSE
+UNION ALL SELECT 'total', 'incomplete', (SELECT count(*) FROM player_game_logs) + (SELECT count(*) FROM dfs_salaries), NULL, TRUE""", etl=False))
+def q_io_status(spark, sf_dir):
+    """Status of stored datasets: a partitioned one, a plain one, one that can't be read and one that isn't there."""
+    d = Domain(spark, sf_dir)
+    root = _scratch(spark, "status")
+    logs = d.player_game_logs
+    SK.write_partitioned(logs.withColumns({"year": F.year("game_date"), "month": F.month("game_date")}).select(*logs.columns[:27], "year", "month"),
+                         f"{root}/logs", ["year"])
+    SK.write_dataset(d.dfs_salaries.select("player_id", "game_date", "platform", "salary"), f"{root}/salaries")
+    write_text(spark, f"{root}/broken/part-0.parquet", "no parquet")
+    status = FS.dataset_status(spark, {k: f"{root}/{k}" for k in ("logs", "salaries", "broken", "odds")})
+    return status.select("dataset", "status", "records", "n_columns", (F.col("files") > 0).alias("has_files"))
+
+
 @register("io_newest_snapshot_multi_file", with_ctes("SELECT * FROM players", etl=False))
 def q_io_newest(spark, sf_dir):
     players = Domain(spark, sf_dir).players

@@ -189,23 +189,39 @@ def injury_report(injuries: DataFrame, players: DataFrame, day=None, start=None,
 CORR_BLOCK = 64            # listed players whose series of a date are paired in one row
 
 
+def pearson(x, y) -> "F.Column":
+    """AG-CORR: Pearson's coefficient of two columns as an aggregate; NULL for fewer than two rows or a constant
+    side.
+
+    Covariance and variances are Spark's central moments: each partial aggregate keeps count, means and sums of
+    products around the means, and two of them merge exactly in these terms, so large offsets cancel no digits. A side
+    is constant if its least value is its greatest, which no rounding can hide. (The built-in ``corr`` raises on a
+    constant side under ANSI mode.)"""
+    x, y = F.col(x) if isinstance(x, str) else x, F.col(y) if isinstance(y, str) else y
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    value = F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+    return F.when((F.count(F.lit(1)) >= 2) & varies, F.least(F.greatest(value, F.lit(-1.0)), F.lit(1.0)))
+
+
 def correlation_matrix(logs: DataFrame, player_ids: DataFrame, start=None, end=None) -> DataFrame:
     """AN-CORR in long form: Pearson correlation of DraftKings points between every pair of the
     given players over the dates both played (pairwise complete); NULL for fewer than 2 shared
     dates or a constant series. ``player_ids`` is a one-column frame of any length; the result has its
     length squared rows by definition.
 
-    Each unordered pair is formed once and mirrored at the end. Players are dealt into blocks; a date's
-    rows meet by (date, block, block), so a date on which everybody played is spread over many tasks.
-    The moments of a pair (n, sums, squares, cross sums) combine map-side; the closed formula replaces the
-    built-in ``corr``, which raises on a constant series under ANSI mode.
+    Each series is shifted by its mean first, which leaves differences exact. Each unordered pair is formed once and
+    mirrored at the end. Players are dealt into blocks; a date's rows meet by (date, block, block), so a date on which
+    everybody played is spread over many tasks. The moments of a pair combine map-side (``pearson``).
     """
     ids = player_ids.select("player_id").distinct()
     l = (filter_optional(logs, start=start, end=end).where(F.col("dfs_points_dk").isNotNull())
          .join(ids, "player_id")
          .select("player_id", "game_date", F.col("dfs_points_dk").cast("double").alias("v")))
     l = cut_lineage(l)
-    blocks = max(1, -(-l.agg(F.approx_count_distinct("player_id")).first()[0] // CORR_BLOCK))
+    series = cut_lineage(l.groupBy("player_id").agg(F.avg("v").alias("_mean"), F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+    blocks = max(1, -(-series.count() // CORR_BLOCK))
+    # one row a player: the large side is split at run time where a player is frequent
+    l = l.join(series.select("player_id", "_mean"), "player_id").withColumn("v", F.col("v") - F.col("_mean")).drop("_mean")
     l = l.withColumn("_block", F.pmod(F.xxhash64("player_id"), F.lit(blocks)))
     others = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
     a = l.select(F.col("player_id").alias("player_a"), "game_date", F.col("v").alias("x"), F.col("_block").alias("_ba"),
@@ -213,25 +229,35 @@ def correlation_matrix(logs: DataFrame, player_ids: DataFrame, start=None, end=N
     b = l.select(F.col("player_id").alias("player_b"), "game_date", F.col("v").alias("y"), F.col("_block").alias("_bb"),
                  F.explode(others).alias("_ba"))
     pairs = a.join(b, ["game_date", "_ba", "_bb"]).where(F.col("player_a") < F.col("player_b"))
-    m = pairs.groupBy("player_a", "player_b").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-        F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    n = F.col("n")
-    cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
-    vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = n * F.col("syy") - F.col("sy") * F.col("sy")
-    value = F.when((n >= 2) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    m = pairs.groupBy("player_a", "player_b").agg(pearson("x", "y").alias("correlation"))
     both = F.explode(F.array(*[F.struct(F.col(p).alias("player_a"), F.col(q).alias("player_b"))
                                for p, q in (("player_a", "player_b"), ("player_b", "player_a"))]))
-    off = m.select(both.alias("p"), value.alias("correlation")).select("p.player_a", "p.player_b", "correlation")
+    off = m.select(both.alias("p"), "correlation").select("p.player_a", "p.player_b", "correlation")
     # diagonal: a series with itself is 1 unless it is constant or too short
-    d = (l.groupBy("player_id").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("v").alias("sd"))
-         .select(F.col("player_id").alias("player_a"), F.col("player_id").alias("player_b"),
-                 F.when((F.col("n") >= 2) & (F.col("sd") > 0), F.lit(1.0)).alias("correlation")))
+    d = series.select(F.col("player_id").alias("player_a"), F.col("player_id").alias("player_b"),
+                      F.when((F.col("n") >= 2) & (F.col("lo") < F.col("hi")), F.lit(1.0)).alias("correlation"))
     return off.unionByName(d)
 
 
+def wide_series(logs: DataFrame, ids: Sequence[int], value: str = "dfs_points_dk", names: Sequence[str] | None = None,
+                start=None, end=None) -> DataFrame:
+    """JN-FULL: the players' series side by side, a row for each date on which any of them played and a column for
+    each player, NULL where that player has no log; the full outer join of the series on the date.
+
+    The list is declared, so the columns are known while planning and the join is one aggregation (``pivot``), however
+    many series there are. A player's second game of a date is in a second row of that date (``game_of_day``), by
+    game id. ``names`` are the columns' names, ``player_<id>`` if not given; an id without a log has a NULL column."""
+    ids = list(dict.fromkeys(ids))
+    names = list(names) if names is not None else [f"player_{i}" for i in ids]
+    if len(names) != len(ids):
+        raise ValueError("a name for each id")
+    l = filter_optional(logs, start=start, end=end).where(F.col("player_id").isin(ids))
+    nth = F.row_number().over(Window.partitionBy("player_id", "game_date").orderBy("game_id"))
+    l = l.select("game_date", "player_id", nth.cast("long").alias("game_of_day"), value)
+    wide = l.groupBy("game_date", "game_of_day").pivot("player_id", ids).agg(F.first(value))
+    return wide.toDF("game_date", "game_of_day", *names)
+
+
 def top_players_by(logs: DataFrame, k: int, value: str = "dfs_points_dk") -> DataFrame:
     """The ``k`` players with the highest total ``value`` (ties by id): a top-k report."""
     return (logs.groupBy("player_id").agg(F.sum(coalesce0(value)).alias("_t"))
