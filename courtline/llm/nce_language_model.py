@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,9 +40,9 @@ NOISE = 16                          # noise symbols of a batch
 BATCH = 512
 RATE = 0.2
 ROUNDS = 3
-DICTIONARY, LONGEST = 65_536, 64    # words that the tasks get with their counts, and their bytes, at most
-BLOCK_BYTES, BLOCK_DOCS = 4 << 20, 4096
-FLUSH = 200_000                     # distinct words that a task counts before it hands them on
+DICTIONARY, LONGEST = 1 << 18, 64   # words that the tasks get with their counts, and their bytes, at most
+BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 8192
+FLUSH = 400_000                     # distinct words that a task counts before it hands them on
 PIECE = 1 << 20                     # bytes of a text that are split into words at a time
 END = 0                             # symbol of the end of a text; HEADS words, then the classes follow
 SYMBOLS = 1 + HEADS + CLASSES
@@ -141,66 +142,99 @@ _CODED = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("doc_id", pa.
                     ("word", pa.binary()), ("places", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
 
 
+class _Block(dict):
+    """The dictionary's words by place in it, and after them the other words of a block of documents as they come up,
+    with the symbol of each."""
+
+    def __init__(self, v: Vocabulary):
+        super().__init__((w, i) for i, w in enumerate(v.counts))
+        self.size, self.others = len(self), []
+        self.symbols = bytearray(map(v.symbol, v.counts))
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        self.others.append(word)
+        self.symbols.append(class_of(word))
+        return place
+
+    def clear_others(self) -> None:
+        for word in self.others:
+            del self[word]
+        self.others = []
+        del self.symbols[self.size:]
+
+
+def _other_words(block: int, held: list[tuple[int, np.ndarray]], words_: list[bytes]) -> pa.RecordBatch:
+    """A row of CODED for each of a block's other words: the documents that hold it and how often. ``held``: place of
+    a document and its occurrences of such words."""
+    word = np.concatenate([w for _, w in held]) if held else np.zeros(0, np.int64)
+    place = np.repeat(np.array([p for p, _ in held], np.int64), [len(w) for _, w in held])
+    pair, times = np.unique(word.astype(np.int64) << 32 | place, return_counts=True)
+    starts = np.searchsorted(pair >> 32, np.arange(len(words_) + 1)).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(starts, pa.array(x.astype(np.int32))) for x in (pair & 0xFFFFFFFF, times)]
+    n = len(words_)
+    nothing = [pa.nulls(n, _CODED.field(i).type) for i in range(1, 9)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), *nothing, pa.array(words_, pa.binary()), *lists], schema=_CODED)
+
+
 def _coder(v: Vocabulary) -> Callable:
     """Texts to rows of CODED: one a document, with the sums over the dictionary's words, and one for each other word
-    of a block of documents, with the documents that hold it."""
-    def flush(block: int, docs: list[dict], others: dict[bytes, Counter]) -> Iterator[pa.RecordBatch]:
-        rows = [{**d, "block": block} for d in docs]
-        yield from pa.Table.from_pylist(rows, _CODED).to_batches()
-        n, held = len(others), list(others.values())
-        nothing = [pa.nulls(n, _CODED.field(i).type) for i in range(1, 9)]
-        lists = [pa.array([list(h.keys()) for h in held], pa.list_(pa.int32())), pa.array([list(h.values()) for h in held], pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), *nothing, pa.array(list(others), pa.binary()), *lists], schema=_CODED)
-
+    of a block of documents."""
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {w: i for i, w in enumerate(v.counts)}
-        symbol = np.array([v.symbol(w) for w in v.counts], np.uint8)
+        index = _Block(v)
+        symbol = np.frombuffer(bytes(index.symbols), np.uint8)
         logs = np.log10(np.array(list(v.counts.values()), np.float64) + 1)
         inside = -np.log10(np.array(v.room, np.float64))
-        within = np.where(symbol > HEADS, logs + inside[symbol], 0.0) if len(symbol) else logs
-        block, size, docs, others = TaskContext.get().partitionId() << 32, 0, [], {}
-        classes: dict[bytes, int] = {}
+        # a head word is a symbol of its own, any other has its share of its class
+        within = np.where(symbol > HEADS, logs, 0.0)
+        by_symbol = np.where(np.arange(SYMBOLS) > HEADS, inside, 0.0)
+        block, size, docs, held = TaskContext.get().partitionId() << 32, 0, [], []
+        look, ends, end_log = index.__getitem__, int(v.ends > 0), math.log10(v.ends + 1)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            yield from pa.Table.from_pylist(docs, _CODED).to_batches()
+            yield _other_words(block, held, index.others)
+
         for batch in batches:
-            for doc_id, held, text in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text"))):
+            for doc_id, out, text in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text"))):
                 text, place = text.as_py(), len(docs)
-                row = {"place": place, "doc_id": doc_id.as_py(), "held_out": held.as_py(), "n_tokens": 1, "n_known": int(v.ends > 0),
-                       "base": math.log10(v.ends + 1), "within": 0.0}
-                parts = []
+                n, known, base, inner, parts = 1, ends, end_log, 0.0, []
                 for piece in words(text):
-                    at = np.array([index.get(w, -1) for w in piece], np.int32)
-                    missing = np.flatnonzero(at < 0)
-                    known = at[at >= 0]
-                    part = symbol[at] if len(symbol) else np.zeros(len(at), np.uint8)
-                    for i in missing.tolist():
-                        w = piece[i]
-                        s = classes.get(w[-2:])
-                        if s is None:
-                            s = classes[w[-2:]] = class_of(w)
-                        part[i] = s
-                        at_docs = others.get(w)
-                        if at_docs is None:
-                            others[w] = {place: 1}
-                        else:
-                            at_docs[place] = at_docs.get(place, 0) + 1
-                    row["n_tokens"] += len(piece)
-                    row["n_known"] += len(known)
-                    row["base"] += float(logs[known].sum())
-                    row["within"] += float(within[known].sum() + inside[part[missing]].sum())
+                    at = np.fromiter(map(look, piece), np.int32, len(piece))
+                    part = np.frombuffer(index.symbols, np.uint8)[at]     # the view ends here, so the table may grow
+                    inner += float(by_symbol[part].sum())
+                    of_dictionary = at < index.size
+                    if not of_dictionary.all():
+                        held.append((place, at[~of_dictionary] - index.size))
+                        at = at[of_dictionary]
+                    n, known = n + len(part), known + len(at)
+                    base, inner = base + float(logs[at].sum()), inner + float(within[at].sum())
                     parts.append(part.tobytes())
-                row["symbols"] = b"".join(parts) + bytes([END])
-                docs.append(row)
+                docs.append({"block": block, "place": place, "doc_id": doc_id.as_py(), "held_out": out.as_py(), "n_tokens": n, "n_known": known,
+                             "base": base, "within": inner, "symbols": b"".join(parts) + bytes([END])})
                 size += len(text)
                 if size >= BLOCK_BYTES or len(docs) >= BLOCK_DOCS:
-                    yield from flush(block, docs, others)
-                    block, size, docs, others = block + 1, 0, [], {}
+                    yield from flush()
+                    index.clear_others()
+                    block, size, docs, held = block + 1, 0, [], []
         if docs:
-            yield from flush(block, docs, others)
+            yield from flush()
     return code
 
 
 # ---- the model --------------------------------------------------------------------------------
 
 
+def _sum_by(symbols: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of ``values`` that share a symbol, by symbol."""
+    order = np.argsort(symbols.astype(np.uint8), kind="stable")
+    ranked = symbols[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    out[ranked[starts]] = np.add.reduceat(values[order], starts, axis=0)
+    return out
+
+
 @dataclass
 class Weights:
     """``context`` (symbols and START, by dimension), ``output`` (symbols), ``bias``, ``mix`` (by distance, last the
@@ -264,9 +298,9 @@ class Weights:
         out[at] = own - np.log(scores.sum(axis=1))
         return out
 
-    def gradients(self, seq: np.ndarray, noise: np.ndarray, share: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Mean loss of noise-contrastive estimation over the places from FAR on that hold a symbol, and its
-        gradients. ``noise``: symbols drawn by ``share``, the same for each place."""
+    def gradients(self, seq: np.ndarray, noise: np.ndarray, share: np.ndarray, with_loss: bool = False) -> tuple[float, list[np.ndarray]]:
+        """Mean loss (if asked for) of noise-contrastive estimation over the places from FAR on that hold a symbol, and
+        its gradients. ``noise``: symbols drawn by ``share``, the same for each place."""
         e, mean, h = self.hidden(seq)
         at = np.flatnonzero(seq[FAR:] != START) + FAR
         if not len(at):
@@ -277,27 +311,23 @@ class Weights:
         odds_noise = h @ self.output[noise].T + (self.bias - expected)[noise]
         is_noise = 1 / (1 + np.exp(np.clip(odds, -30, 30)))             # of the data
         is_data = 1 / (1 + np.exp(-np.clip(odds_noise, -30, 30)))       # of the noise
-        loss = float(-(np.log(1 - is_noise).sum() + np.log(1 - is_data).sum()) / n)
+        loss = float(-(np.log(1 - is_noise).sum() + np.log(1 - is_data).sum()) / n) if with_loss else 0.0
         is_noise, is_data = -is_noise / n, is_data / n
         to_h = is_noise[:, None] * self.output[target] + is_data @ self.output[noise]
-        hit = np.zeros((len(at), SYMBOLS), np.float32)
-        hit[np.arange(len(at)), target] = is_noise
-        output, bias = hit.T @ h, hit.sum(axis=0)
+        output = _sum_by(target, is_noise[:, None] * h, SYMBOLS)
+        bias = (np.bincount(target, is_noise, SYMBOLS) + np.bincount(noise, is_data.sum(axis=0), SYMBOLS)).astype(h.dtype)
         np.add.at(output, noise, is_data.T @ h)
-        np.add.at(bias, noise, is_data.sum(axis=0))
         g = np.zeros_like(e)
         g[at] = to_h
         to_e, mix = np.zeros_like(e), np.zeros_like(self.mix)
         for i in range(1, NEAR + 1):
             to_e[FAR - i:-i] += self.mix[i - 1] * g[FAR:]
-            mix[i - 1] = (g[FAR:] * e[FAR - i:-i]).sum(axis=0)
-        mix[NEAR] = (g * mean).sum(axis=0)
+            mix[i - 1] = np.einsum("ij,ij->j", g[FAR:], e[FAR - i:-i])
+        mix[NEAR] = np.einsum("ij,ij->j", g, mean)
         later = np.cumsum((self.mix[NEAR] / FAR * g)[::-1], axis=0)[::-1]
         to_e[:-1] += later[1:]
         to_e[:-FAR - 1] -= later[FAR + 1:]
-        placed = np.zeros((len(seq), SYMBOLS + 1), np.float32)
-        placed[np.arange(len(seq)), seq] = 1
-        return loss, [placed.T @ to_e, output, bias, mix]
+        return loss, [_sum_by(seq, to_e, SYMBOLS + 1), output, bias, mix]
 
     def step(self, gradients: list[np.ndarray]) -> None:
         for a, s, g in zip(self.arrays(), self.squares, gradients):
@@ -444,12 +474,13 @@ def _joined(tokens: int, types: int) -> Callable:
         docs = docs.sort_by("place")
         extra, known = np.zeros(docs.num_rows), np.zeros(docs.num_rows, np.int64)
         if others.num_rows:
-            many = others.column("n").to_numpy()
-            places, times = (np.concatenate([x.values.to_numpy() for x in others.column(c)]) for c in ("places", "times"))
-            many = np.repeat(many, [len(x) for x in others.column("places")])
-            order = np.lexsort((times, many))       # sums don't depend on the order of arrival
-            extra += np.bincount(places[order], (times * np.log10(many + 1.0))[order], docs.num_rows)
-            known += np.bincount(places, times, docs.num_rows).astype(np.int64)
+            places, times = (pc.list_flatten(others.column(c)).to_numpy() for c in ("places", "times"))
+            many = np.repeat(others.column("n").to_numpy(), pc.list_value_length(others.column("places")).to_numpy())
+            # by count, so that sums don't depend on the order of arrival
+            pair, back = np.unique(places.astype(np.int64) << 40 | np.minimum(many, (1 << 40) - 1), return_inverse=True)
+            times = np.bincount(back, times)
+            extra += np.bincount(pair >> 40, times * np.log10((pair & (1 << 40) - 1) + 1.0), docs.num_rows)
+            known += np.bincount(pair >> 40, times, docs.num_rows).astype(np.int64)
         n = docs.column("n_tokens").to_numpy()
         base = docs.column("base").to_numpy() + extra - n * math.log10(tokens + types + 1)
         return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), docs.column("n_tokens"),
@@ -473,7 +504,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A null text is empty: its one token is the end. A null id counts as an empty one, so it trains and is carried. Rows
     that repeat are documents of their own, in training too. Without training documents all counts are 0 and the model
     stays as it began. An empty table gives no row; other columns are ignored. A very long text is taken in pieces;
-    a block of documents is 4 MB of texts, or one text. Weights, and so the last digits of scores, depend on how the
+    a block of documents is 16 MB of texts, or one text. Weights, and so the last digits of scores, depend on how the
     table is partitioned, as each task trains on its own part; a task that runs again gives the same.
     """
     model, coded = train(docs, id_col, text_col)

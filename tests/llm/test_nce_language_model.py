@@ -110,7 +110,7 @@ def test_gradients_of_noise_contrastive_estimation():
             old, ends = a.flat[at], []
             for d in (1e-3, -1e-3):
                 a.flat[at] = old + d
-                ends.append(w.gradients(seq, noise, share)[0])
+                ends.append(w.gradients(seq, noise, share, True)[0])
             a.flat[at] = old
             assert (ends[0] - ends[1]) / 2e-3 == pytest.approx(g.flat[at], rel=0.02, abs=2e-5)
 
