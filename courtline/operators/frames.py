@@ -133,6 +133,49 @@ def explode_intervals(df: DataFrame, lo_exclusive: Column, hi_inclusive: Column,
             .withColumn(alias, F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY")))))
 
 
+def active_counts(df: DataFrame, keys: Sequence[str], first: Column, after: Column, alias: str = "day",
+                  granularity: Column | None = None) -> DataFrame:
+    """Sweep line over the intervals [``first``, ``after``) of each key: a row for each day on which the number of
+    intervals that hold it changes, with that number ``n`` (0 where none does) and ``latest``, the last day on which
+    any interval of the key has begun so far. Between two rows of a key both stay as they are, so at most two rows an
+    interval say what one row for each interval and day would.
+
+    Beginnings count +1, ends -1; they are added up by day map-side, then along the days. The running sums go per
+    (key, year) with the sums of earlier years handed over, so a key with a large share of the intervals is spread."""
+    begins = df.select(*keys, first.alias(alias), F.lit(1).alias("_d"), first.alias("_began"))
+    ends = df.select(*keys, after.alias(alias), F.lit(-1).alias("_d"), F.lit(None).cast(begins.schema["_began"].dataType).alias("_began"))
+    steps = begins.unionByName(ends).groupBy(*keys, alias).agg(F.sum("_d").alias("_d"), F.max("_began").alias("_began"))
+    steps = steps.withColumn("_part", F.year(alias) if granularity is None else granularity)
+    parts = steps.groupBy(*keys, "_part").agg(F.sum("_d").alias("_pd"), F.max("_began").alias("_pb"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*keys, "_part", F.coalesce(F.sum("_pd").over(earlier), F.lit(0)).alias("_before"), F.max("_pb").over(earlier).alias("_last"))
+    so_far = Window.partitionBy(*keys, "_part").orderBy(alias).rowsBetween(Window.unboundedPreceding, 0)
+    here = steps.withColumns({"_n": F.sum("_d").over(so_far), "_l": F.max("_began").over(so_far)})
+    same = [F.col(f"h.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys] + [F.col("h._part") == F.col("p._part")]
+    joined = here.alias("h").join(parts.alias("p"), same)
+    return joined.select(*[F.col(f"h.{k}").alias(k) for k in keys], F.col(f"h.{alias}").alias(alias), (F.col("_n") + F.col("_before")).alias("n"),
+                         F.greatest("_l", "_last").alias("latest"))
+
+
+def split_intervals(df: DataFrame, by: Sequence[str], ident: Sequence[str], lo: str, hi: str, steps: DataFrame, step_day: str,
+                    values: Sequence[str], granularity: str = "season") -> DataFrame:
+    """Intervals (``lo``, ``hi``] of a key, disjoint as states that follow each other are, cut where ``steps`` (rows of
+    the key that hold from ``step_day`` on) change: columns ``by``, ``ident``, ``values`` and the cut ``lo`` and ``hi``.
+
+    Two as-of joins: each interval takes the step that holds on its first day, and each step that falls inside an
+    interval begins a part of it. Linear in intervals and steps; no day is written out."""
+    known = df.select(*by, *ident, lo, hi, F.date_add(lo, 1).alias("_from"))
+    starts = asof_join(known, steps.select(*by, step_day, *values), by, "_from", step_day, values, strict=False, granularity=granularity)
+    inner = asof_join(steps.select(*by, F.col(step_day).alias("_from"), *values), known.drop("_from"), by, "_from", lo,
+                      [lo, *ident, hi], right_order=ident, strict=True, granularity=granularity, prefix="_a_")
+    inner = inner.where(F.col(f"_a_{lo}").isNotNull() & (F.col("_from") > F.date_add(f"_a_{lo}", 1))
+                        & (F.col(f"_a_{hi}").isNull() | (F.col("_from") <= F.col(f"_a_{hi}"))))
+    inner = inner.select(*by, *[F.col(f"_a_{c}").alias(c) for c in (*ident, hi)], "_from", *values)
+    parts = starts.select(*by, *ident, hi, "_from", *values).unionByName(inner)
+    following = F.lead("_from").over(Window.partitionBy(*by, *ident).orderBy("_from"))
+    return parts.select(*by, *ident, F.date_sub("_from", 1).alias(lo), F.coalesce(F.date_sub(following, 1), F.col(hi)).alias(hi), *values)
+
+
 def positions_from_end(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
                        alias: str = "pos_from_end", also: tuple[str, Column] | None = None) -> DataFrame:
     """Number of rows of the same key that come after each row in ``order`` (0 = newest), without a

@@ -29,7 +29,8 @@ from courtline.session import cut_lineage
 
 from courtline.functions.exprs import (array_mean, array_slope, coalesce0, safe_div,
                                        season_start, truthy)
-from courtline.operators.frames import asof_join, chunk_with_halo, explode_intervals, season_chunk
+from courtline.operators.frames import (active_counts, asof_join, chunk_with_halo, explode_intervals, season_chunk,
+                                        split_intervals)
 
 ROLL_WINDOWS = (5, 10, 15, 30)
 HISTORY = 50
@@ -100,11 +101,11 @@ def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     """One row per game log: the state of the player's history ending with that game (inclusive),
     plus ``next_date`` (date of the player's next game, NULL for the last one).
 
-    Sums and means over the last n games are running sums minus the running sum n rows back
-    (``lag``): running frames are evaluated incrementally, where each sliding frame would rescan its
-    n rows for every row. Inputs of those sums are integers or two-decimal scores, so the differences
-    are exact (or far from any 6-digit rounding boundary). Standard deviations and means of arbitrary
-    doubles (usage, true shooting) stay sliding-frame aggregates.
+    Sums, means and standard deviations over the last n games are running sums minus the running sum n
+    rows back (``lag``): running frames are evaluated incrementally, where each sliding frame would rescan its
+    n rows for every row. Deviations come from sums and squares of the distance to the chunk's first value, so
+    little cancels; a window of equal values is known by the length of their run and has deviation 0. Only the
+    slopes need the values of a window themselves.
     """
     base = _prep(logs)
     c = F.col
@@ -124,12 +125,19 @@ def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     })
     w = Window.partitionBy("player_id", "_chunk").orderBy(*ORDER)
     running = w.rowsBetween(Window.unboundedPreceding, 0)
+    spread = [f"{src}0" for _, src in ROLL_STD]
+    framed = framed.withColumns({f"_d_{x}": F.col(x) - F.first(x).over(running) for x in spread}) \
+        .withColumns({f"_same_{x}": F.col(x) == F.lag(x).over(w) for x in spread} | {"_rn": F.row_number().over(w)})
+    framed = framed.withColumns({f"_q_{x}": F.col(f"_d_{x}") * F.col(f"_d_{x}") for x in spread}
+                                | {"rest_q": F.col("rest0") * F.col("rest0")}
+                                # the row at which the present run of equal values began
+                                | {f"_run_{x}": F.max(F.when(~F.coalesce(F.col(f"_same_{x}"), F.lit(False)), F.col("_rn"))).over(running) for x in spread})
     summed = (["points0", "rebounds_total0", "assists0", "steals0", "blocks0", "turnovers0", "minutes0",
                "dfs_points_dk0", "per_pos", "per_neg", "rest0", "rest_n", "h_n", "a_n", "h_p", "a_p", "h_d", "a_d",
-               "o_n", "o_p", "o_d"]
+               "o_n", "o_p", "o_d", "rest_q", "usage_rate0", "true_shooting_percentage0"]
+              + [f"_{k}_{x}" for x in spread for k in "dq"]
               + [f"{m}0" for _, m, _ in ROLL_PCT] + [f"{a}0" for _, _, a in ROLL_PCT])
-    step1 = framed.select("*", F.row_number().over(w).alias("_rn"),
-                          *[F.sum(x).over(running).alias(f"_c_{x}") for x in summed])
+    step1 = framed.select("*", *[F.sum(x).over(running).alias(f"_c_{x}") for x in summed])
 
     def wsum(x, n, skip=0):
         """Sum of x over the n rows ending ``skip`` rows before the current one."""
@@ -139,20 +147,24 @@ def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     def fr(n):
         return w.rowsBetween(-(n - 1), 0)
 
+    def deviation(x, n, sample):
+        """Standard deviation of x over the last n rows, where there are as many."""
+        if n < 2:
+            return F.lit(None).cast("double") if sample else F.lit(0.0)
+        s, q = wsum(f"_d_{x}", n), wsum(f"_q_{x}", n)
+        variance = F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1 if sample else n)
+        return F.when(F.col("_rn") - F.col(f"_run_{x}") + 1 >= n, F.lit(0.0)).otherwise(F.sqrt(variance))
+
     rn = F.col("_rn")
     out = {"n_hist": F.least(rn, F.lit(HISTORY))}
     for n in windows:
         ok = rn >= n
-        f = fr(n)
         for name, src in ROLL_AVG:
-            if src in ("usage_rate", "true_shooting_percentage"):
-                out[f"avg_{name}_L{n}"] = F.when(ok, F.avg(f"{src}0").over(f))
-            else:
-                out[f"avg_{name}_L{n}"] = F.when(ok, wsum(f"{src}0", n) / n)
+            out[f"avg_{name}_L{n}"] = F.when(ok, wsum(f"{src}0", n) / n)
         for name, m, a in ROLL_PCT:
             out[f"avg_{name}_pct_L{n}"] = F.when(ok, safe_div(wsum(f"{m}0", n), wsum(f"{a}0", n)))
         for name, src in ROLL_STD:
-            out[f"std_{name}_L{n}"] = F.when(ok, F.stddev_samp(f"{src}0").over(f))
+            out[f"std_{name}_L{n}"] = F.when(ok, deviation(f"{src}0", n, True))
         out[f"games_played_L{n}"] = F.when(ok, F.lit(n))
     # recent
     out["last_game_points"] = F.col("points0")
@@ -160,7 +172,7 @@ def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     out["last_game_minutes"] = F.col("minutes0")
     for name, src in (("points_trend_recent", "points0"), ("dfs_trend_recent", "dfs_points_dk0")):
         out[name] = F.when(rn >= 6, wsum(src, 3) / 3 - wsum(src, 3, skip=3) / 3)
-    out["recent_consistency"] = F.when(rn >= 10, 1.0 / (1.0 + F.stddev_pop("dfs_points_dk0").over(fr(10))))
+    out["recent_consistency"] = F.when(rn >= 10, 1.0 / (1.0 + deviation("dfs_points_dk0", 10, False)))
     # advanced (last 15 totals; last 10 truthy usage / true shooting, newest first)
     tm = wsum("minutes0", 15)
     out["per_estimate"] = F.when(tm > 0, (wsum("per_pos", 15) - wsum("per_neg", 15)) / (tm / 48))
@@ -169,7 +181,9 @@ def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     # rest pattern over the last 10 (NULLs skipped)
     rn10 = wsum("rest_n", 10)
     out["avg_rest_days"] = F.when(rn10 > 0, wsum("rest0", 10) / rn10)
-    out["std_rest_days"] = F.stddev_pop("rest_days").over(fr(10))
+    # whole days: the sums are exact
+    rest_var = F.greatest(wsum("rest_q", 10) - wsum("rest0", 10) * wsum("rest0", 10) / rn10, F.lit(0.0)) / rn10
+    out["std_rest_days"] = F.when(rn10 > 0, F.sqrt(rest_var))
     # home / away over the last 20 (NULL is_home counts as away)
     hc, ac = wsum("h_n", 20), wsum("a_n", 20)
     out["avg_points_home"] = F.when(hc > 0, wsum("h_p", 20) / hc)
@@ -204,12 +218,16 @@ def log_states(logs: DataFrame, windows=ROLL_WINDOWS) -> DataFrame:
     return st
 
 
-def injury_features(injuries: DataFrame, start, end) -> DataFrame:
-    """(player_id, target_date, n, last): injuries with injury_date in [t-30, t)."""
+INJURY_DAYS = 30
+
+
+def injury_steps(injuries: DataFrame) -> DataFrame:
+    """FT-INJ as a step function: (player_id, day, _inj_n, _inj_last), where from ``day`` on so many injuries lie in the
+    30 days before, the last of them on ``_inj_last``; both NULL where none does. A row for each change."""
     inj = injuries.select("player_id", "injury_date").where(F.col("injury_date").isNotNull())
-    ex = explode_intervals(inj, F.col("injury_date"), F.date_add("injury_date", 30), start, end)
-    return ex.groupBy("player_id", "target_date").agg(F.count(F.lit(1)).alias("_inj_n"),
-                                                      F.max("injury_date").alias("_inj_last"))
+    steps = active_counts(inj, ["player_id"], F.date_add("injury_date", 1), F.date_add("injury_date", INJURY_DAYS + 1))
+    some = F.col("n") > 0
+    return steps.select("player_id", "day", F.when(some, F.col("n")).alias("_inj_n"), F.when(some, F.date_sub("latest", 1)).alias("_inj_last"))
 
 
 def first_log_per_day(logs: DataFrame, cols) -> DataFrame:
@@ -306,10 +324,14 @@ def generate_features(logs: DataFrame, players: DataFrame, games: DataFrame, inj
     # The side features are joined on a narrow spine (player, anchor game, day); the wide states meet
     # them once, on the anchor key. Shuffling the exploded wide rows instead would move every state
     # once per day it covers.
-    keys = explode_intervals(st.select("player_id", "game_id", "game_date", "next_date"), F.col("game_date"),
-                             F.col("next_date"), start, end).drop("next_date")
+    # Injuries change a few times a year: the states' intervals are cut where they do, before days are written out.
+    held = st.select("player_id", "game_id", "game_date", "next_date")
+    lo, hi = F.col("game_date"), F.col("next_date")
     if injury:
-        keys = keys.join(injury_features(injuries, start, end), KEY_COLS, "left")
+        held = split_intervals(held.withColumn("_lo", lo), ["player_id"], ["game_id", "game_date"], "_lo", "next_date", injury_steps(injuries), "day",
+                               ["_inj_n", "_inj_last"])
+        lo = F.col("_lo")
+    keys = explode_intervals(held, lo, hi, start, end).drop("next_date", "_lo")
     if opponent:
         keys = keys.join(opponent_features(logs, games, players, start, end, opponent_source), KEY_COLS, "left")
     if salary:
