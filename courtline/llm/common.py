@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
@@ -45,6 +49,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, size: int):
+    """Arrow batches of ``size`` bytes at most (one larger row is a batch) for the jobs run inside."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def give_back() -> None:
+    """Return freed memory of this worker to the system: workers are used again, and allocators keep what they had."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # another C library has no such call
+        pass
+
+
 def lower_ascii(col) -> "F.Column":
     """Lower-case A-Z only; every other character stays."""
     return F.translate(col, UPPER, LOWER)

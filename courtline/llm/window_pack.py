@@ -11,6 +11,7 @@ need no padding.
 from __future__ import annotations
 
 import base64
+import json
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
@@ -19,13 +20,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship, staged
+from .common import batch_bytes, give_back, ship, staged
 
 WINDOW = 2048
 OPEN = 64                  # windows a task keeps open
 FAN = 64                   # tasks whose leftovers are merged together
 MAX_GAP = 16               # padding that is left in an emitted window
 END_ID = 1                 # closes each document
+BATCH_BYTES = 8 << 20      # of texts that a task is handed at a time (one longer text is handed alone)
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, open boolean, source long"
 
 Piece = tuple  # (doc_id, start, ids, doc_tokens)
@@ -39,22 +41,29 @@ def encoder(tokenizer_json: str, ranks: str | None, pattern: str | None) -> Call
     texts with the string of one of the tokenizer's own added tokens always go through the tokenizer file."""
     key = (tokenizer_json, ranks, pattern)
     if key not in _encoders:
-        from tokenizers import Tokenizer
-        slow = Tokenizer.from_file(tokenizer_json)
-        added = [t.content for t in slow.get_added_tokens_decoder().values()]
+        made: list = []
+
+        def slow():
+            if not made:        # with ranks few texts need it, and it is large
+                from tokenizers import Tokenizer
+                made.append(Tokenizer.from_file(tokenizer_json))
+            return made[0]
+
         if ranks:
             import tiktoken
+            with open(tokenizer_json, encoding="utf-8") as file:
+                added = [t["content"] for t in json.load(file).get("added_tokens") or []]
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
             def encode(text: str) -> np.ndarray:
                 if any(t in text for t in added):
-                    return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
+                    return np.array(slow().encode(text, add_special_tokens=False).ids, "<u4")
                 return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
         else:
             def encode(text: str) -> np.ndarray:
-                return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
+                return np.array(slow().encode(text, add_special_tokens=False).ids, "<u4")
         _encoders[key] = encode
     return _encoders[key]
 
@@ -162,6 +171,7 @@ def _batches(windows: list[list[Piece]], first: int, is_open: bool, source: int)
 def _pack_rows(tokenizer_json: str, ranks: str | None, pattern: str | None, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer, source = encoder(tokenizer_json, ranks, pattern), Packer(size), TaskContext.get().partitionId()
+        give_back()         # what earlier tasks of this worker have left
         number, out = source << 32, []
         end = np.array([END_ID], "<u4")
         for batch in batches:
@@ -172,6 +182,7 @@ def _pack_rows(tokenizer_json: str, ranks: str | None, pattern: str | None, size
                     number, out = number + len(out), []
         yield from _batches(out, number, False, source)
         yield from _batches(packer.rest(), number + len(out), True, source)
+        give_back()
     return run
 
 
@@ -211,7 +222,8 @@ def pack(docs: DataFrame, tokenizer_json: str, ranks: str | None = None, pattern
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    made = staged(rows.mapInArrow(_pack_rows(tokenizer_json, ranks, pattern, size), PIECE), "packed")
+    with batch_bytes(docs.sparkSession, BATCH_BYTES):
+        made = staged(rows.mapInArrow(_pack_rows(tokenizer_json, ranks, pattern, size), PIECE), "packed")
     out, level = made.where("not open"), 0
     left = made.where("open")
     highest = left.agg(F.max("source")).first()[0]
