@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "NUMERIC_TEXT", "safe_float", "safe_int", "safe_long", "text_true", "safe_div", "season_label", "season_start",
-    "ymd", "clip", "truthy", "coalesce0", "count_at_least", "double_double",
+    "ymd", "truthy", "coalesce0", "count_at_least", "double_double",
     "triple_double", "quad_double", "dfs_score", "DK_WEIGHTS", "FD_WEIGHTS", "BOX_SCORE_DEFAULTS",
     "weights_for", "array_slope", "array_mean", "array_std_pop", "any_of",
 ]
@@ -79,16 +79,6 @@ def ymd(c: Column | str) -> Column:
     return F.try_to_date(c.cast("string"), "yyyyMMdd") if hasattr(F, "try_to_date") else F.to_date(c, "yyyyMMdd")
 
 
-def clip(c: Column, lo: float | None = None, hi: float | None = None) -> Column:
-    """Clip that keeps NULL as NULL (``greatest``/``least`` alone would turn NULL into the bound)."""
-    out = c
-    if lo is not None:
-        out = F.when(c.isNotNull(), F.greatest(out, F.lit(lo)))
-    if hi is not None:
-        out = F.when(c.isNotNull(), F.least(out, F.lit(hi)))
-    return out
-
-
 def truthy(c: Column) -> Column:
     """Python truthiness of a number: non-NULL and non-zero."""
     return c.isNotNull() & (c != 0)

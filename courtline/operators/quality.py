@@ -12,21 +12,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Storage ranges of the compact export types (unsigned / small ints).
-STORAGE_RANGES = {
-    "UInt8": (0, 255), "UInt16": (0, 65535), "Int8": (-128, 127), "Int16": (-32768, 32767),
-}
-
-# Compact export type per game-log column (the export's storage plan).
-LOG_STORAGE_TYPES = {
-    "player_id": "UInt16", "opponent_team_id": "UInt8",
-    "points": "UInt8", "field_goals_made": "UInt8", "field_goals_attempted": "UInt8",
-    "three_pointers_made": "UInt8", "three_pointers_attempted": "UInt8", "free_throws_made": "UInt8",
-    "free_throws_attempted": "UInt8", "rebounds_offensive": "UInt8", "rebounds_defensive": "UInt8",
-    "rebounds_total": "UInt8", "assists": "UInt8", "steals": "UInt8", "blocks": "UInt8",
-    "turnovers": "UInt8", "personal_fouls": "UInt8", "plus_minus": "Int8", "rest_days": "UInt8",
-}
-
+from courtline.operators.storage import STORAGE_TYPES, storage_ranges
 
 def _unpivot(row: DataFrame, names: Sequence[str], label: str, value: str) -> DataFrame:
     pairs = ", ".join(f"'{n}', `{n}`" for n in names)
@@ -40,10 +26,11 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return _unpivot(row, cols, "column_name", "null_count")
 
 
-def range_report(df: DataFrame, ranges: Mapping[str, tuple] | None = None) -> DataFrame:
-    """QUAL-RANGE: per column, how many non-NULL values fall outside [lo, hi]."""
+def range_report(df: DataFrame, ranges: Mapping[str, tuple] | None = None, dataset: str = "logs") -> DataFrame:
+    """QUAL-RANGE: per column, how many non-NULL values fall outside [lo, hi]; by default the bounds are those of the
+    types in which the export stores the dataset."""
     if ranges is None:
-        ranges = {c: STORAGE_RANGES[t] for c, t in LOG_STORAGE_TYPES.items() if c in df.columns}
+        ranges = storage_ranges(dataset, df.columns)
     cols = list(ranges)
     row = df.agg(*[F.count_if(~F.col(c).between(lo, hi)).alias(c) for c, (lo, hi) in ranges.items()])
     out = _unpivot(row, cols, "column_name", "n_out_of_range")
@@ -65,7 +52,7 @@ def fk_report(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None
 
 REQUIRED_LOG_COLUMNS = ("player_id", "game_id", "game_date", "points", "dfs_points_dk")
 LOG_KEY_COLUMNS = ("player_id", "game_id", "game_date")
-EXPORTED_LOG_TYPES = {"player_id": "bigint", "points": "smallint"}
+EXPORTED_LOG_TYPES = {"player_id": "bigint", "points": STORAGE_TYPES["logs"]["points"]}
 
 
 def validate_logs(df: DataFrame, required: Sequence[str] = REQUIRED_LOG_COLUMNS,

@@ -56,6 +56,7 @@ def q_flagship(spark, sf_dir):
 
 from courtline.operators import etl as E  # noqa: E402
 from courtline.operators import quality as Q  # noqa: E402
+from courtline.operators import storage as ST  # noqa: E402
 from courtline.plans.cleaned import etl_domain  # noqa: E402
 from courtline.plans.oracle_sql import LOG_COLS  # noqa: E402
 
@@ -220,17 +221,16 @@ def q_qual_fk(spark, sf_dir):
     return Q.fk_report(d.player_game_logs.select("player_id", "game_id"), d.players.where("is_active"), "player_id")
 
 
-_RANGE_COLS = [c for c in Q.LOG_STORAGE_TYPES if c in _ETL_OUT]
+_RANGES = ST.storage_ranges("logs", list(_ETL_OUT))
 
 
 @register("qual_range_logs", with_ctes(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE NOT ({c} BETWEEN {Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][0]} "
-    f"AND {Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][1]})) AS BIGINT) AS n_out_of_range, "
-    f"CAST({Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][0]} AS BIGINT) AS lo, CAST({Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]][1]} AS BIGINT) AS hi "
-    f"FROM logs_etl" for c in _RANGE_COLS)))
+    f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE NOT ({c} BETWEEN {lo} AND {hi})) AS BIGINT) AS n_out_of_range, "
+    f"CAST({lo} AS BIGINT) AS lo, CAST({hi} AS BIGINT) AS hi FROM logs_etl" for c, (lo, hi) in _RANGES.items())))
 def q_qual_range(spark, sf_dir):
+    """The cleaned logs against the types in which the export stores them."""
     _, _, logs = etl_domain(Domain(spark, sf_dir))
-    return Q.range_report(logs, {c: Q.STORAGE_RANGES[Q.LOG_STORAGE_TYPES[c]] for c in _RANGE_COLS})
+    return Q.range_report(logs.select(*_RANGES))
 
 
 @register("qual_null_counts", with_ctes(" UNION ALL ".join(
@@ -613,14 +613,17 @@ def _training(spark, sf_dir, min_salary=3000):
 
 _TRAIN_EXTRA = ["actual_dfs_points", "actual_minutes", "actual_points", "actual_rebounds", "actual_assists",
                 "salary", "value"]
-_TRAIN_SQL = """train AS (
-  SELECT f.* EXCLUDE (position), l.dfs_points_dk AS actual_dfs_points, l.minutes AS actual_minutes,
-         l.points AS actual_points, l.rebounds_total AS actual_rebounds, l.assists AS actual_assists,
-         s.salary, s.position,
+_OUTCOME_SQL = """oc AS MATERIALIZED (
+  SELECT l.player_id, l.game_date, l.dfs_points_dk AS actual_dfs_points, l.minutes AS actual_minutes, l.points AS actual_points,
+         l.rebounds_total AS actual_rebounds, l.assists AS actual_assists, s.salary, s.position,
          CASE WHEN s.salary > 0 THEN l.dfs_points_dk / (s.salary / 1000) ELSE 0.0 END AS value
-  FROM feat f JOIN logs_etl l ON f.player_id = l.player_id AND f.target_date = l.game_date
-  JOIN dfs_salaries s ON f.player_id = s.player_id AND f.target_date = s.game_date
-  WHERE s.platform = 'DraftKings' AND s.salary >= 3000)"""
+  FROM logs_etl l JOIN dfs_salaries s ON s.player_id = l.player_id AND s.game_date = l.game_date
+  WHERE s.platform = 'DraftKings' AND s.salary >= 3000),
+"""
+_TRAIN_SQL = """train AS (
+  SELECT f.* EXCLUDE (position), oc.* EXCLUDE (player_id, game_date)
+  FROM feat f JOIN oc ON f.player_id = oc.player_id AND f.target_date = oc.game_date)"""
+_TRAIN_CTES = _OUTCOME_SQL + features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL
 
 
 def _train_sql_select():
@@ -631,13 +634,29 @@ def _train_sql_select():
     return base + ",\n  " + extra + "\nFROM train"
 
 
-@register("an_training_set", with_ctes(_train_sql_select(), extra=features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL))
+@register("an_training_set", with_ctes(_train_sql_select(), extra=_TRAIN_CTES))
 def q_an_training(spark, sf_dir):
     t, _ = _training(spark, sf_dir)
     t = normalized_features(t.select(*FT.FEATURE_COLS, *_TRAIN_EXTRA), _TRAIN_EXTRA)
     return t.withColumns({"actual_dfs_points": r6("actual_dfs_points"), "value": r6("value")})
 
 
+@register("an_training_bucketed", with_ctes("""
+SELECT player_id, target_date, position, round(avg_points_L5, 6) AS avg_points_l5, round(actual_dfs_points, 6) AS actual_dfs_points,
+       salary, round(value, 6) AS value FROM train""", extra=_TRAIN_CTES))
+def q_an_training_bucketed(spark, sf_dir):
+    """JN-TRAIN on co-partitioned tables: features and salaries are bucketed by (player, date), so the three-way join
+    exchanges the logs once and neither of the others."""
+    dom = Domain(spark, sf_dir)
+    players, _, logs = etl_domain(dom)
+    a, b = data_date_range(dom)
+    feats = FT.generate_features(logs, players, dom.games, dom.injuries, dom.dfs_salaries, a, b, opponent=False, injury=False, salary=False)
+    return RD.training_from_buckets(spark, feats.select("player_id", "target_date", "position", "avg_points_L5"), logs, dom.dfs_salaries,
+                                    _scratch(spark, "buckets"), buckets=8).select(
+        "player_id", "target_date", "position", r6("avg_points_L5").alias("avg_points_l5"), r6("actual_dfs_points").alias("actual_dfs_points"),
+        "salary", r6("value").alias("value"))
+
+
 @register("an_export_summary", with_ctes("""
 SELECT count(*) FILTER (WHERE k) AS records, count(*) FILTER (WHERE NOT k) AS filtered_out,
        min(target_date) FILTER (WHERE k) AS first_date, max(target_date) FILTER (WHERE k) AS last_date,
@@ -645,7 +664,7 @@ SELECT count(*) FILTER (WHERE k) AS records, count(*) FILTER (WHERE NOT k) AS fi
        round(avg(actual_dfs_points) FILTER (WHERE k), 6) AS target_mean,
        round(stddev_samp(actual_dfs_points) FILTER (WHERE k), 6) AS target_std
 FROM (SELECT *, coalesce(salary >= 5000 AND actual_minutes >= 20, FALSE) AS k FROM train)""",
-                                         extra=features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL))
+                                         extra=_TRAIN_CTES))
 def q_an_export(spark, sf_dir):
     s = RD.export_summary(_training(spark, sf_dir)[0], min_salary=5000, min_minutes=20)
     return s.withColumns({"target_mean": r6("target_mean"), "target_std": r6("target_std")})
@@ -657,7 +676,7 @@ SELECT t.player_id, t.target_date, t.position, round(t.actual_dfs_points, 6) AS
 FROM train t LEFT JOIN (SELECT player_id, game_date, max(salary) AS salary_fd FROM dfs_salaries
                         WHERE platform = 'FanDuel' GROUP BY player_id, game_date) f
   ON t.player_id = f.player_id AND t.target_date = f.game_date
-WHERE (t.salary >= 5000 OR f.salary_fd >= 5000) AND t.actual_minutes >= 20""", extra=features_oracle_ctes(OUTCOME_DAYS) + ",\n" + _TRAIN_SQL))
+WHERE (t.salary >= 5000 OR f.salary_fd >= 5000) AND t.actual_minutes >= 20""", extra=_TRAIN_CTES))
 def q_io_training_export(spark, sf_dir):
     """Both platforms' salaries, the export thresholds, rows written and read back."""
     t, dom = _training(spark, sf_dir)

@@ -53,10 +53,8 @@ def _state_aggs(windows=ROLL_WINDOWS) -> str:
 
 _ALL_DAYS = "SELECT p.player_id, p.position, p.team_id, p.is_active, d.target_date\n          FROM players_etl p CROSS JOIN days d WHERE p.is_active"
 # the (player, day) pairs that a training row needs: a log and a DraftKings salary on the day
-OUTCOME_DAYS = """SELECT DISTINCT p.player_id, p.position, p.team_id, p.is_active, l.game_date AS target_date
-          FROM players_etl p JOIN logs_etl l ON l.player_id = p.player_id
-          JOIN dfs_salaries s ON s.player_id = l.player_id AND s.game_date = l.game_date
-          WHERE p.is_active AND s.platform = 'DraftKings' AND s.salary >= 3000"""
+OUTCOME_DAYS = """SELECT DISTINCT p.player_id, p.position, p.team_id, p.is_active, oc.game_date AS target_date
+          FROM players_etl p JOIN oc ON oc.player_id = p.player_id WHERE p.is_active"""
 
 
 def features_oracle_ctes(spine: str = _ALL_DAYS, windows=ROLL_WINDOWS, min_games: int = 5) -> str:

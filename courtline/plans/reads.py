@@ -14,6 +14,7 @@ Scale notes
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -23,6 +24,7 @@ from courtline.session import cut_lineage
 
 from courtline.functions.exprs import coalesce0
 from courtline.operators.frames import positions_from_end, season_chunk
+from courtline.operators.storage import write_bucketed
 
 LOG_VIEW = [("player_id", "player_id"), ("game_id", "game_id"), ("game_date", "game_date"),
             ("minutes", "minutes"), ("points", "points"), ("rebounds", "rebounds_total"), ("assists", "assists"),
@@ -280,17 +282,10 @@ def training_data(features: DataFrame, logs: DataFrame, salaries: DataFrame, sta
     salary of the day (salary >= ``min_salary``); value = actual DraftKings points per 1000 salary,
     0 when the salary is not positive. The salary's position replaces the feature position."""
     f = filter_optional(features, date_col="target_date", start=start, end=end)
-    l = logs.select("player_id", F.col("game_date").alias("target_date"),
-                    F.col("dfs_points_dk").alias("actual_dfs_points"), F.col("minutes").alias("actual_minutes"),
-                    F.col("points").alias("actual_points"), F.col("rebounds_total").alias("actual_rebounds"),
-                    F.col("assists").alias("actual_assists"))
     s = (salaries.where((F.col("platform") == "DraftKings") & (F.col("salary") >= min_salary))
          .select("player_id", F.col("game_date").alias("target_date"), "salary",
                  F.col("position").alias("_sal_position")))
-    j = f.join(l, ["player_id", "target_date"]).join(s, ["player_id", "target_date"])
-    j = j.withColumn("position", F.col("_sal_position")).drop("_sal_position")
-    return j.withColumn("value", F.when(F.col("salary") > 0, F.col("actual_dfs_points") / (F.col("salary") / 1000))
-                        .otherwise(F.lit(0.0)))
+    return _with_outcomes(f.join(s, ["player_id", "target_date"]), logs)
 
 
 def training_from_store(spark, path: str, logs: DataFrame, salaries: DataFrame, version: str = "v1", start=None, end=None,
@@ -302,6 +297,33 @@ def training_from_store(spark, path: str, logs: DataFrame, salaries: DataFrame,
     return training_data(stored.drop("feature_set_version", "season", "created_at"), logs, salaries, start, end, min_salary)
 
 
+def training_from_buckets(spark, features: DataFrame, logs: DataFrame, salaries: DataFrame, root: str, buckets: int,
+                          min_salary: int = 3000) -> DataFrame:
+    """JN-TRAIN over tables that are kept bucketed by (player, date), as a store that is joined again and again would
+    be: the tables are written once under ``root``; each later training read exchanges the logs once, and neither
+    features nor salaries."""
+    name = re.sub(r"\W", "_", root.rsplit("/", 1)[-1])
+    keys = ["player_id", "target_date"]
+    offers = salaries.where((F.col("platform") == "DraftKings") & (F.col("salary") >= min_salary)) \
+        .select("player_id", F.col("game_date").alias("target_date"), "salary", F.col("position").alias("_sal_position"))
+    write_bucketed(features, f"{name}_features", f"{root}/features", keys, buckets)
+    write_bucketed(offers, f"{name}_salaries", f"{root}/salaries", keys, buckets)
+    f, s = spark.read.table(f"{name}_features"), spark.read.table(f"{name}_salaries")
+    return _with_outcomes(f.join(s, keys), logs)
+
+
+def _with_outcomes(priced: DataFrame, logs: DataFrame) -> DataFrame:
+    """Priced feature rows with the outcome of the day; the salary's position replaces the feature position."""
+    l = logs.select("player_id", F.col("game_date").alias("target_date"),
+                    F.col("dfs_points_dk").alias("actual_dfs_points"), F.col("minutes").alias("actual_minutes"),
+                    F.col("points").alias("actual_points"), F.col("rebounds_total").alias("actual_rebounds"),
+                    F.col("assists").alias("actual_assists"))
+    j = priced.join(l, ["player_id", "target_date"])
+    j = j.withColumn("position", F.col("_sal_position")).drop("_sal_position")
+    return j.withColumn("value", F.when(F.col("salary") > 0, F.col("actual_dfs_points") / (F.col("salary") / 1000))
+                        .otherwise(F.lit(0.0)))
+
+
 def with_fanduel(training: DataFrame, salaries: DataFrame) -> DataFrame:
     """Training rows with both platforms' salaries of the day (``salary_dk``, ``salary_fd``; NULL without one)."""
     fd = (salaries.where(F.col("platform") == "FanDuel").groupBy("player_id", F.col("game_date").alias("target_date"))

@@ -73,11 +73,6 @@ def test_array_slope_matches_polyfit(spark):
             assert r.m is None
 
 
-def test_clip_keeps_null(spark):
-    df = spark.createDataFrame([(None,), (-3,), (60,)], "x int")
-    r = [x.c for x in df.select(X.clip(F.col("x"), 0, 48).alias("c")).collect()]
-    assert r == [None, 0, 48]
-
 
 def test_safe_long_keeps_every_digit(spark):
     rows = ["28268405032", "9007199254740993", " -7 ", "12.9", "1e3", "9223372036854775808", "abc", "", None]
