@@ -19,12 +19,12 @@ import uuid
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.functions.exprs import safe_float, safe_int, safe_long, season_label, text_true, ymd
-from courtline.session import path_exists, read_text, remove_path, scratch_path, write_text
+from courtline.session import move_path, path_exists, read_text, remove_path, scratch_path, write_text
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -32,17 +32,32 @@ FORMATS = ("parquet", "csv", "json")
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                   mode: str = "overwrite") -> bool:
     """SNK-FMT: write parquet, csv (with header) or json; an empty frame writes nothing (returns
-    False); any other format is an error."""
+    False); any other format is an error.
+
+    The plan runs once: rows are counted while they are written, beside the dataset, which is replaced only if there
+    are any. Other modes than ``overwrite`` ask first whether there is a row."""
     if fmt not in FORMATS:
         raise ValueError(f"Unsupported format: {fmt}")
-    if df.isEmpty():
+    spark, watch = df.sparkSession, Observation()
+    beside = mode == "overwrite"
+    if not beside and df.isEmpty():
         return False
-    w = df.write.mode(mode)
+    made = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}" if beside else path
+    w = df.observe(watch, F.count(F.lit(1)).alias("rows")).write.mode("error" if beside else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", True)
-    w.format(fmt).save(path)
+    w.format(fmt).save(made)
+    if not beside:
+        return True
+    if watch.get["rows"] == 0:
+        remove_path(spark, made)
+        return False
+    if path_exists(spark, path):
+        move_path(spark, path, f"{made}-old")
+    move_path(spark, made, path)
+    remove_path(spark, f"{made}-old")
     return True
 
 

@@ -486,6 +486,37 @@ def q_an_injury(spark, sf_dir):
     return RD.injury_report(d.injuries, players)
 
 
+_LAST_DAY = "(SELECT max(game_date) FROM games)"
+
+
+@register("an_reads_of_one_day", with_ctes(f"""
+SELECT 'slate' AS what, player_id, game_id, CAST(salary AS BIGINT) AS n FROM slate WHERE game_date = {_LAST_DAY}
+UNION ALL SELECT 'games', NULL, game_id, home_team_id FROM games WHERE game_date = {_LAST_DAY}
+UNION ALL SELECT 'injuries', player_id, NULL, CAST({_LAST_DAY} - injury_date AS BIGINT) FROM injuries
+  WHERE injury_date BETWEEN {_LAST_DAY} - 7 AND {_LAST_DAY}""", extra=_SLATE_SQL))
+def q_an_one_day(spark, sf_dir):
+    """FLT-DAY: slate, games and injury report of the last day alone."""
+    d = Domain(spark, sf_dir)
+    players, teams, _ = etl_domain(d)
+    day = data_date_range(d)[1]
+    none = F.lit(None).cast("long")
+    slate = RD.dfs_slate(d.dfs_salaries, players, teams, d.games, day).select(F.lit("slate").alias("what"), "player_id", "game_id", F.col("salary").cast("long").alias("n"))
+    games = RD.games_for_date(d.games, teams, day).select(F.lit("games").alias("what"), none.alias("player_id"), "game_id", F.col("home_team_id").alias("n"))
+    hurt = RD.injury_report(d.injuries, players, day).select(F.lit("injuries").alias("what"), "player_id", none.alias("game_id"),
+                                                              F.datediff("report_date", "injury_date").cast("long").alias("n"))
+    return slate.unionByName(games).unionByName(hurt)
+
+
+@register("an_logs_listed_players", with_ctes("""
+SELECT player_id, game_id, game_date, minutes, points FROM logs_etl
+WHERE player_id IN (SELECT player_id FROM logs_etl GROUP BY player_id ORDER BY sum(coalesce(dfs_points_dk, 0)) DESC, player_id LIMIT 5)"""))
+def q_an_listed(spark, sf_dir):
+    """FLT-IN: the log view of a list of players, the five best."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    best = [r.player_id for r in RD.top_players_by(logs, 5).collect()]
+    return RD.player_game_logs(logs, player_id=best).select("player_id", "game_id", "game_date", "minutes", "points")
+
+
 @register("an_correlation_top10", with_ctes("""
 SELECT player_a, player_b, round(CASE WHEN count(*) >= 2 AND min(x) < max(x) AND min(y) < max(y) THEN corr(x, y) END, 6)
        AS correlation
@@ -1169,6 +1200,85 @@ def q_io_status(spark, sf_dir):
     return status.select("dataset", "status", "records", "n_columns", (F.col("files") > 0).alias("has_files"))
 
 
+_FORMATS_SQL = "SELECT '{0}' AS format, count(*) AS n_rows, CAST(sum(player_id) AS BIGINT) AS ids, count(DISTINCT name) AS names, TRUE AS written FROM players"
+
+
+@register("io_formats_roundtrip", with_ctes(" UNION ALL ".join(_FORMATS_SQL.format(f) for f in SK.FORMATS) + """
+UNION ALL SELECT 'parquet again', count(*), CAST(sum(player_id) AS BIGINT), count(DISTINCT name), TRUE FROM players WHERE player_id % 2 = 0
+UNION ALL SELECT 'nothing', count(*), CAST(sum(player_id) AS BIGINT), count(DISTINCT name), FALSE FROM players WHERE player_id % 2 = 0
+UNION ALL SELECT 'empty', 0, NULL, 0, TRUE""", etl=False))
+def q_io_formats(spark, sf_dir):
+    """SNK-FMT and SNK-EMPTY: each format written and read back; an overwrite replaces, an empty frame leaves what is
+    there; an empty dataset with a declared schema can be read."""
+    players = Domain(spark, sf_dir).players.select("player_id", "name")
+    root, schema = _scratch(spark, "formats"), "player_id long, name string"
+
+    def told(name, fmt, written, path):
+        back = spark.read.schema(schema).option("header", True).format(fmt).load(path)
+        return back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("player_id").alias("ids"), F.count_distinct("name").alias("names")) \
+            .select(F.lit(name).alias("format"), "n_rows", "ids", "names", F.lit(written).alias("written"))
+
+    out = [told(f, f, SK.write_dataset(players, f"{root}/{f}", f), f"{root}/{f}") for f in SK.FORMATS]
+    again = f"{root}/again"
+    SK.write_dataset(players, again)
+    done = SK.write_dataset(players.where("player_id % 2 = 0"), again)
+    out.append(told("parquet again", "parquet", done, again))
+    out.append(told("nothing", "parquet", SK.write_dataset(players.where("player_id < 0"), again), again))
+    SK.empty(spark, players.schema).write.parquet(f"{root}/empty")
+    out.append(told("empty", "parquet", True, f"{root}/empty"))
+    return SK.union_all(out)
+
+
+@register("qual_export_overflow", with_ctes("""
+SELECT 'logs' AS dataset, 'points' AS column_name, count(*) FILTER (WHERE points * 1000 > 32767) AS n FROM logs_etl HAVING n > 0
+UNION ALL SELECT 'logs', 'plus_minus', count(*) FILTER (WHERE rebounds_total * 10 > 127) AS n FROM logs_etl HAVING n > 0
+UNION ALL SELECT 'salaries', 'salary', count(*) FILTER (WHERE CAST(salary AS BIGINT) * 1000000 > 2147483647) AS n FROM dfs_salaries HAVING n > 0
+UNION ALL SELECT 'odds', 'home_moneyline', count(*) FILTER (WHERE game_id % 3 = 0) AS n FROM games HAVING n > 0"""))
+def q_qual_overflow(spark, sf_dir):
+    """Values that don't fit their storage type, counted by the exports themselves."""
+    d = Domain(spark, sf_dir)
+    players, _, logs = etl_domain(d)
+    root = _scratch(spark, "overflow")
+    wide = logs.select("player_id", "game_id", "game_date", "opponent_team_id", "is_home", (F.col("points").cast("long") * 1000).alias("points"),
+                       (F.col("rebounds_total").cast("long") * 10).alias("plus_minus"))
+    k = F.col("game_id")
+    odds = d.games.select("game_id", F.lit("book").alias("sportsbook"), F.lit(None).cast("timestamp").alias("timestamp"),
+                          F.when(k % 3 == 0, F.lit(40000)).otherwise(F.lit(-110)).alias("home_moneyline"))
+    found = {"logs": EX.export_logs(wide, players, f"{root}/logs"),
+             "salaries": EX.export_salaries(d.dfs_salaries.withColumn("salary", F.col("salary").cast("long") * 1000000), f"{root}/salaries"),
+             "odds": EX.export_odds(odds, d.games, f"{root}/odds")}
+    return spark.createDataFrame([(t, c, n) for t, of in found.items() for c, n in of.items()], "dataset string, column_name string, n long")
+
+
+@register("io_clustered_layout", with_ctes("SELECT player_id, game_id, game_date, points FROM logs_etl"))
+def q_io_clustered(spark, sf_dir):
+    """Logs written along a curve of player and date: the same rows."""
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    path = _scratch(spark, "clustered")
+    ST.write_clustered(cut_lineage(logs.select("player_id", "game_id", "game_date", "points")), path, ["player_id", "game_date"])
+    return spark.read.parquet(path)
+
+
+@register("io_logical_names", with_ctes("""
+SELECT game_id, kind, CASE kind
+    WHEN 0 THEN 'player_logs_' || ymd || '_' || 'T' || home_team_id || '@T' || away_team_id || '.parquet'
+    WHEN 1 THEN 'player_logs_' || ymd || '_' || 'T' || home_team_id || '.parquet'
+    WHEN 2 THEN 'games_' || ymd || '.parquet' WHEN 3 THEN 'injuries_' || ymd || '_to_' || ymd || '.parquet'
+    WHEN 4 THEN 'players_current.parquet' ELSE 'dfs_salaries_' || ymd || '.parquet' END AS logical
+FROM (SELECT game_id, home_team_id, away_team_id, strftime(game_date, '%Y%m%d') AS ymd, CAST(game_id % 6 AS BIGINT) AS kind FROM games)""", etl=False))
+def q_io_names(spark, sf_dir):
+    """SC-REGEX: landing-file names as the collectors write them, to their logical names."""
+    g = Domain(spark, sf_dir).games
+    ymd, home, away = F.date_format("game_date", "yyyyMMdd"), F.concat(F.lit("T"), "home_team_id"), F.concat(F.lit("T"), "away_team_id")
+    stamp = F.concat(F.lit("_"), F.date_format(F.date_add("game_date", 9000), "yyyyMMdd"), F.lit("_010203.parquet"))
+    kind = F.col("game_id") % 6
+    name = F.when(kind == 0, F.concat(F.lit("player_logs_"), ymd, F.lit("_game_"), ymd, F.lit("_"), home, F.lit("@"), away)) \
+        .when(kind == 1, F.concat(F.lit("player_logs_"), ymd, F.lit("_game_"), home)) \
+        .when(kind == 2, F.concat(F.lit("games_"), ymd)).when(kind == 3, F.concat(F.lit("injuries_"), ymd, F.lit("_to_"), ymd)) \
+        .when(kind == 4, F.concat(F.lit("players_list_current_"), "game_id")).otherwise(F.concat(F.lit("dfs_salaries_"), ymd))
+    return g.select("game_id", kind.cast("long").alias("kind"), FS.logical_name(F.concat(name, stamp)).alias("logical"))
+
+
 @register("io_newest_snapshot_multi_file", with_ctes("SELECT * FROM players", etl=False))
 def q_io_newest(spark, sf_dir):
     players = Domain(spark, sf_dir).players
@@ -1326,6 +1436,29 @@ def q_ft_metrics(spark, sf_dir):
     return m.select("player_id", "season", *[r6(c).alias(c) for c in MT.METRIC_NAMES])
 
 
+@register("ft_metrics_team_context", with_ctes(
+    "SELECT player_id, season, " + ", ".join(f"round(CAST({e} AS DOUBLE), 6) AS {n}" for n, e in (_metric_sql(_MT_TOT) | {
+        "usage_rate": f"CASE WHEN pace IS NULL OR poss IS NULL THEN ({_metric_sql(_MT_TOT)['usage_rate']}) WHEN mins > 0 AND poss > 0 "
+                      "THEN 100 * ((fga + 0.44 * fta + tov) * pace * 5) / (mins * poss) ELSE 0.0 END"}).items())
+    + " FROM mt LEFT JOIN tm USING (player_id, season)", extra="mt AS (SELECT player_id, " + _SEASON_SQL + " AS season, avg(points) AS pts, CAST(count(*) AS DOUBLE) AS games, "
+    + ", ".join(f"CAST(coalesce(sum({src}), 0) AS DOUBLE) AS {k}" for k, src in MT.METRIC_SUMS)
+    + " FROM logs_etl GROUP BY ALL), tm AS (SELECT player_id, season, 95.0 + player_id % 10 AS pace, "
+    "CASE WHEN player_id % 7 = 0 THEN 0.0 WHEN player_id % 7 > 1 THEN shots END AS poss FROM (SELECT player_id, " + _SEASON_SQL + " AS season, "
+    "CAST(sum(coalesce(field_goals_attempted, 0)) * 5 AS DOUBLE) AS shots FROM logs_etl WHERE player_id % 3 > 0 GROUP BY ALL))"))
+def q_ft_metrics_team(spark, sf_dir):
+    """FT-METRIC with team context: usage from pace and possessions where both are known, else as without."""
+    from courtline.functions.exprs import season_label
+    _, _, logs = etl_domain(Domain(spark, sf_dir))
+    logs = cut_lineage(logs.withColumn("season", season_label("game_date")))
+    k = F.col("player_id")
+    team = logs.where(k % 3 > 0).groupBy("player_id", "season").agg(
+        F.sum(F.coalesce("field_goals_attempted", F.lit(0)) * 5).cast("double").alias("_fga"))
+    team = team.select("player_id", "season", (95.0 + k % 10).alias("team_pace"),
+                       F.when(k % 7 == 0, F.lit(0.0)).when(k % 7 > 1, F.col("_fga")).alias("team_possessions"))
+    m = MT.advanced_metrics(logs, keys=("player_id", "season"), team_stats=team)
+    return m.select("player_id", "season", *[r6(c).alias(c) for c in MT.METRIC_NAMES])
+
+
 def _ema_oracle():
     stat_ctes, stat_cols = [], []
     for name, src in MT.EMA_STATS:

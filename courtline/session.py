@@ -119,6 +119,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     _scratch.pop(path, None)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder through the cluster's file system."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.rename(p, hadoop_fs(spark, to)[1]):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, whole or as it was before: written beside its place, then moved over it in one step."""
     fs, p = hadoop_fs(spark, path)

@@ -260,7 +260,7 @@ def recent_range(days: int, as_of: dt.date, start: dt.date | None = None, end: d
 # files as data: snapshots and summaries
 
 # Collection timestamp suffix and per-type logical names of landing files.
-TIMESTAMP_SUFFIX = r"_20\d{6}_\d{6}"
+TIMESTAMP_SUFFIX = r"_20\d{6}_\d{6}(?=(\.parquet)?$)"
 LOGICAL_NAME_RULES = (
     (r"^player_logs_(\d{8})_game_\d{8}_(.+)\.parquet$", "player_logs_$1_$2.parquet"),
     (r"^player_logs_(\d{8})_game_(?:.*_)?([^_]+)\.parquet$", "player_logs_$1_$2.parquet"),
@@ -269,7 +269,8 @@ LOGICAL_NAME_RULES = (
 
 
 def logical_name(name_col) -> "F.Column":
-    """SC-REGEX: strip the collection timestamp (of any year from 2000 on), then normalise per data type."""
+    """SC-REGEX: strip the collection timestamp (of any year from 2000 on) at the name's end, a game date before it
+    stays; then normalise per data type."""
     c = F.regexp_replace(name_col, TIMESTAMP_SUFFIX, "")
     for pattern, repl in LOGICAL_NAME_RULES:
         c = F.when(c.rlike(pattern), F.regexp_replace(c, pattern, repl)).otherwise(c)
