@@ -2,7 +2,7 @@
 
 Every string of ``min_len`` bytes owns one anchor, the k-gram with the smallest hash inside it, so equal
 strings have their anchors at the same place. Suffixes are sorted only at anchors, and only within the
-group of equal anchors, which Spark shuffles together:
+group of equal anchors and of equal bytes on the longer side of them, which Spark shuffles together:
 
 1. anchors of each distinct text, with the run of strings that own them; of equal runs in one batch of a task
    one goes on, as all are known to repeat; anchors that occur once are out;
@@ -39,9 +39,14 @@ _POS = np.uint64((1 << 24) - 1)
 
 
 def anchors(data: np.ndarray, min_len: int = MIN_LEN, k: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(k-gram hash, position, first and last string start, hash of the run) of each anchor; each string of ``min_len`` bytes
-    lies in the run of exactly one anchor: the smallest hash in it, the leftmost of equals."""
+    """(key, position, first and last string start, hash of the run) of each anchor; each string of ``min_len`` bytes
+    lies in the run of exactly one anchor: the smallest k-gram hash in it, the leftmost of equals.
+
+    A string reaches further to one side of its k-gram. Its key is the hash of the k-gram and of the bytes on that side
+    that all such strings hold, so a run has one or two rows, and what meets under a key has more than half of
+    ``min_len`` bytes in common: a line that many texts share but that is shorter than that brings none together."""
     width, strings = min_len - k + 1, len(data) - min_len + 1
+    more = (min_len - k) // 2
     out = []
     for start in range(0, strings, SEGMENT):
         part = data[start:start + SEGMENT + min_len - 1]
@@ -56,8 +61,15 @@ def anchors(data: np.ndarray, min_len: int = MIN_LEN, k: int = GRAM) -> tuple[np
         place = (np.minimum(behind[:n], ahead[width - 1:width - 1 + n]) & _POS).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1))
         last = np.append(first[1:], n) - 1
-        out.append((grams[place[first]].view(np.int64), place[first] + start, first + start, last + start,
-                    span_hashes(sums, first, last + min_len)))
+        place = place[first]
+        # strings with the longer side to the right of the k-gram, then those with it to the left
+        turn = place - more
+        for side in (0, 1):
+            a, b = (np.maximum(first, turn), last) if side == 0 else (first, np.minimum(last, turn - 1))
+            some = a <= b
+            a, b, at = a[some], b[some], place[some]
+            key = span_hashes(sums, at, at + k + more) if side == 0 else ~span_hashes(sums, at - more - 1, at + k)
+            out.append((key.view(np.int64), at + start, a + start, b + start, span_hashes(sums, a, b + min_len)))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
