@@ -19,7 +19,7 @@ import uuid
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,11 +114,14 @@ def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str], ord
     table hold a key twice, its last row by the order is kept. Columns that only the updates have are added, NULL in
     rows without an update; values are cast to the stored type, and one that doesn't fit is an error.
 
-    Both sides meet in one aggregation by key: it combines map-side, so a key of any size is safe, and treats
-    NULLs as equal.
+    Both sides meet by key in one exchange, which treats NULLs as equal. Whole rows compete by their order, the
+    first of each key stays (trimmed map-side); where an update has only some of the columns, an aggregation that
+    combines map-side brings both rows together. Either way a key of any size is safe.
     """
     columns = stored_columns(existing.schema, updates.schema, order_col)
     ordered = order_col in columns.names
+    if update_cols is None and set(existing.columns) <= set(updates.columns):
+        return _newest_rows(existing, updates, keys, order_col, columns)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         order = F.col(order_col) if order_col in df.columns else F.lit(0)
@@ -147,6 +150,20 @@ def merge_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str], ord
     return both.select(*out)
 
 
+def _newest_rows(existing: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str, columns: T.StructType) -> DataFrame:
+    """Of the stored and the new rows of each key the one that a merge of whole rows leaves."""
+    def side(df: DataFrame, new: int) -> DataFrame:
+        order = F.col(order_col) if order_col in df.columns else F.lit(None).cast(updates.schema[order_col].dataType)
+        whole = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in columns.fields]
+        return df.select(*whole, order.alias("_by"), F.lit(new).alias("_is_new"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie"))
+
+    by, new, tie = F.col("_by").desc_nulls_last(), F.col("_is_new").desc(), F.col("_tie").desc()
+    first = (by, new, tie) if order_col in existing.columns else (new, by, tie)
+    rows = side(existing, 0).unionByName(side(updates, 1))
+    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*first))).where("_place = 1")
+    return rows.select(*columns.names)
+
+
 def partition_filter(parts: Sequence, cols: Sequence[str]) -> "F.Column":
     """Rows of the given partitions as a filter of literals, which prunes directories while the scan is planned."""
     def one(row):
