@@ -14,6 +14,28 @@ from pyspark.sql import functions as F
 
 from courtline.operators.storage import STORAGE_TYPES, storage_ranges
 
+# Storage ranges of the compact export types (unsigned / small ints).
+STORAGE_RANGES = {
+    "UInt8": (0, 255), "UInt16": (0, 65535), "Int8": (-128, 127), "Int16": (-32768, 32767),
+}
+
+# Compact export type per game-log column (the reference's storage plan), ids included. It is narrower than
+# the Spark types in which the rows are stored, which have no unsigned ones.
+LOG_STORAGE_TYPES = {
+    "player_id": "UInt16", "opponent_team_id": "UInt8",
+    "points": "UInt8", "field_goals_made": "UInt8", "field_goals_attempted": "UInt8",
+    "three_pointers_made": "UInt8", "three_pointers_attempted": "UInt8", "free_throws_made": "UInt8",
+    "free_throws_attempted": "UInt8", "rebounds_offensive": "UInt8", "rebounds_defensive": "UInt8",
+    "rebounds_total": "UInt8", "assists": "UInt8", "steals": "UInt8", "blocks": "UInt8",
+    "turnovers": "UInt8", "personal_fouls": "UInt8", "plus_minus": "Int8", "rest_days": "UInt8",
+}
+
+
+def compact_log_ranges(columns: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """Bounds of the compact export types of those of the columns that have one."""
+    return {c: STORAGE_RANGES[t] for c, t in LOG_STORAGE_TYPES.items() if c in columns}
+
+
 def _unpivot(row: DataFrame, names: Sequence[str], label: str, value: str) -> DataFrame:
     pairs = ", ".join(f"'{n}', `{n}`" for n in names)
     return row.selectExpr(f"stack({len(names)}, {pairs}) AS ({label}, {value})")
