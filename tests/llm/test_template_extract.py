@@ -119,3 +119,25 @@ def test_hosts_in_chunks_nulls_repeats_empty(spark, monkeypatch):
     text = lambda h: X.extract([h or ""])[0]
     assert got == sorted(((a, b, text(c), len(text(c))) for a, b, c in rows), key=str)
     assert X.main_text(df.limit(0)).count() == 0
+
+
+def test_slots_that_are_fields_of_the_template_are_left_out():
+    r = random.Random(3)
+    story = lambda i: f"<h1>Head {i}</h1><p>story {i} {' '.join(f'w{r.random()}' for _ in range(9))}</p><div class=lead>own text of {' '.join(f'v{r.random()}' for _ in range(9))}</div>"
+    box = lambda i: f"<div class=meta>Logged in as <b>user{i}</b>, {i * 7 % 40 + 1} degrees</div>"
+    for around in ("<main>{}</main>", "<article>{}</article>", "<div class=text>{}</div>", "<div class=a>{}</div>"):
+        bodies = [story(i) for i in range(12)]
+        pages = [page(i, around.format(box(i) + body)) for i, body in enumerate(bodies)]
+        want = X.extract([page(i, around.format(body)) for i, body in enumerate(bodies)])
+        assert X.extract(pages) == want and all("Logged" not in t and f"Head {i}" in t and "own text" in t for i, t in enumerate(want))
+        guest = page(99, around.format("<div class=meta>Welcome to the story of stories</div>" + story(99)))
+        assert "Welcome to the story of stories" in X.extract([*pages, guest])[-1]              # not the template's line
+        assert X.extract(pages[:3])[0].startswith("Logged in as user0, 1 degrees")              # too few pages to tell
+    # unmarked paragraphs and headings are running text; a page that has nothing else keeps its line
+    for body in ("<main><p>Logged in as user{}, today</p><p>x{}</p></main>", "<main><h2 class=m>Logged in as user{}, today</h2><p>x{}</p></main>",
+                 "<main><div class=m>Logged in as user{}, today</div></main>"):
+        pages = [page(i, body.format(i, i)) for i in range(9)]
+        assert all(f"Logged in as user{i}, today" in t for i, t in enumerate(X.extract(pages))), body
+    # a slot with a child class holds structure
+    pages = [page(i, f"<main><p>x{i}</p><div class=m>Part one of <p>many {i}</p></div></main>") for i in range(9)]
+    assert X.extract(pages) == [f"x{i}\nPart one of\nmany {i}" for i in range(9)]
